@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .contamination import op1_decontamination
+from .hostrules import op10_host_rules
 from .packing import op2_packing
 from .shards import op7_shards
+from .suffixtree import op3_substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_substrings": op3_substrings,
     "op7_shards": op7_shards,
+    "op10_host_rules": op10_host_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
