@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .contamination import op1_decontamination
 from .hostrules import op10_host_rules
+from .nearduplicates import op4_near_duplicates
 from .packing import op2_packing
 from .runindex import op9_run_index
 from .shards import op7_shards
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_substrings": op3_substrings,
+    "op4_near_duplicates": op4_near_duplicates,
     "op7_shards": op7_shards,
     "op9_run_index": op9_run_index,
     "op10_host_rules": op10_host_rules,
