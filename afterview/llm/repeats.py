@@ -96,7 +96,9 @@ def cut(table: pa.Table, law: Law):
         fits = place + law.span <= first[doc + 1]
         place, owner, doc = place[fits], owner[fits], doc[fits]
         head = np.flatnonzero(np.diff(owner, prepend=-1) != 0)
-        yield Slice(doc_ids[a:b], raw, at, first, starts, ends, sums, grams[owner[head]] if len(head) else np.zeros(0, np.uint64), place[head], np.diff(np.append(head, len(place))), owner[head] - place[head], doc[head])
+        # least hashes crowd at the low end; mixed anew, they spread over the parts
+        key = mix(grams[owner[head]]) if len(head) else np.zeros(0, np.uint64)
+        yield Slice(doc_ids[a:b], raw, at, first, starts, ends, sums, key, place[head], np.diff(np.append(head, len(place))), owner[head] - place[head], doc[head])
 
 
 def _order(s: Slice, law: Law, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
