@@ -4,24 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from afterview.llm.base import stored
 from afterview.llm.contamination import decontaminate
+from afterview.llm.hostrules import keep_good
+from afterview.llm.nearduplicates import one_of_each
 from afterview.llm.packing import pack
+from afterview.llm.secrets import redact
 from afterview.session import ship
 
 
+def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a base rule go, and those of failing hosts."""
+    ship(spark)
+    return keep_good(docs)
+
+
+def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    ship(spark)
+    return one_of_each(docs)
+
+
 def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     ship(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    ship(spark)
+    return redact(docs)
+
+
 def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of sequences of 1024 tokens."""
     ship(spark)
     return pack(docs)
 
 
 STAGES = [
+    ("quality", _quality),
+    ("near_duplicates", _near_duplicates),
     ("decontamination", _decontamination),
+    ("secrets", _secrets),
     ("packing", _packing),
 ]
 
@@ -31,8 +57,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; each stage's rows are written to the shared folder and read again."""
-    from afterview.llm.base import stored
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
