@@ -122,7 +122,9 @@ def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     than can be broadcast)."""
     scored = with_features(docs, out="_features")
     verdicts = host_verdicts(scored.select(F.col(host).alias("_of"), "_features"), "_of", "_features").select("host", "host_ok")
-    good = scored.where(~base_failed(F.col("_features"))).drop("_features")
+    # the row's number keeps the filter above the features: pushed below, it would repeat their expressions over and over
+    held = scored.withColumn("_at", F.monotonically_increasing_id())
+    good = held.where((F.col("_at") >= 0) & ~base_failed(F.col("_features"))).drop("_features", "_at")
     return with_verdicts(good, verdicts, host).where("host_ok").select(*docs.columns)
 
 
