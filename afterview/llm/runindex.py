@@ -168,7 +168,7 @@ def run_indexes(span: int = SPAN):
     return index
 
 
-def remove_repeated_bytes(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: doc_id, n_units (bytes), n_removed, spans of removed
     bytes (maximal runs), kept (the other bytes; they may cut characters).
 

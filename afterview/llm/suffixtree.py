@@ -126,7 +126,7 @@ def subtrees(span: int = SPAN):
     return index
 
 
-def remove_repeated_passages(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeated_passages(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: doc_id, n_units (words), n_removed, spans of removed
     words, kept (the other words joined by one space, as bytes).
 
