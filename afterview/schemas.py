@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {"string": T.StringType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(), "strings": T.ArrayType(T.StringType())}
 
 
-EXPOSURE = _schema("exposure_id string, event_time timestamp, ingest_time timestamp, campaign_id string, household_id string, ip string, app_id string, program_genre string, spend double")
-CONVERSION = _schema("conversion_id string, event_time timestamp, ingest_time timestamp, device_id string, ip string, conversion_type string, revenue double, order_id string")
-RESOLVED = _schema(f"{CONVERSION.toDDL()}, household_id string, resolution string, ambiguous boolean, candidate_count int")
-ATTRIBUTED = _schema(f"{RESOLVED.toDDL()}, exposure_id string, assists array<string>, attributed boolean, path string, processed_at timestamp, reason string, candidate_households array<string>")
-GRAPH = _schema("household_id string, devices array<struct<device_id:string,kind:string>>, ips array<string>")
-TRUTH = _schema("conversion_id string, truth_exposure_id string")
+def columns(text: str, *before: T.StructType) -> T.StructType:
+    """A schema of `name type` pairs behind the columns of others; needs no session."""
+    pairs = (c.split() for c in text.split(","))
+    return T.StructType([*(f for s in before for f in s), *(T.StructField(n, _TYPES[t]) for n, t in pairs)])
 
-_FILLED = {"exposure_id": EXPOSURE, "conversion_id": CONVERSION}
+
+EXPOSURE = columns("exposure_id string, event_time timestamp, ingest_time timestamp, campaign_id string, household_id string, ip string, app_id string, program_genre string, spend double")
+CONVERSION = columns("conversion_id string, event_time timestamp, ingest_time timestamp, device_id string, ip string, conversion_type string, revenue double, order_id string")
+RESOLVED = columns("household_id string, resolution string, ambiguous boolean, candidate_count int", CONVERSION)
+ATTRIBUTED = columns("exposure_id string, assists strings, attributed boolean, path string, processed_at timestamp, reason string, candidate_households strings", RESOLVED)
+_DEVICES = T.StructField("devices", T.ArrayType(columns("device_id string, kind string")))
+GRAPH = T.StructType([*columns("household_id string"), _DEVICES, *columns("ips strings")])
+TRUTH = columns("conversion_id string, truth_exposure_id string")
 
 
 def _is_set(values: Column) -> Column:

@@ -7,17 +7,20 @@ a query; here each household has its own, held in state.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.attribute import ALLOWED_LATENESS, HOT_WINDOW
+from ..schemas import columns
 
-EVENTS = T.StructType.fromDDL("household_id string, kind string, id string, event_us long, ingest_us long, certain boolean")
+EVENTS = columns("household_id string, kind string, id string, event_us long, ingest_us long, certain boolean")
+MARK, HELD, WAITING = columns("at long, peak int, evicted int"), columns("id string, at long"), columns("id string, at long, certain boolean")
 OUT = "conversion_id string, household_id string, exposure_id string, assists array<string>, attributed boolean, peak int, evicted int"
 END = "zzz"  # sorts behind every other kind
 
@@ -34,9 +37,9 @@ class Attribution(StatefulProcessor):
         self.window, self.lateness = window * 1_000_000, lateness * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.mark = handle.getValueState("mark", T.StructType.fromDDL("at long, peak int, evicted int"))
-        self.held = handle.getListState("held", T.StructType.fromDDL("id string, at long"))
-        self.waiting = handle.getListState("waiting", T.StructType.fromDDL("id string, at long, certain boolean"))
+        self.mark = handle.getValueState("mark", MARK)
+        self.held = handle.getListState("held", HELD)
+        self.waiting = handle.getListState("waiting", WAITING)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values(["ingest_us", "kind", "id"], kind="stable")
@@ -89,7 +92,11 @@ def tagged(exposures: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def attributed_stream(stream: DataFrame, window: int = HOT_WINDOW, lateness: int = ALLOWED_LATENESS) -> DataFrame:
-    """A stream of EVENTS as a stream of OUT; needs the RocksDB state store."""
+    """A stream of EVENTS as a stream of OUT; needs the RocksDB state store.
+
+    The processor is sent with its code: the process that prepares it beside
+    the driver's JVM does not see the files added to the session."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return stream.groupBy("household_id").transformWithStateInPandas(Attribution(window, lateness), OUT, "append", "none")
 
 
