@@ -227,7 +227,8 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, words: int = WORD
     members = stored(buckets.join(shared, "band"), "buckets")
 
     wanted = members.groupBy("node").agg(F.min("first").alias("first")).select("node", "first.*")
-    texts = base.join(wanted, base["doc_id"].eqNullSafe(wanted["doc_id"]) & (base["text_key"] == wanted["text_key"])).select("node", "text")
+    # merged at every size: a broadcast for small inputs alone would make the plan depend on the size
+    texts = base.join(wanted.hint("merge"), base["doc_id"].eqNullSafe(wanted["doc_id"]) & (base["text_key"] == wanted["text_key"])).select("node", "text")
     bag = stored(_packed_bags(texts, words).groupBy("node").agg(F.any_value("bag").alias("bag")), "bags")
     members = members.select("band", "node", "leader")
 
@@ -282,7 +283,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     def of(ids: DataFrame, rows: DataFrame) -> DataFrame:
         ids = ids.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        return rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_text_key"] == ids["_key"]), "left_semi")
+        return rows.join(ids.hint("merge"), rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_text_key"] == ids["_key"]), "left_semi")
 
     worded, twice = held.where(words), kept.where("copies > 1")
     out = of(kept.where("copies = 1"), worded)
