@@ -52,29 +52,30 @@ def fold(doc_id: Column) -> Column:
 
 
 def labelled(labels: DataFrame, most: int = LABELLED) -> DataFrame:
-    """(doc_id, good, fold), one row for each labelled id: good if the quality is
-    1 and nothing says toxic. Rows without an id or a quality are left out."""
-    one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality").cast("int") * (1 - F.coalesce(F.max("toxic"), F.lit(0)).cast("int"))).alias("good"))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "good", fold(F.col("doc_id")).alias("fold"))
+    """(doc_id, good, toxic, fold), one row for each labelled id: good if the quality
+    is 1 and nothing says toxic. Rows without an id or a quality are left out."""
+    one = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.coalesce(F.max("toxic"), F.lit(0)).cast("int").alias("toxic"))
+    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", (F.col("quality") * (1 - F.col("toxic"))).alias("good"), "toxic", fold(F.col("doc_id")).alias("fold"))
 
 
 def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Of each bucket: documents that have it and occurrences, raw and target
-    (four rows); and the numbers of raw and target documents.
+    (four rows), and toxic documents that have it; and the numbers of raw,
+    target and toxic documents.
 
-    docs: (text, in_target). One packed message for each task and part of the
+    docs: (text, kind), kind 1 for target and 2 for toxic. One packed message for each task and part of the
     buckets; the result has a fixed size."""
 
     def count(batches):
-        seen, total = np.zeros((4, BUCKETS), np.int64), np.zeros(2, np.int64)
+        seen, total = np.zeros((5, BUCKETS), np.int64), np.zeros(3, np.int64)
         for b in batches:
             buf, bounds = flat(b.column(0))
-            target = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            total += len(target), target.sum()
+            kind = b.column(1).to_numpy(zero_copy_only=False)
+            total += len(kind), (kind == 1).sum(), (kind == 2).sum()
             for x, y in slices(bounds, SLICE_BYTES):
                 doc, bucket, times = buckets(buf[bounds[x] : bounds[y]], bounds[x : y + 1] - bounds[x])
-                own = target[x:y][doc]
-                for k, (g, n) in enumerate(((bucket, None), (bucket[own], None), (bucket, times), (bucket[own], times[own]))):
+                own, toxic = kind[x:y][doc] == 1, kind[x:y][doc] == 2
+                for k, (g, n) in enumerate(((bucket, None), (bucket[own], None), (bucket, times), (bucket[own], times[own]), (bucket[toxic], None))):
                     seen[k] += np.bincount(g, n, BUCKETS).astype(np.int64)
         width = BUCKETS // PARTS
         yield from messages([(p, 0, 0, bundle(*seen[:, p * width : (p + 1) * width], total)) for p in range(PARTS)]).to_batches()
@@ -88,26 +89,30 @@ def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     rows = sorted((r["part"], bytes(r["data"])) for r in docs.mapInArrow(count, MESSAGE).groupBy("part").applyInArrow(add, MESSAGE).collect())  # PARTS rows
     if not rows:
-        return np.zeros((4, BUCKETS), np.int64), np.zeros(2, np.int64)
+        return np.zeros((5, BUCKETS), np.int64), np.zeros(3, np.int64)
     parts = [unbundle(d) for _, d in rows]
-    return np.stack([np.concatenate([p[k] for p in parts]) for k in range(4)]), parts[0][4]
+    return np.stack([np.concatenate([p[k] for p in parts]) for k in range(5)]), parts[0][5]
 
 
 def log_ratios(counts: np.ndarray, docs: np.ndarray, shrink: float = SHRINK, smooth: float = 0.1) -> np.ndarray:
-    """Two rows: log((target documents + s) / (those expected from raw + s)),
-    and the log ratio of the smoothed frequencies."""
-    expected = counts[0] * (docs[1] / max(1, docs[0]))
-    by_docs = np.log((counts[1] + shrink) / (expected + shrink))
-    raw, target = ((c + smooth) / (c.sum() + smooth * BUCKETS) for c in counts[2:].astype(float))
-    return np.stack([by_docs, np.log(target / raw)]).astype(np.float32)
+    """Three rows: log((target documents + s) / (those expected from raw + s)),
+    the log ratio of the smoothed frequencies, and the first for toxic documents
+    with a quarter of s."""
 
+    def by_docs(own: np.ndarray, n: int, s: float) -> np.ndarray:
+        return np.log((own + s) / (counts[0] * (n / max(1, docs[0])) + s))
 
-WEIGHTS = "doc_id long, text_key long, n_docs_grams long, n_grams long, ratio double, worst double, log_ratio double"
+    raw, target = ((c + smooth) / (c.sum() + smooth * BUCKETS) for c in counts[2:4].astype(float))
+    return np.stack([by_docs(counts[1], docs[1], shrink), np.log(target / raw), by_docs(counts[4], docs[2], shrink / 4)]).astype(np.float32)
+
+
+WEIGHTS = "doc_id long, text_key long, n_docs_grams long, n_grams long, ratio double, worst double, log_ratio double, toxic double"
 
 
 def _weights(docs: DataFrame, ratios) -> DataFrame:
     """Of (doc_id, text_key, text): the sum and the least of the distinct n-grams'
-    ratios by documents, and the log ratio of the text under the two frequency models."""
+    ratios by documents, the log ratio of the text under the two frequency models,
+    and the n-gram that speaks most for toxic text."""
     names = [c.split()[0] for c in WEIGHTS.split(", ")]
 
     def run(batches):
@@ -119,8 +124,10 @@ def _weights(docs: DataFrame, ratios) -> DataFrame:
                 own = r[:, bucket].astype(float)
                 worst = np.zeros(y - x)
                 np.minimum.at(worst, doc, own[0])
+                toxic = np.zeros(y - x)
+                np.maximum.at(toxic, doc, own[2])
                 sums = [np.bincount(doc, w, y - x) for w in (None, times, own[0], own[1] * times)]
-                yield pa.RecordBatch.from_arrays([b.column(0)[x:y], b.column(1)[x:y], pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(worst), pa.array(sums[3])], names)
+                yield pa.RecordBatch.from_arrays([b.column(0)[x:y], b.column(1)[x:y], pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(worst), pa.array(sums[3]), pa.array(toxic)], names)
 
     return docs.mapInArrow(run, WEIGHTS)
 
@@ -143,10 +150,10 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def parts_of() -> list[Column]:
-    """What calibration sees of a row of WEIGHTS: both ratios damped and for each n-gram, and the worst n-gram."""
+    """What calibration sees of a row of WEIGHTS: both ratios damped and for each n-gram, the worst n-gram, the most toxic one."""
     damped = lambda c: F.signum(c) * F.log1p(F.abs(F.col(c)))
     each = lambda c, n: F.col(c) / F.greatest(F.col(n), F.lit(1))
-    return [damped("ratio"), each("ratio", "n_docs_grams"), F.col("worst"), damped("log_ratio"), each("log_ratio", "n_grams")]
+    return [damped("ratio"), each("ratio", "n_docs_grams"), F.col("worst"), damped("log_ratio"), each("log_ratio", "n_grams"), F.col("toxic")]
 
 
 def gumbel(seed: int, *keys: Column) -> Column:
@@ -171,12 +178,12 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     known = stored(labelled(labels), "labelled")  # at most LABELLED rows of 20 bytes
-    target = F.broadcast(known.where("good = 1 and fold >= 2").select("doc_id", F.lit(True).alias("in_target")))
-    counted = base.join(target, "doc_id", "left").select("text", F.coalesce("in_target", F.lit(False)).alias("in_target"))
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(*_counts(counted)))  # BUCKETS times two numbers
+    kinds = F.broadcast(known.where("(good = 1 or toxic = 1) and fold >= 2").select("doc_id", F.when(F.col("good") == 1, 1).otherwise(2).alias("kind")))
+    counted = base.join(kinds, "doc_id", "left").select("text", F.coalesce("kind", F.lit(0)).alias("kind"))
+    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(*_counts(counted)))  # BUCKETS times three numbers
     told = stored(_weights(base, ratios), "weights")
     x = parts_of()
-    rows = told.join(F.broadcast(known.where("fold = 0")), "doc_id").groupBy("doc_id").agg(F.first(F.struct(*(c.alias(f"x{i}") for i, c in enumerate(x)), "good")).alias("r")).select("r.*").collect()
+    rows = told.join(F.broadcast(known.where("fold = 0").select("doc_id", "good")), "doc_id").groupBy("doc_id").agg(F.first(F.struct(*(c.alias(f"x{i}") for i, c in enumerate(x)), "good")).alias("r")).select("r.*").collect()
     data = np.array([tuple(r) for r in rows], float).reshape(-1, len(x) + 1)
     w = calibrate(data[:, :-1], data[:, -1])
     odds = F.lit(float(w[0]))
