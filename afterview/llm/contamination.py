@@ -87,7 +87,8 @@ def find(text: str | None, machine: ahocorasick.Automaton) -> tuple[int, list[tu
         if runs and to - n <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], to)
             while len(runs) > 1 and to - n <= runs[-2][1]:
-                runs[-2][1] = max(runs[-2][1], runs.pop()[1])
+                last = runs.pop()
+                runs[-1][1] = max(runs[-1][1], last[1])
             runs[-1][0] = min(runs[-1][0], to - n)
         else:
             runs.append([to - n, to])

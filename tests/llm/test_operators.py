@@ -92,6 +92,23 @@ def test_decontamination(spark, docs, corpus, empty):
     assert original_spans("É, ab--CD x", [(1, 3)]) == [(3, 9)]
 
 
+def test_hits_of_short_items_inside_a_longer_one():
+    """A long window that ends behind several separate hits joins just those that it covers."""
+    from afterview.llm.contamination import automaton, find, item_windows
+
+    text = [f"w{i}" for i in range(20)]
+    rng = random.Random(6)
+    cuts = [[(0, 1), (5, 6), (0, 13)], [(0, 1), (3, 4), (7, 8), (9, 10), (2, 15)], [(1, 6), (7, 12), (0, 13)]]
+    cuts += [[(a, a + rng.randrange(1, 14)) for a in rng.sample(range(20), 5)] for _ in range(300)]
+    for spans in cuts:
+        spans = [(a, min(b, 20)) for a, b in spans]
+        _, runs, ids = find(" ".join(text), automaton(item_windows([(k, " ".join(text[a:b])) for k, (a, b) in enumerate(spans)], 13)))
+        inside = {j for a, b in spans for j in range(a, b)}
+        assert {j for a, b in runs for j in range(a, b)} == inside
+        assert sum(b - a for a, b in runs) == len(inside) and ids == set(range(len(spans)))
+        assert all(b < a for (_, b), (a, _) in zip(runs, runs[1:]))
+
+
 def test_packing_round_trip(spark, docs, corpus, empty):
     from afterview.llm.packing import pack, plan, solve
     from afterview.llm.tokens import reference
