@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import documents, flat, slices, stored
@@ -139,15 +139,29 @@ def _packed_bags(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "node binary, bag binary")
 
 
+#: Longs of a sketch: 2048 bits, each the parity of the number of shingles that fall on it.
 SKETCH_WORDS = 32
-#: Bits of 2048 that may differ: two texts at exactly 0.8 differ in 205 on average
-#: with a deviation of 13.6, at 0.82 in 184, so 3 in 10,000 or 1 in a million are left out.
-SKETCH_DIFFER = 251
+
+
+def parities(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int) -> np.ndarray:
+    """A sketch for each document. Where two sketches differ in a bit, at least one
+    shingle (with multiplicity) is in one document and not in the other."""
+    cells = 64 * SKETCH_WORDS
+    at = doc * cells + (mix(key) % np.uint64(cells)).astype(np.int64)
+    odd = np.bincount(at, count & 1, docs * cells).astype(np.int64) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(docs, cells), axis=1).view(np.int64)
+
+
+def can_overlap(differ: Column, a: Column, b: Column, similar: float) -> Column:
+    """False only if multisets of a and b shingles, of which at least `differ` have no
+    partner, cannot overlap by `similar`: with d of them the overlap is (a + b - d) / (a + b + d)."""
+    percent = round(similar * 1000)
+    return F.greatest(differ, F.abs(a - b)) * (1000 + percent) <= (a + b) * (1000 - percent)
 
 
 def _sketches(bag: DataFrame) -> DataFrame:
-    """(node, s0 .. s31): one bit of each of 2048 registers, of (node, bag)."""
-    names = ["node", *(f"s{i}" for i in range(SKETCH_WORDS))]
+    """(node, size, s0 .. s31) of (node, bag): the number of shingles and the parities."""
+    names = ["node", "size", *(f"s{i}" for i in range(SKETCH_WORDS))]
 
     def run(batches):
         for b in batches:
@@ -155,9 +169,9 @@ def _sketches(bag: DataFrame) -> DataFrame:
                 part = b.slice(at, 32)
                 opened = [_opened(x) for x in part.column(1).to_pylist()]
                 doc = np.repeat(np.arange(len(opened)), [len(k) for k, _ in opened])
-                registers = signatures(doc, np.concatenate([k for k, _ in opened]), np.concatenate([c for _, c in opened]), len(opened), 64 * SKETCH_WORDS)
-                bits = np.packbits((mix(registers.view(np.uint64)) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(SKETCH_WORDS))], names)
+                bits = parities(doc, np.concatenate([k for k, _ in opened]), np.concatenate([c for _, c in opened]), len(opened))
+                size = pa.array([int(c.sum()) for _, c in opened], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), size, *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(SKETCH_WORDS))], names)
 
     return bag.mapInArrow(run, "node binary, " + ", ".join(f"{n} long" for n in names[1:]))
 
@@ -209,10 +223,11 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, words: int = WORD
     merged first, so copies cost one row each. Different bags that share a band
     are compared: each with the least of its bucket and with the bucket's
     best-linked one, and then those that are not in that one's class with all of
-    the bucket that are in another class, if their 2048-bit sketches are near.
+    the bucket that are in another class, but for pairs whose sizes and 2048-bit
+    sketches prove that they overlap less (see can_overlap; no pair is lost).
     So a bucket of n near copies of one text costs n comparisons and not their
     square. A pair at 0.8 shares no band with probability 0.59^20, 3 in 100,000;
-    for the sketches see SKETCH_DIFFER.
+    with the bands given, the classes are exact.
 
     A text without words (null too) is in no class but its own. A null id is
     the greatest; repeated rows are copies of each other.
@@ -244,17 +259,17 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, words: int = WORD
     pairs = stored(pairs, "pairs")
     edges = stored(edges.unionByName(_verified(pairs, bag, similar, "edges")), "edges")
     found = components(edges, "labels")
-    # those that are not in the hub's class, with all of the bucket that have another class and a near sketch
+    # those that are not in the hub's class, with all of the bucket that have another class and may overlap enough
     labels = members.select("band", "node", "hub").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_hub = labels.where("node = hub").select("band", F.col("label").alias("hub_label"))
     open_ = stored(labels.join(of_hub, "band"), "classes")
     apart = open_.where("label <> hub_label")
     open_ = open_.join(apart.select("band").distinct(), "band", "left_semi").select("band", "node", "label")
     sketch = stored(_sketches(bag.join(open_.select("node").distinct(), "node", "left_semi")).join(nodes.select("node", "bands"), "node"), "sketches")
-    one, other = (d.join(sketch, "node").select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "bands")), *(F.col(f"s{i}").alias(f"s{i}_{side}") for i in range(SKETCH_WORDS))) for d, side in ((apart.select("band", "node", "label"), "a"), (open_, "b")))
+    one, other = (d.join(sketch, "node").select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "bands", "size")), *(F.col(f"s{i}").alias(f"s{i}_{side}") for i in range(SKETCH_WORDS))) for d, side in ((apart.select("band", "node", "label"), "a"), (open_, "b")))
     differ = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
     both_bands = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    near = one.join(other, "band").where((F.col("label_a") != F.col("label_b")) & (differ <= SKETCH_DIFFER) & (F.get(both_bands, 0) == F.col("band")))
+    near = one.join(other, "band").where((F.col("label_a") != F.col("label_b")) & can_overlap(differ, F.col("size_a"), F.col("size_b"), similar) & (F.get(both_bands, 0) == F.col("band")))
     more = _verified(stored(near.select(*_pair("node_a", "node_b")).distinct(), "pairs"), bag, similar, "edges")
     if not more.isEmpty():  # classes that these links join, then each node through its class
         of = lambda side: found.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))

@@ -265,6 +265,58 @@ def test_near_duplicates(spark, docs, corpus, empty):
     assert near_duplicates(empty).isEmpty() and one_of_each(empty).isEmpty()
 
 
+def test_near_duplicates_lose_no_pair_of_a_bucket(spark):
+    """All pairs of a bucket count, at any `similar`, also those outside the hub's class."""
+    from afterview.llm.nearduplicates import bags, band_keys, near_duplicates, overlap, signatures
+
+    rng = random.Random(8)
+    line = lambda n: [f"t{rng.randrange(10**9)}" for _ in range(n)]
+    core, texts = line(60), []
+    for family in range(12):
+        own = line(50)
+        texts += [" ".join([*core, *own, *line(25)]) for _ in range(30 if family == 0 else 4)]
+    raw = [t.encode() for t in texts]
+    bounds = np.append(0, np.cumsum([len(t) for t in raw]))
+    doc, key, count = bags(np.frombuffer(b"".join(raw), np.uint8), bounds)
+    for similar, bands in ((0.6, 2), (0.8, 2)):
+        keys = band_keys(signatures(doc, key, count, len(texts), bands), bands, 1)
+        label = list(range(len(texts)))
+        one = [(key[doc == i], count[doc == i]) for i in range(len(texts))]
+        for a in range(len(texts)):
+            for b in range(a):
+                common, union = overlap(one[a], one[b])
+                if (keys[a] == keys[b]).any() and common * 1000 >= round(similar * 1000) * union:
+                    x, y = label[a], label[b]
+                    label = [min(x, y) if k in (x, y) else k for k in label]
+        got = {r["doc_id"]: r["class_id"] for r in near_duplicates(make(spark, [(i, t, "s") for i, t in enumerate(texts)]), similar, bands=bands, rows=1).collect()}
+        assert got == dict(enumerate(label))
+        assert len(set(label)) < 30 or similar > 0.6
+
+
+def test_sketches_only_turn_away_what_is_apart(spark):
+    from pyspark.sql import functions as F
+
+    from afterview.llm.nearduplicates import can_overlap, overlap, parities
+    from afterview.llm.textnum import mix
+
+    rng, rows = np.random.default_rng(3), []
+    for k in range(400):
+        key = np.sort(mix(np.arange(1, 2 + int(rng.integers(1, 3000)), dtype=np.uint64)))
+        times = lambda: rng.integers(1, 4, len(key)) * (rng.random(len(key)) > rng.random() * 0.3)
+        a, b = times(), times()
+        if not a.any() or not b.any():
+            continue
+        two = [(key[c > 0], c[c > 0]) for c in (a, b)]
+        s = parities(np.repeat([0, 1], [len(x) for x, _ in two]), np.concatenate([x for x, _ in two]), np.concatenate([c for _, c in two]), 2)
+        common, union = overlap(*two)
+        rows.append((int(np.bitwise_count((s[0] ^ s[1]).view(np.uint64)).sum()), int(a.sum()), int(b.sum()), common, union))
+    told = spark.createDataFrame(rows, "differ long, a long, b long, common long, both long")
+    for similar in (0.5, 0.8, 0.9):
+        passed = told.select("common", "both", can_overlap(F.col("differ"), F.col("a"), F.col("b"), similar).alias("may")).collect()
+        assert all(r["may"] for r in passed if 1000 * r["common"] >= round(1000 * similar) * r["both"])
+    assert not all(r["may"] for r in passed)
+
+
 def test_signatures_estimate_weighted_similarity():
     from afterview.llm.nearduplicates import signatures
     from afterview.llm.textnum import mix
