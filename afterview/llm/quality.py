@@ -132,10 +132,11 @@ def _weights(docs: DataFrame, ratios) -> DataFrame:
     return docs.mapInArrow(run, WEIGHTS)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Logistic regression (Newton's method): from parts_of() to the log odds of good."""
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, plain: int = -1) -> np.ndarray:
+    """Logistic regression (Newton's method): from parts_of() to the log odds of good;
+    column `plain` alone where there is nothing to learn from."""
     if not len(y) or y.min() == y.max():
-        return np.append(np.zeros(x.shape[1]), 1.0)
+        return np.append(0.0, np.eye(x.shape[1])[plain])
     scale = np.append(1.0, np.maximum(x.std(0), 1e-9))
     a = np.column_stack([np.ones(len(x)), x]) / scale
     w = np.zeros(a.shape[1])
@@ -149,11 +150,15 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w / scale
 
 
-def parts_of() -> list[Column]:
+#: The part that stands alone without a calibration: the log ratio for each n-gram.
+PLAIN = "each_log_ratio"
+
+
+def parts_of() -> dict[str, Column]:
     """What calibration sees of a row of WEIGHTS: both ratios damped and for each n-gram, the worst n-gram, the most toxic one."""
     damped = lambda c: F.signum(c) * F.log1p(F.abs(F.col(c)))
     each = lambda c, n: F.col(c) / F.greatest(F.col(n), F.lit(1))
-    return [damped("ratio"), each("ratio", "n_docs_grams"), F.col("worst"), damped("log_ratio"), each("log_ratio", "n_grams"), F.col("toxic")]
+    return {"ratio": damped("ratio"), "each_ratio": each("ratio", "n_docs_grams"), "worst": F.col("worst"), "log_ratio": damped("log_ratio"), PLAIN: each("log_ratio", "n_grams"), "toxic": F.col("toxic")}
 
 
 def gumbel(seed: int, *keys: Column) -> Column:
@@ -182,10 +187,10 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     counted = base.join(kinds, "doc_id", "left").select("text", F.coalesce("kind", F.lit(0)).alias("kind"))
     ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(*_counts(counted)))  # BUCKETS times three numbers
     told = stored(_weights(base, ratios), "weights")
-    x = parts_of()
+    names, x = zip(*parts_of().items(), strict=True)
     rows = told.join(F.broadcast(known.where("fold = 0").select("doc_id", "good")), "doc_id").groupBy("doc_id").agg(F.first(F.struct(*(c.alias(f"x{i}") for i, c in enumerate(x)), "good")).alias("r")).select("r.*").collect()
     data = np.array([tuple(r) for r in rows], float).reshape(-1, len(x) + 1)
-    w = calibrate(data[:, :-1], data[:, -1])
+    w = calibrate(data[:, :-1], data[:, -1], plain=names.index(PLAIN))
     odds = F.lit(float(w[0]))
     for weight, c in zip(w[1:], x, strict=True):
         odds = odds + c * float(weight)

@@ -368,6 +368,24 @@ def test_quality_ranks_good_text_first(spark, empty):
     assert calibrate(np.zeros((0, 2)), np.zeros(0)).tolist() == [0, 0, 1]
 
 
+def test_quality_without_a_calibration_follows_the_ratio(spark):
+    """Labels of the target alone, with or without toxic ones outside the calibration fold."""
+    from afterview.llm.quality import resample
+
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(WORDS[:20] if i % 3 else WORDS[20:]) for _ in range(400)), "s") for i in range(300)]
+    fold = lambda i: zlib.crc32(str(i).encode()) % 5
+    target = [(i, 1, 0) for i in range(300) if i % 3]
+    toxic = [(i, 0, 1) for i in range(0, 300, 3) if fold(i) >= 2]
+    for labels in (target, target + toxic):
+        got = resample(make(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+        n_grams = 400 + 399
+        assert all(abs(r["log_odds"] - r["log_ratio"] / n_grams) < 1e-9 for r in got)
+        kept = [r["doc_id"] for r in got if r["kept"]]
+        assert len(kept) == sum(r["log_ratio"] > 0 for r in got) >= 190
+        assert all(r["log_ratio"] > 0 for r in got if r["doc_id"] % 3) and all(r["log_ratio"] < 0 for r in got if r["doc_id"] % 3 == 0)
+
+
 @pytest.mark.parametrize("split", [False, True])
 def test_katz(spark, docs, corpus, empty, split, monkeypatch):
     import math
