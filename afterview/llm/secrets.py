@@ -14,7 +14,11 @@ from pyspark.sql import types as T
 from .base import documents
 
 #: A run of the characters that keys are made of; one with a digit and a letter is a candidate.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{12,512}={0,2}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{12,}={0,2}")
+#: What is assigned, of any length and characters; a candidate near a word of FOR.
+ASSIGNED = re.compile(r"""[=:]>?\s*(?=(?:"([^"\n]+)"|'([^'\n]+)'|([^\s"'=:>][^\s"']*)))""")
+#: The password of a URL.
+IN_URL = re.compile(r"://[^\s/@:]*:([^\s/@]+)@")
 #: Words before a candidate that speak for, and against, a secret.
 FOR = "password passwd passphrase pwd secret token key apikey api_key access_key secret_key private_key auth authorization bearer credential credentials client_secret".split()
 AGAINST = "example sample dummy placeholder test fixture sha sha1 sha256 md5 checksum hash digest commit revision uuid guid id isbn version build order invoice ticket url path file image".split()
@@ -23,7 +27,7 @@ PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xo
 #: Words that a candidate may be made of.
 DICTIONARY = sorted(set("the and for with that this from have not are was one all can out use new get set end day year time user name data file test page main list item type code text line word part read load view index image table value group event model order state start stop first last next error debug build release version config default master example sample server client service product project number string account address article archive assets static script style http https www com org net html json image photo video upload download document".split()))
 
-FEATURES = ("length", "digits", "uppers", "symbols", "hex", "entropy", "changes", "rare_pairs", "repeats", "dictionary", "known_prefix", "for_near", "for_far", "against", "assigned", "quoted", "path_against", "groups")
+FEATURES = ("length", "digits", "uppers", "symbols", "hex", "entropy", "changes", "rare_pairs", "repeats", "dictionary", "known_prefix", "for_near", "for_far", "against", "assigned", "quoted", "path_against", "groups", "in_url")
 
 
 @dataclass(frozen=True)
@@ -60,12 +64,12 @@ def features(f: Finding) -> list[float]:
     return [
         n, kinds.count(0) / n, kinds.count(2) / n, kinds.count(3) / n,
         float(re.fullmatch(r"[0-9a-fA-F]+", v) is not None), float(-(share * np.log2(share)).sum()),
-        sum(a != b for a, b in zip(kinds, kinds[1:])) / n, float(np.mean([TRANSITION[a, b] for a, b in zip(kinds, kinds[1:])])),
+        sum(a != b for a, b in zip(kinds, kinds[1:])) / n, float(np.mean([TRANSITION[a, b] for a, b in zip(kinds, kinds[1:])] or [0.0])),
         sum(a == b for a, b in zip(v, v[1:])) / n, covered / n,
         float(v.startswith(PREFIXES)), float(any(w in FOR for w in last)), float(any(w in FOR for w in near[-5:])),
         float(any(w in AGAINST for w in near[-3:])), float(re.search(r"[=:]\s*[\"']?$", f.before) is not None),
         float(f.before[-1:] in "\"'" and f.after[:1] in "\"'" if f.before else False), float(bool(path & set(AGAINST))),
-        float(len(re.split(r"[-_/+]", v))),
+        float(len(re.split(r"[-_/+]", v))), float(re.search(r"://[^\s/@:]*:$", f.before) is not None),
     ]
 
 
@@ -155,6 +159,20 @@ def labelled_findings(n: int = 6000, seed: int = 11) -> list[Finding]:
         after = before[-1:] if before[-1:] in "\"'" else " " + prose(2)
         if len(value) >= 12:
             out.append(Finding(value, before, after, path, secret))
+    size = lambda a, b: int(rng.integers(a, b))
+    base64 = low + up + dig + "+/"
+    for _ in range(n // 2):  # what is assigned: passwords of any form, and what stands in their place
+        secret, kind = bool(rng.random() < 0.5), size(0, 6)
+        before, after = prose(4) + " " + pick(["", "db_", "my_"]) + pick(FOR) + pick(["=", ": ", ":", " = ", ' = "', '="', '": "', " = '"]), " " + prose(2)
+        if secret:
+            value = [lambda: chars(low + up, size(1, 5)) + pick("!@#$%&*?.") + chars(low + up + dig, size(3, 14)) + chars(dig, 1), lambda: chars(low, size(4, 9)) + chars(dig, size(1, 4)) + chars(low + dig, size(0, 4)), lambda: chars(low, size(16, 33)), lambda: chars(up, 1) + chars(low + dig, size(3, 9)) + chars(dig, size(1, 3)) + chars(low + "!?", size(0, 4)), lambda: chars(low + up + dig + "!@#$%", size(8, 21)), lambda: chars(base64, size(200, 2000))][kind]()
+            if rng.random() < 0.25 and kind < 5:
+                before, after = prose(4) + " " + pick(["postgres", "https", "mysql", "redis", "amqp"]) + "://" + chars(low, size(3, 9)) + ":", "@" + chars(low, 5)
+        else:
+            value = [lambda: pick([*DICTIONARY, "none", "null", "true", "false", "required", "None", "True"]), lambda: chars(low, size(1, 11)), lambda: chars(dig, size(1, 7)), lambda: pick(["self." + chars(low, 6), chars(low, 5) + "(" + chars(low, 4) + ")", "${" + chars(up, 8) + "}", "<" + chars(low, 7) + ">", "*" * size(3, 12), "x" * size(3, 12), "..."]), lambda: prose(size(2, 9)), lambda: pick(["https://", "//"]) + chars(low, size(4, 10)) + ".com/" + pick(DICTIONARY)][kind]()
+            if rng.random() < 0.15:
+                value, before = chars(base64, size(200, 2000)), prose(4) + " " + pick(AGAINST) + pick(["=", ": ", " "])
+        out.append(Finding(value, before, before[-1] if before[-1] in "\"'" else after, pick(["src3", "docs", "config"]), secret))
     return out
 
 
@@ -174,13 +192,30 @@ def trained(findings: list[Finding] | None = None, n: int = 6000, seed: int = 11
     return made
 
 
+def near_key(before: str) -> bool:
+    return any(p in FOR for w in _word.findall(before[-60:])[-5:] for p in (w.lower(), *w.lower().split("_")))
+
+
 def candidates(text: str, path: str) -> list[tuple[int, int, Finding]]:
-    out = []
-    for m in CANDIDATE.finditer(text):
-        v = m.group()
-        if any(c.isdigit() for c in v) and any(c.isalpha() for c in v):
-            a, b = m.span()
-            out.append((a, b, Finding(v, text[max(0, a - 80) : a], text[b : b + 8], path)))
+    """Runs of key characters, what is assigned near a word of FOR, passwords of
+    URLs; by place. One may lie inside another."""
+    spans = {m.span() for m in CANDIDATE.finditer(text) if any(c.isdigit() for c in m.group()) and any(c.isalpha() for c in m.group())}
+    for m in ASSIGNED.finditer(text):
+        if near_key(text[max(0, m.start() - 80) : m.start()]):
+            a, b = m.span(m.lastindex)
+            spans.add((a, b if m.lastindex < 3 else a + max(1, len(m.group(3).rstrip(".,;)]}")))))
+    spans |= {m.span(1) for m in IN_URL.finditer(text)}
+    return [(a, b, Finding(text[a:b], text[max(0, a - 80) : a], text[b : b + 8], path)) for a, b in sorted(spans)]
+
+
+def joined(hits: list[dict]) -> list[dict]:
+    """Overlapping hits as one, with the greatest score."""
+    out: list[dict] = []
+    for h in hits:
+        if out and h["start"] < out[-1]["end"]:
+            out[-1] = {"start": out[-1]["start"], "end": max(out[-1]["end"], h["end"]), "score": max(out[-1]["score"], h["score"])}
+        else:
+            out.append(h)
     return out
 
 
@@ -210,7 +245,7 @@ def scan_secrets(docs: DataFrame, forest: Forest | None = None, least: float = 0
             scores = iter(model.predict(np.array(flat)).tolist() if flat else [])
             rows = []
             for t, per in zip(texts, found, strict=True):
-                hits = [{"start": a, "end": e, "score": s} for (a, e, _), s in zip(per, (next(scores) for _ in per), strict=True) if s >= least]
+                hits = joined([{"start": a, "end": e, "score": s} for (a, e, _), s in zip(per, (next(scores) for _ in per), strict=True) if s >= least])
                 clean, at = [], 0
                 for h in hits:
                     clean += [t[at : h["start"]], MARK]

@@ -494,6 +494,22 @@ def test_secrets(spark, empty):
     assert isinstance(features(Finding("abc123def456", "")), list)
 
 
+def test_secrets_of_any_form(spark):
+    """Short, punctuated, letters-only and very long values reach the forest."""
+    from afterview.llm.secrets import candidates, scan_secrets
+
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(1030))
+    told = [('set password = "{}" here', "S3cure!Pass"), ("the pwd: {} was", "hunter2x9"), ("at postgres://app:{}@db/x now", "Pa55w0rd"), ("a passphrase = {} and", "correcthorsebatterystaple"), ("private_key={} end", long)]
+    plain = ["the key: value of it", "password = None", 'secret: "he never came back to the house"', "token = get_token(x)", "see https://host.com:8080/path"]
+    rows = [(i, f.format(v), "src1") for i, (f, v) in enumerate(told)] + [(100 + i, t, "src1") for i, t in enumerate(plain)]
+    for (f, v), (_, t, _) in zip(told, rows, strict=False):
+        assert v in [c.value for *_, c in candidates(t, "")]
+    got = {r["doc_id"]: r["found"]["redacted"] for r in scan_secrets(make(spark, rows)).collect()}
+    assert [got[i] for i in range(len(told))] == [f.format("[SECRET]") for f, _ in told]
+    assert not any(got[100 + i] for i in range(len(plain)))
+
+
 def test_host_rules(spark, corpus, empty):
     from afterview.llm.hostrules import base_failed, beta_prior, host_verdicts, keep_good, with_features
 
