@@ -126,7 +126,7 @@ _SNAPS = f"({_snapshot('credit_hot', 0)} union all {_snapshot('credit', 1000)})"
 def _restated(where: str = "true") -> str:
     first, last = "reported_ms = (select min(reported_ms) from snaps)", "reported_ms = (select max(reported_ms) from snaps)"
     pick = lambda c, w: f"max({c}) filter ({w})"
-    return f"""select campaign_id, round({pick('roas', first)}, 6) as roas_as_reported, round({pick('roas', last)}, 6) as roas_now, round({pick('roas', last)} - {pick('roas', first)}, 3) as roas_delta,
+    return f"""select campaign_id, round({pick('roas', first)}, 6) as roas_as_reported, round({pick('roas', last)}, 6) as roas_now, round({pick('roas', last)} - {pick('roas', first)}, 4) as roas_delta,
       {pick('conversions', first)} as conversions_as_reported, {pick('conversions', last)} as conversions_now, round({pick('revenue', last)} - {pick('revenue', first)}, 2) as revenue_delta
     from snaps where {where} group by campaign_id"""
 
@@ -190,9 +190,9 @@ BODIES = {
     "genre_reach_detail": "select (select count(*) from exposures where program_genre = 'sports') as exposures, (select count(*) from credit where program_genre = 'sports') as attributed_conversions",
     "accuracy_post": f"select * exclude (p, r) from ({_accuracy('cur')})",
     "accuracy_hot": f"select * exclude (p, r) from ({_accuracy('hot')})",
-    "alerts": f"""select 'lag_seconds' as alert, round(v, 3) as value, v > 14400 as firing from (select cast(max(epoch(date_trunc('second', ingest_time)) - epoch(date_trunc('second', event_time))) as double) as v from cur)
-      union all select 'match_rate', round(v, 3), v < 0.80 or v > 0.98 from (select count(*) filter (attributed) / count(*) as v from cur)
-      union all select 'restatement', round(v, 3), v > 1.0 from (select coalesce(max(abs(d)), 0) as v from (select round(max(roas) filter (reported_ms = (select max(reported_ms) from snaps)) - max(roas) filter (reported_ms = (select min(reported_ms) from snaps)), 4) as d from snaps group by campaign_id))
+    "alerts": f"""select 'lag_seconds' as alert, round(v, 4) as value, v > 14400 as firing from (select cast(max(epoch(date_trunc('second', ingest_time)) - epoch(date_trunc('second', event_time))) as double) as v from cur)
+      union all select 'match_rate', round(v, 4), v < 0.80 or v > 0.98 from (select count(*) filter (attributed) / count(*) as v from cur)
+      union all select 'restatement', round(v, 4), v > 1.0 from (select coalesce(max(abs(d)), 0) as v from (select round(max(roas) filter (reported_ms = (select max(reported_ms) from snaps)) - max(roas) filter (reported_ms = (select min(reported_ms) from snaps)), 4) as d from snaps group by campaign_id))
       union all select 'backlog', 0.0, false union all select 'parts', 0.0, false""",
     "lever_date_slice": f"select count(*) as n, {_SUM} from (select * from hot union all by name select * from rec) where day(event_time) = 10 and attributed",
     "lever_latest_agg": f"select count(*) as n, {_SUM} from cur where attributed",

@@ -166,7 +166,7 @@ def report_snapshots(spark, d):
 
 
 def _restated(df: DataFrame) -> DataFrame:
-    return df.select("campaign_id", F.round("roas_as_reported", 6).alias("roas_as_reported"), F.round("roas_now", 6).alias("roas_now"), F.round("roas_delta", 3).alias("roas_delta"), "conversions_as_reported", "conversions_now", "revenue_delta")
+    return df.select("campaign_id", F.round("roas_as_reported", 6).alias("roas_as_reported"), F.round("roas_now", 6).alias("roas_now"), "roas_delta", "conversions_as_reported", "conversions_now", "revenue_delta")
 
 
 @query
@@ -269,7 +269,7 @@ def _scored(df: DataFrame) -> DataFrame:
 @query
 def alerts(spark, d):
     hot, versions = full_pass(domain(spark, d))
-    return reports.alerts(versions, snapshots(hot, versions), hot.exposures).withColumn("value", F.round("value", 3))
+    return reports.alerts(versions, snapshots(hot, versions), hot.exposures).withColumn("value", F.round("value", 4))
 
 
 @query

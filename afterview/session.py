@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -23,6 +24,27 @@ def session(app: str = "afterview", master: str | None = None, **conf: str) -> S
     return ship(builder.getOrCreate())
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """This application's folder under spark.checkpoint.dir, which the driver and all
+    executors share. Where the setting is missing, a session on one machine gets
+    a temporary folder; on a cluster that is refused."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
+        at = getattr(spark.sparkContext, "_afterview_dir", None) or tempfile.mkdtemp(prefix="afterview-")
+        spark.sparkContext._afterview_dir = at
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(at)
+    return f"{at.rstrip('/')}/afterview-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what this application has stored; results that were not written elsewhere go with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Sends the package to the executors, once for each Spark context."""
     context = spark.sparkContext
