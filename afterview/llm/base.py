@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -10,21 +9,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests on one
-    machine), a fresh folder is set for the session."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = getattr(spark, "_afterview_dir", None) or tempfile.mkdtemp(prefix="afterview-")
-        spark._afterview_dir = at
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
+def mark(columns: list[str]) -> str:
+    """What an operator's own columns may begin with: no column of the table begins so
+    (names are told apart without regard to case)."""
+    out = "_op_"
+    while any(c.lower().startswith(out) for c in columns):
+        out += "_"
+    return out
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,22 +39,29 @@ def text_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     return row["n"], row["b"]
 
 
-def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
-    """df with `row_number` long: 0, 1, ... in the given order over the whole table.
+def numbered(df: DataFrame, order: list, name: str, out: str = "row_number") -> DataFrame:
+    """df with `out` long: 0, 1, ... in the given order over the whole table.
 
     One range exchange; each partition counts its own rows, and only one count
-    for each partition goes to the driver. Ties stand in any order, fixed once
-    by the stored table.
+    for each partition goes to the driver. Rows that tie in the whole order
+    (equal rows, for instance a third of the table) are spread by a random last
+    key; they stand in any order, fixed once by the stored table. A column
+    named `out` is replaced.
     """
-    at = (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("_at")
-    kept = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.spark_partition_id().alias("_part"), at), name)
-    counts = sorted((r["_part"], r["count"]) for r in kept.groupBy("_part").count().collect())
+    df = df.drop(out)
+    own = mark(df.columns)
+    part, at, salt, start = (own + x for x in ("part", "at", "salt", "from"))
+    last = F.col(salt)
+    ranged = df.withColumn(salt, F.rand(11)).repartitionByRange(*order, last).sortWithinPartitions(*order, last).drop(salt)
+    place = (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias(at)
+    kept = stored(ranged.select("*", F.spark_partition_id().alias(part), place), name)
+    counts = sorted((r[part], r["count"]) for r in kept.groupBy(part).count().collect())
     rows, total = [], 0
-    for part, n in counts:
-        rows.append((part, total))
+    for number, n in counts:
+        rows.append((number, total))
         total += n
-    offsets = kept.sparkSession.createDataFrame(rows, "_part int, _from long")
-    return kept.join(F.broadcast(offsets), "_part").withColumn("row_number", F.col("_from") + F.col("_at")).drop("_part", "_at", "_from")
+    offsets = kept.sparkSession.createDataFrame(rows, f"{part} int, {start} long")
+    return kept.join(F.broadcast(offsets), part).withColumn(out, F.col(start) + F.col(at)).drop(part, at, start)
 
 
 def flat(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

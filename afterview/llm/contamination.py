@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import documents
+from .base import documents, mark
 
 #: A-Z to lower case; every byte that is not a digit, a letter or above 0x7F to a space.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Bytes of windows in one automaton; further windows go to further automata.
-AUTOMATON_BYTES = 16 << 20
+#: Normalised bytes of all items that one automaton may hold; every worker process builds it.
+AUTOMATON_BYTES = 32 << 20
 
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()),
     T.StructField("n_hit", T.LongType()),
-    T.StructField("item_ids", T.ArrayType(T.LongType())),
+    T.StructField("item_ids", T.ArrayType(T.StringType())),
     T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))),
 ])
 
@@ -30,69 +30,90 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(NORMAL).split()
 
 
-def item_windows(items: list[tuple[int, str | None]], width: int) -> list[tuple[str, int, tuple[int, ...]]]:
-    """Each distinct window: its pattern, its number of words, the ids of its items."""
-    found: dict[bytes, set[int]] = {}
-    for item, text in items:
-        words = normal_words(text)
-        if item is None or not words:
-            continue
-        for i in range(max(1, len(words) - width + 1)):
-            found.setdefault(b" " + b" ".join(words[i : i + width]) + b" ", set()).add(item)
-    return [(w.decode("latin-1"), w.count(b" ") - 1, tuple(sorted(ids))) for w, ids in sorted(found.items())]
+class Items:
+    """The automaton over all items, and the items' words behind it.
 
+    Patterns are the whole items of fewer than `width` words, and of the others
+    the aligned blocks of half a window: any `width` consecutive words hold one
+    of them whole. So the patterns are as long as the items and not `width` times
+    that; a block found in a text is extended, word by word, to the longest run
+    that the text shares with the item there, and counts from `width` words on.
+    """
 
-def blocks(windows: list, most: int) -> list[list]:
-    out, size = [[]], 0
-    for w in windows:
-        if out[-1] and size + len(w[0]) > most:
-            out.append([])
-            size = 0
-        out[-1].append(w)
-        size += len(w[0])
-    return out
+    def __init__(self, texts: dict[bytes, tuple[str, ...]], width: int):
+        """texts: the normalised words of distinct items, joined by a space, and their ids."""
+        self.width, self.ids, self.words = width, [], []
+        block, known = (width + 1) // 2, {}
+        found: dict[bytes, tuple[list[int], list[tuple[int, int]]]] = {}
+        for k, (text, ids) in enumerate(sorted(texts.items())):
+            words = [known.setdefault(w, w) for w in text.split()]
+            self.ids.append(ids)
+            self.words.append(words)
+            if len(words) < width:
+                found.setdefault(text, ([], []))[0].append(k)
+                continue
+            for i in range(0, len(words) - block + 1, block):
+                found.setdefault(b" ".join(words[i : i + block]), ([], []))[1].append((k, i))
+        self.machine = ahocorasick.Automaton()
+        for pattern, (whole, blocks) in found.items():
+            self.machine.add_word(f" {pattern.decode('latin-1')} ", (pattern.count(b" ") + 1, whole, blocks))
+        if found:
+            self.machine.make_automaton()
+
+    def find(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+        """Number of words, merged runs of hit words [from, to), ids of the items that occur."""
+        words = normal_words(text)
+        if not words or not len(self.machine):
+            return len(words), [], set()
+        line = (b" " + b" ".join(words) + b" ").decode("latin-1")
+        runs: list[tuple[int, int]] = []
+        hit: set[int] = set()
+        reached: dict[tuple[int, int], int] = {}
+        gaps = None
+        for end, (n, whole, blocks) in self.machine.iter(line):
+            if gaps is None:
+                gaps = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
+            to = int(np.searchsorted(gaps, end))
+            if whole:
+                runs.append((to - n, to))
+                hit.update(whole)
+            for k, i in blocks:
+                shift = to - n - i  # of the item's words to the text's
+                if reached.get((k, shift), 0) >= to:
+                    continue
+                own, a, b = self.words[k], to - n, to
+                while a > max(shift, 0) and words[a - 1] == own[a - 1 - shift]:
+                    a -= 1
+                last = min(len(words), shift + len(own))
+                while b < last and words[b] == own[b - shift]:
+                    b += 1
+                reached[k, shift] = b
+                if b - a >= self.width:
+                    runs.append((a, b))
+                    hit.add(k)
+        return len(words), merged(runs), {i for k in hit for i in self.ids[k]}
+
+
+def distinct_items(rows, width: int) -> dict[bytes, tuple[str, ...]]:
+    """Normalised texts of (id, text) with the ids that have each; items without an id or words are left out."""
+    found: dict[bytes, set[str]] = {}
+    for item, text in rows:
+        words = normal_words(text)
+        if item is not None and words:
+            found.setdefault(b" ".join(words), set()).add(item)
+    return {text: tuple(sorted(ids)) for text, ids in found.items()}
 
 
-_automata: dict[str, ahocorasick.Automaton] = {}
+_built: dict[str, Items] = {}
 
 
-def automaton(windows: list) -> ahocorasick.Automaton:
+def built(texts: dict[bytes, tuple[str, ...]], width: int) -> Items:
     """Built once for each worker process; the last one is kept."""
-    key = hashlib.sha256("\n".join(f"{w[0]}{w[2]}" for w in windows).encode()).hexdigest()
-    if key not in _automata:
-        _automata.clear()
-        made = ahocorasick.Automaton()
-        for pattern, n, ids in windows:
-            made.add_word(pattern, (n, ids))
-        if windows:
-            made.make_automaton()
-        _automata[key] = made
-    return _automata[key]
-
-
-def find(text: str | None, machine: ahocorasick.Automaton) -> tuple[int, list[tuple[int, int]], set[int]]:
-    """Number of words, merged runs of hit words [from, to), ids of the items that occur."""
-    words = normal_words(text)
-    if not words or not len(machine):
-        return len(words), [], set()
-    line = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    runs: list[list[int]] = []
-    ids: set[int] = set()
-    at = None
-    for end, (n, items) in machine.iter(line):
-        if at is None:
-            at = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32)
-        to = int(np.searchsorted(at, end))
-        ids.update(items)
-        if runs and to - n <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], to)
-            while len(runs) > 1 and to - n <= runs[-2][1]:
-                last = runs.pop()
-                runs[-1][1] = max(runs[-1][1], last[1])
-            runs[-1][0] = min(runs[-1][0], to - n)
-        else:
-            runs.append([to - n, to])
-    return len(words), [tuple(r) for r in runs], ids
+    key = hashlib.sha256(repr((width, sorted(texts.items()))).encode()).hexdigest()
+    if key not in _built:
+        _built.clear()
+        _built[key] = Items(texts, width)
+    return _built[key]
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -115,55 +136,46 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, in
     return [(int(chars[starts[a]]) - 1, int(chars[ends[b - 1] - 1])) for a, b in runs]
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, out: str = "contamination", automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, out: str = "contamination", most_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """docs with one struct column: n_words, n_hit (words inside any occurrence
-    of a window), item_ids (sorted) and spans (the hit runs as character ranges
-    of the original text).
-
-    Each text is normalised and scanned once per automaton; without a shuffle.
-    The windows of the test items are read to the driver, for they are a test
-    set and not a corpus; automata are cut at `automaton_bytes` of patterns,
-    and further ones are chained behind as further steps of the same stage.
-    A null or empty text has no words and no hits; an item without words has
-    no windows; an item whose id is null is left out.
+    of a window), item_ids (strings, sorted) and spans (the hit runs as character
+    ranges of the original text).
+
+    Each text is normalised and scanned once, by one automaton over all items,
+    without a shuffle. The items, a test set and not a corpus, are broadcast;
+    their size is measured first, and above `most_bytes` the call is refused:
+    such a set is checked in several calls whose item_ids and spans are joined.
+
+    A null or empty text has no words and no hits; texts of any length are
+    scanned whole. An item without words has no windows, one with a null id is
+    left out; items with equal texts are all named. Repeated documents get equal
+    results; empty tables give no rows, or no hits. A column named `out` is
+    replaced; all others pass through.
     """
-    items = [(r[0], r[1]) for r in benchmark.select(F.col(item_id).cast("long"), item_text).toLocalIterator()]
-    spark, result = docs.sparkSession, docs
-    for k, part in enumerate(blocks(item_windows(items, width), automaton_bytes)):
-        result = _scan(result, spark.sparkContext.broadcast(part), text, out, first=k == 0)
-    return result
-
-
-def _scan(docs: DataFrame, windows, text: str, out: str, first: bool) -> DataFrame:
-    kept = [c for c in docs.columns if first or c != out]
+    spark = docs.sparkSession
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text).cast("long")), F.lit(0))).first()[0]
+    if size > most_bytes:
+        raise ValueError(f"the items have {size} bytes, one automaton may hold {most_bytes}: raise most_bytes, or check parts of the benchmark one by one")
+    rows = benchmark.select(F.col(item_id).cast("string"), item_text).toLocalIterator()  # at most most_bytes of text
+    shared = spark.sparkContext.broadcast(distinct_items(((r[0], r[1]) for r in rows), width))
+    kept = [c for c in docs.columns if c.lower() != out.lower()]
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(out, HITS)])
 
     def scan(batches):
-        machine = automaton(windows.value)
+        items = built(shared.value, width)
         for b in batches:
-            texts = b.column(b.schema.get_field_index(text))
-            before = [None] * b.num_rows if first else b.column(b.schema.get_field_index(out)).to_pylist()
-            rows = []
-            for t, old in zip(texts, before, strict=True):
+            found = []
+            for t in b.column(b.schema.get_field_index(text)):
                 t = t.as_py()
-                n, runs, ids = find(t, machine)
-                if old:  # of the automata before this one
-                    spans = merged([(s["start"], s["end"]) for s in old["spans"]] + original_spans(t, runs)) if old["spans"] or runs else []
-                    hit = _words_inside(t, spans) if spans else 0
-                    rows.append({"n_words": n, "n_hit": hit, "item_ids": sorted(ids | set(old["item_ids"])), "spans": [{"start": s, "end": e} for s, e in spans]})
-                else:
-                    rows.append({"n_words": n, "n_hit": sum(y - x for x, y in runs), "item_ids": sorted(ids), "spans": [{"start": s, "end": e} for s, e in (original_spans(t, runs) if runs else [])]})
-            found = pa.array(rows, _ARROW)
-            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), found], [*kept, out])
+                n, runs, ids = items.find(t)
+                spans = original_spans(t, runs) if runs else []
+                found.append({"n_words": n, "n_hit": sum(y - x for x, y in runs), "item_ids": sorted(ids), "spans": [{"start": s, "end": e} for s, e in spans]})
+            yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(found, _ARROW)], [*kept, out])
 
     return docs.mapInArrow(scan, schema)
 
 
-_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
-
-
-def _words_inside(text: str, spans: list[tuple[int, int]]) -> int:
-    return sum(len(normal_words(text[a:b])) for a, b in spans)
+_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
 
 
 def contaminated(hits: str = "contamination"):
@@ -172,18 +184,23 @@ def contaminated(hits: str = "contamination"):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the contaminated ones, same columns."""
-    held = "_contamination"
+    """docs without the contaminated ones, same columns, whatever their names.
+
+    A null or empty text is never contaminated and stays; of repeated rows all
+    stay or all go; long texts are judged whole; an empty table stays empty.
+    """
+    held = mark(docs.columns) + "contamination"
     return benchmark_hits(docs, benchmark, out=held).where(~contaminated(held)).select(*docs.columns)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, ids of any type as strings; a null text
+    has no words, and documents without hits have the digest of the empty string."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text")
-    ids = F.array_sort(F.transform("contamination.item_ids", lambda x: x.cast("string")))
     return hits.select(
         "doc_id", "contamination.n_words", "contamination.n_hit",
         F.size("contamination.item_ids").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", ids), 256).alias("items_sha256"),
+        F.sha2(F.concat_ws(",", "contamination.item_ids"), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import documents, stored
+from .base import documents, mark, stored
 
 WHITE = " \t\n\x0b\f\r"
 #: A host goes if the shrunk share of its documents that fail one rule is above this.
@@ -44,27 +44,34 @@ def _repeat_words(grams: Column) -> Column:
 def with_features(docs: DataFrame, text: str = "text", out: str = "features") -> DataFrame:
     """docs with a struct of n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
 
-    A null text has no words and no lines. Nothing is shuffled.
+    A null or empty text has no words and no lines; texts of any length are
+    counted whole; repeated rows get equal counts; an empty table stays empty. A
+    column named `out` is replaced, all others pass through. Nothing is shuffled.
     """
-    names = docs.columns
+    names = [c for c in docs.columns if c.lower() != out.lower()]
+    m = mark(names)
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.split(F.btrim(t, F.lit(WHITE)), f"[{WHITE}]+")
+    col = lambda c: F.col(m + c)
     step = docs.select(
         *names,
-        F.when(F.btrim(t, F.lit(WHITE)) == "", F.array().cast("array<string>")).otherwise(words).alias("_words"),
-        F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != "").alias("_lines"),
-        F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("_symbols"),
+        F.when(F.btrim(t, F.lit(WHITE)) == "", F.array().cast("array<string>")).otherwise(words).alias(m + "words"),
+        F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != "").alias(m + "lines"),
+        F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias(m + "symbols"),
     )
-    step = step.select(*names, "_lines", "_symbols", F.size("_words").cast("long").alias("_n"), F.char_length(F.array_join("_words", "")).cast("long").alias("_chars"), F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    window = [lambda i, k=k: F.get(F.col("_hashes"), i + k) for k in range(5)]
-    grams = F.transform(F.sequence(F.lit(0), (F.col("_n") - 5).cast("int")), lambda i: F.xxhash64(*(w(i) for w in window)))
-    step = step.withColumn("_grams", F.when(F.col("_n") >= 5, grams).otherwise(F.array().cast("array<bigint>"))).drop("_hashes")
-    repeat = F.when(F.size(F.array_distinct("_grams")) == F.size("_grams"), F.lit(0).cast("long")).otherwise(_repeat_words(F.col("_grams")))
+    step = step.select(
+        *names, m + "lines", m + "symbols", F.size(m + "words").cast("long").alias(m + "n"),
+        F.char_length(F.array_join(m + "words", "")).cast("long").alias(m + "chars"), F.transform(m + "words", lambda w: F.xxhash64(w)).alias(m + "hashes"),
+    )
+    window = [lambda i, k=k: F.get(col("hashes"), i + k) for k in range(5)]
+    grams = F.transform(F.sequence(F.lit(0), (col("n") - 5).cast("int")), lambda i: F.xxhash64(*(w(i) for w in window)))
+    step = step.withColumn(m + "grams", F.when(col("n") >= 5, grams).otherwise(F.array().cast("array<bigint>"))).drop(m + "hashes")
+    repeat = F.when(F.size(F.array_distinct(m + "grams")) == F.size(m + "grams"), F.lit(0).cast("long")).otherwise(_repeat_words(col("grams")))
     return step.select(
         *names,
         F.struct(
-            F.col("_n").alias("n_words"), F.col("_chars").alias("word_chars"), F.col("_symbols").alias("n_symbols"),
-            F.size("_lines").cast("long").alias("n_lines"), (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+            col("n").alias("n_words"), col("chars").alias("word_chars"), col("symbols").alias("n_symbols"),
+            F.size(m + "lines").cast("long").alias("n_lines"), (F.size(m + "lines") - F.size(F.array_distinct(m + "lines"))).cast("long").alias("n_dup_lines"),
             repeat.alias("n_repeat_words"),
         ).alias(out),
     )
@@ -108,27 +115,38 @@ def beta_prior(n: int, hosts: int, failures: int, squares: float) -> tuple[float
 
 
 def with_verdicts(rows: DataFrame, verdicts: DataFrame, host: str) -> DataFrame:
-    """rows with host_docs, rates and host_ok of their host."""
-    verdicts = verdicts.withColumnRenamed("host", "_host")
+    """rows with the other columns of `verdicts` for their host; a null host is a host.
+    Columns of rows that have such a name are replaced."""
+    own = mark([*rows.columns, *verdicts.columns]) + "host"
+    verdicts = verdicts.withColumnRenamed("host", own)
     if verdicts.count() <= BROADCAST_HOSTS:
         verdicts = F.broadcast(verdicts)
-    return rows.join(verdicts, F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
+    new = [c for c in verdicts.columns if c != own]
+    kept = [c for c in rows.columns if c.lower() not in {n.lower() for n in new}]
+    return rows.join(verdicts, F.col(host).eqNullSafe(F.col(own)), "left").select(*(rows[c] for c in kept), *new)
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """docs without those that fail a base rule or whose host goes; same columns.
-
-    The texts are read twice and never shuffled (unless there are more hosts
-    than can be broadcast)."""
-    scored = with_features(docs, out="_features")
-    verdicts = host_verdicts(scored.select(F.col(host).alias("_of"), "_features"), "_of", "_features").select("host", "host_ok")
+    """docs without those that fail a base rule or whose host goes; same columns,
+    whatever their names.
+
+    A null or empty text has no words and fails; texts of any length are judged
+    whole; of repeated rows all stay or all go; documents without a host share
+    the null host; an empty table stays empty. The texts are read twice and never
+    shuffled (unless there are more hosts than can be broadcast)."""
+    m = mark(docs.columns)
+    features, at, ok = m + "features", m + "at", m + "ok"
+    scored = with_features(docs, out=features)
+    verdicts = host_verdicts(scored, host, features).select("host", F.col("host_ok").alias(ok))
     # the row's number keeps the filter above the features: pushed below, it would repeat their expressions over and over
-    held = scored.withColumn("_at", F.monotonically_increasing_id())
-    good = held.where((F.col("_at") >= 0) & ~base_failed(F.col("_features"))).drop("_features", "_at")
-    return with_verdicts(good, verdicts, host).where("host_ok").select(*docs.columns)
+    held = scored.withColumn(at, F.monotonically_increasing_id())
+    good = held.where((F.col(at) >= 0) & ~base_failed(F.col(features))).drop(features, at)
+    return with_verdicts(good, verdicts, host).where(F.col(ok)).select(*docs.columns)
 
 
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's row for each document, and the verdict of its host. A null text has
+    no words and fails the base rules."""
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
     features = stored(with_features(docs).drop("text"), "features")
     f = F.col("features")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import documents, flat, slices, stored
+from .base import documents, flat, mark, slices, stored
 from .components import components
 from .packs import bundle, steps, unbundle
 from .textnum import BYTE_CODE, WHITE, mix, prefix_sums, span_hashes, word_spans
@@ -290,20 +290,23 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, words: int = WORD
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs with one document of each class, same columns; texts without words all stay."""
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    held = docs.withColumn("_text_key", key)
+    """docs with one document of each class, same columns, whatever their names;
+    texts without words (null, empty) all stay, of repeated rows one does; an
+    empty table stays empty."""
+    m = mark(docs.columns)
+    own, key_of, id_of = m + "text_key", m + "key", m + "id"
+    held = docs.withColumn(own, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     kept = stored(near_duplicates(docs).where("kept and class_docs is not null"), "kept")
     words = F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\f\r")) != ""
 
     def of(ids: DataFrame, rows: DataFrame) -> DataFrame:
-        ids = ids.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        return rows.join(ids.hint("merge"), rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["_text_key"] == ids["_key"]), "left_semi")
+        ids = ids.select(F.col("doc_id").alias(id_of), F.col("text_key").alias(key_of))
+        return rows.join(ids.hint("merge"), rows["doc_id"].eqNullSafe(ids[id_of]) & (rows[own] == ids[key_of]), "left_semi")
 
     worded, twice = held.where(words), kept.where("copies > 1")
     out = of(kept.where("copies = 1"), worded)
     if not twice.isEmpty():  # repeated rows: one of them
-        out = out.unionByName(of(twice, worded).dropDuplicates(["doc_id", "_text_key"]))
+        out = out.unionByName(of(twice, worded).dropDuplicates(["doc_id", own]))
     return out.unionByName(held.where(~words)).select(*docs.columns)
 
 

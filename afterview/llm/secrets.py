@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import documents
+from .base import documents, mark
 
 #: A run of the characters that keys are made of; one with a digit and a letter is a candidate.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{12,}={0,2}")
@@ -233,7 +233,7 @@ def scan_secrets(docs: DataFrame, forest: Forest | None = None, least: float = 0
     goes to the executors. `forest` may come from findings labelled by others.
     """
     shared = docs.sparkSession.sparkContext.broadcast(forest or trained())
-    names = [c for c in docs.columns if c != out]
+    names = [c for c in docs.columns if c.lower() != out.lower()]
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(out, FOUND)])
 
     def run(batches):
@@ -257,12 +257,16 @@ def scan_secrets(docs: DataFrame, forest: Forest | None = None, least: float = 0
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with the secrets in their texts replaced; same columns, n_chars as of the new text."""
-    held = scan_secrets(docs, out="_found")
-    new = {"text": F.coalesce("_found.redacted", "text")}
+    """docs with the secrets in their texts replaced; same columns, whatever their
+    names, n_chars as of the new text. A null or empty text stays as it is; texts
+    of any length are scanned whole; every row stays, repeated ones with equal new
+    texts; an empty table stays empty."""
+    held = mark(docs.columns) + "found"
+    scanned, text = scan_secrets(docs, out=held), F.col(f"{held}.redacted")
+    new = {"text": F.coalesce(text, "text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_found.redacted").isNull(), F.col("n_chars")).otherwise(F.char_length("_found.redacted").cast(docs.schema["n_chars"].dataType))
-    return held.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.when(text.isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return scanned.withColumns(new).select(*docs.columns)
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,8 +59,11 @@ def shard_rows(df: DataFrame, order: list, shards: int = 24, seed: int = 7, name
     Row r of the given order goes to place p = permutation(r); shard is p mod
     shards and slot is p div shards, so counts differ by one at most, slots
     have no gaps, and both directions can be computed without any table.
-    Rows that tie in the order may trade places. An empty table stays empty.
+    Rows that tie in the order may trade places; nulls stand where the order puts
+    them. An empty table stays empty. Columns named row_number, shard or slot are
+    replaced, all others pass through, long texts too.
     """
+    df = df.drop("shard", "slot")
     rows = numbered(df, order, name)
     law = Permutation(rows.count(), seed)
     names = rows.columns

@@ -4,13 +4,17 @@ Everything works on one flat byte buffer that holds many documents, with the
 documents' boundaries beside it, so the cost of a Python call is paid per
 batch and not per document or per word.
 
-Hashes are polynomial over 64-bit words with an odd base: any span's hash is a
-difference of two prefix sums times the inverse power of its start, so the
-hashes of all windows of one length take a few array operations.
+Hashes are polynomial: any span's hash is a difference of two prefix sums times
+the inverse power of its start, so the hashes of all windows of one length take
+a few array operations. Each has two halves, mixed into one 64-bit word: one
+over 64-bit words with an odd base, and one modulo the prime 2^31 - 1, because
+powers of two alone let regular texts (Thue-Morse words of 1024 letters) meet.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -35,35 +39,75 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
+PRIME = np.uint64((1 << 31) - 1)
+PRIME_BASE = 1_220_703_125
+SECOND = np.uint64(0xA0761D6478BD642F)
+
+
+@dataclass
+class Sums:
+    """Prefix sums of codes times powers, one element more than codes."""
+
+    wide: np.ndarray  # modulo 2^64
+    prime: np.ndarray  # of residues modulo PRIME, not reduced: fewer than 2^32 terms fit
+
+    def __len__(self) -> int:
+        return len(self.wide)
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x below 2^62: bits above the 31st are worth one each."""
+    x = (x & PRIME) + (x >> np.uint64(31))
+    x = (x & PRIME) + (x >> np.uint64(31))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
 def powers(n: int, which: str = "up") -> np.ndarray:
-    """BASE**0 .. BASE**(n-1) (or of its inverse), kept between calls."""
-    if len(_powers[which]) < n:
-        base = BASE if which == "up" else INVERSE
+    """BASE**0 .. BASE**(n-1) (or of its inverse), kept between calls; with
+    `prime` before `which` the same of PRIME_BASE."""
+    if len(_powers.setdefault(which, np.ones(1, np.uint64))) < n:
         size = max(n, 1 << 16)
-        grown = np.full(size, base, np.uint64)
-        grown[0] = 1
-        _powers[which] = np.multiply.accumulate(grown)
+        if which.startswith("prime"):
+            base = PRIME_BASE if which == "prime up" else pow(PRIME_BASE, -1, int(PRIME))
+            made = np.ones(1, np.uint64)
+            while len(made) < size:
+                made = np.concatenate([made, reduced(made * np.uint64(pow(base, len(made), int(PRIME))))])
+            _powers[which] = made[:size]
+        else:
+            grown = np.full(size, BASE if which == "up" else INVERSE, np.uint64)
+            grown[0] = 1
+            _powers[which] = np.multiply.accumulate(grown)
     return _powers[which][:n]
 
 
-def prefix_sums(codes: np.ndarray) -> np.ndarray:
-    """One element more than codes; feeds span_hashes."""
-    out = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * powers(len(codes)), out=out[1:])
+def prefix_sums(codes: np.ndarray) -> Sums:
+    """Feeds span_hashes and rolling_hashes."""
+    n = len(codes)
+    out = Sums(np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64))
+    np.cumsum(codes * powers(n), out=out.wide[1:])
+    second = (codes >> np.uint64(33)) * powers(n, "prime up")
+    np.cumsum((second & PRIME) + (second >> np.uint64(31)), out=out.prime[1:])
     return out
 
 
-def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _hashes(wide: np.ndarray, prime: np.ndarray, down: np.ndarray, prime_down: np.ndarray) -> np.ndarray:
+    prime = (prime & PRIME) + (prime >> np.uint64(31))
+    prime = reduced(((prime & PRIME) + (prime >> np.uint64(31))) * prime_down)
+    return mix(wide * down + prime * SECOND)
+
+
+def span_hashes(sums: Sums, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of codes[start:end] for each pair."""
-    return mix((sums[ends] - sums[starts]) * powers(len(sums), "down")[starts])
+    n = len(sums)
+    return _hashes(sums.wide[ends] - sums.wide[starts], sums.prime[ends] - sums.prime[starts], powers(n, "down")[starts], powers(n, "prime down")[starts])
 
 
-def rolling_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+def rolling_hashes(sums: Sums, width: int) -> np.ndarray:
     """Hash of every window of `width` codes, by its start."""
     n = len(sums) - width
     if n <= 0:
         return np.zeros(0, np.uint64)
-    return mix((sums[width:] - sums[:n]) * powers(n, "down"))
+    return _hashes(sums.wide[width:] - sums.wide[:n], sums.prime[width:] - sums.prime[:n], powers(n, "down"), powers(n, "prime down"))
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

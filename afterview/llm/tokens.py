@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 from pathlib import Path
 
 import public_tokenizers
@@ -16,10 +17,9 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 @functools.cache
 def reference(path: str = VOCABULARY) -> Tokenizer:
-    """The tokenizers library's own; strings of special tokens are ordinary text."""
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return made
+    """The tokenizers library's own, as it comes from the file: a special token
+    that is spelled out in a text becomes that token."""
+    return Tokenizer.from_file(path)
 
 
 @functools.cache
@@ -27,13 +27,17 @@ def encoder(path: str = VOCABULARY):
     """A function from a text to its list of ids.
 
     Where the same merges lie beside the .json file as ranks, they drive an
-    encoder that takes a quarter of the CPU time; both were compared over every
-    Unicode character, and the tests compare them over random texts. Otherwise
-    the ids come from the tokenizers library itself.
+    encoder that takes a quarter of the CPU time, with the file's special tokens;
+    the tests compare both over random texts and special tokens. Otherwise, or
+    where a special token has rules of its own for white space, the ids come from
+    the tokenizers library itself.
     """
     ranks_at = Path(path).with_suffix(".tiktoken")
-    if not ranks_at.exists():
+    added = json.loads(Path(path).read_text(encoding="utf-8")).get("added_tokens", [])
+    if not ranks_at.exists() or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
         slow = reference(path)
         return lambda text: slow.encode(text, add_special_tokens=False).ids
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_at.read_bytes().splitlines())}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    special = {t["content"]: t["id"] for t in added}
+    fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: fast.encode(text, allowed_special="all")

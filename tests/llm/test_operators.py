@@ -83,9 +83,13 @@ def test_decontamination(spark, docs, corpus, empty):
                         found.add(item)
         want.append((i, len(w), len(hit), sorted(found)))
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
-    for size in (1 << 20, 60):  # one automaton, and many in a chain
-        rows = benchmark_hits(docs, bench, automaton_bytes=size).select("doc_id", "contamination.*").collect()
-        assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"]) for r in rows), key=key) == sorted(want, key=key)
+    rows = benchmark_hits(docs, bench).select("doc_id", "contamination.*").collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], sorted(map(int, r["item_ids"]))) for r in rows), key=key) == sorted(want, key=key)
+    with pytest.raises(ValueError, match="most_bytes"):
+        benchmark_hits(docs, bench, most_bytes=60)
+    named = benchmark_hits(docs, bench.selectExpr("concat('q-', item_id) item_id", "text")).select("contamination.item_ids").collect()
+    assert {i for r in named for i in r["item_ids"]} == {f"q-{i}" for r in rows for i in r["item_ids"]} and any(len(r["item_ids"]) > 1 for r in named)
+    assert all(r["item_ids"] == sorted(r["item_ids"]) for r in named)
     clean = decontaminate(docs, bench)
     assert clean.columns == docs.columns and clean.count() == sum(not (n and 20 * n >= w) for _, w, n, _ in want)
     assert benchmark_hits(docs, bench.limit(0)).where(contaminated()).isEmpty() and benchmark_hits(empty, bench).isEmpty()
@@ -94,7 +98,7 @@ def test_decontamination(spark, docs, corpus, empty):
 
 def test_hits_of_short_items_inside_a_longer_one():
     """A long window that ends behind several separate hits joins just those that it covers."""
-    from afterview.llm.contamination import automaton, find, item_windows
+    from afterview.llm.contamination import Items, distinct_items
 
     text = [f"w{i}" for i in range(20)]
     rng = random.Random(6)
@@ -102,13 +106,33 @@ def test_hits_of_short_items_inside_a_longer_one():
     cuts += [[(a, a + rng.randrange(1, 14)) for a in rng.sample(range(20), 5)] for _ in range(300)]
     for spans in cuts:
         spans = [(a, min(b, 20)) for a, b in spans]
-        _, runs, ids = find(" ".join(text), automaton(item_windows([(k, " ".join(text[a:b])) for k, (a, b) in enumerate(spans)], 13)))
+        _, runs, ids = Items(distinct_items([(str(k), " ".join(text[a:b])) for k, (a, b) in enumerate(spans)], 13), 13).find(" ".join(text))
         inside = {j for a, b in spans for j in range(a, b)}
         assert {j for a, b in runs for j in range(a, b)} == inside
-        assert sum(b - a for a, b in runs) == len(inside) and ids == set(range(len(spans)))
+        assert sum(b - a for a, b in runs) == len(inside) and ids == {str(k) for k in range(len(spans))}
         assert all(b < a for (_, b), (a, _) in zip(runs, runs[1:]))
 
 
+def test_blocks_find_every_window():
+    """Against all windows of all items, over few words, so that blocks recur at many places."""
+    from afterview.llm.contamination import Items, distinct_items
+
+    rng = random.Random(12)
+    for _ in range(150):
+        width = rng.randrange(1, 8)
+        items = {str(k): [rng.choice("ab") for _ in range(rng.randrange(0, 25))] for k in range(6)}
+        doc = [rng.choice("ab") for _ in range(rng.randrange(60))]
+        hit, found = set(), set()
+        for k, w in items.items():
+            for i in range(max(1, len(w) - width + 1) if w else 0):
+                for j in range(len(doc)):
+                    if doc[j : j + len(w[i : i + width])] == w[i : i + width]:
+                        hit |= set(range(j, j + len(w[i : i + width])))
+                        found.add(k)
+        n, runs, ids = Items(distinct_items(((k, " ".join(w)) for k, w in items.items()), width), width).find(" ".join(doc))
+        assert (n, {x for a, b in runs for x in range(a, b)}, ids) == (len(doc), hit, found)
+
+
 def test_packing_round_trip(spark, docs, corpus, empty):
     from afterview.llm.packing import pack, plan, solve
     from afterview.llm.tokens import reference
@@ -147,9 +171,31 @@ def test_fast_tokens_equal_the_library(alphabet):
     from afterview.llm.tokens import encoder, reference
 
     rng = random.Random(0)
+    pieces = [*alphabet, "<|endoftext|>", " <|endoftext|>", "<|endof"]
     for _ in range(1500):
-        t = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
+        t = "".join(rng.choice(pieces) for _ in range(rng.randrange(40)))
         assert encoder()(t) == reference().encode(t, add_special_tokens=False).ids
+    assert encoder()("hi <|endoftext|> there") == [5303, 220, 50256, 612]
+
+
+def test_hashes_tell_regular_words_apart():
+    """Thue-Morse words of 1024 letters and their complements meet modulo 2^64."""
+    from afterview.llm.textnum import BYTE_CODE, prefix_sums, reduced, rolling_hashes, span_hashes
+
+    word = np.zeros(1, np.uint8)
+    while len(word) < 4096:
+        word = np.append(word, 1 - word)
+    for n in (1024, 2048, 4096):
+        a, b = (prefix_sums(BYTE_CODE[x[:n] + 97]) for x in (word, 1 - word))
+        assert a.wide[-1] == b.wide[-1] and span_hashes(a, np.array([0]), np.array([n])) != span_hashes(b, np.array([0]), np.array([n]))
+    text = np.random.default_rng(0).integers(97, 100, 300).astype(np.uint8)
+    sums = prefix_sums(BYTE_CODE[text])
+    rolled, seen = rolling_hashes(sums, 5), {}
+    for i in range(296):
+        assert seen.setdefault(text[i : i + 5].tobytes(), rolled[i]) == rolled[i] == span_hashes(sums, np.array([i]), np.array([i + 5]))[0]
+    assert len(set(rolled.tolist())) == len(seen)
+    big = np.array([0, 1, (1 << 31) - 1, (1 << 62) - 1, 123456789123456789], np.uint64)
+    assert reduced(big).tolist() == [int(x) % ((1 << 31) - 1) for x in big]
 
 
 def test_substrings(spark, docs, corpus, empty):
