@@ -24,3 +24,19 @@ def accuracy(attributed: DataFrame, truth: DataFrame, exposures: DataFrame) -> D
     p, r = ratio_or_zero(F.col("household_correct"), F.col("credited")), ratio_or_zero(F.col("household_correct"), F.col("truth_links"))
     counts = counts.withColumns({"precision": p, "recall": r, "exact_exposure_match_rate": ratio_or_zero(F.col("exact_exposure_correct"), F.col("credited"))})
     return counts.withColumn("f1", ratio_or_zero(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+
+
+def eval_spread(results: DataFrame) -> DataFrame:
+    """Of results (scenario, kind, outcome, verdict), one row a repetition: repetitions,
+    right ones, the spread of outcomes and verdicts, by scenario."""
+    right = F.col("outcome").isin("correct", "correct_silence")
+    return results.groupBy("scenario", "kind").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(right).alias("correct"), F.count_if(F.col("outcome") == "false_positive").alias("false_positives"),
+        F.count_distinct("outcome").alias("outcomes"), F.count_distinct("verdict").alias("verdicts"),
+    )
+
+
+def false_positive_rate(results: DataFrame) -> DataFrame:
+    """One row over the control scenarios alone; null where there are none."""
+    rows = results.where("kind = 'control'").agg(F.count_if(F.col("outcome") == "false_positive").alias("false_positives"), F.count(F.lit(1)).alias("control_runs"))
+    return rows.withColumn("rate", F.col("false_positives") / F.nullif("control_runs", F.lit(0)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import ATTRIBUTED
 
@@ -25,15 +26,16 @@ def touches(conversions: DataFrame, exposures: DataFrame, window: int, extra: Co
     it, both inclusive. The latest wins, ties by id; the other distinct ids are
     assists. Time is cut into spans of one window and a conversion looks into
     its own and the one before, so a household with a long history joins only
-    what can match.
+    what can match. Where both sides have a `household_bucket`, it is a key too.
     """
     names = conversions.columns
+    home = ["household_bucket", "household_id"] if {"household_bucket"} <= {*names} & {*exposures.columns} else ["household_id"]
     span = lambda t: F.floor(F.unix_seconds(t) / window)
     wanted = conversions.withColumn("_span", F.explode(F.array(span(F.col("event_time")), span(F.col("event_time")) - 1)))
     keep = [c for c in ("ix", "gone") if c in exposures.columns]
-    offered = exposures.select("household_id", F.col("event_time").alias("_time"), F.col("exposure_id").alias("_id"), *(F.col(c).alias(f"_{c}") for c in keep)).withColumn("_span", span(F.col("_time")))
+    offered = exposures.select(*home, F.col("event_time").alias("_time"), F.col("exposure_id").alias("_id"), *(F.col(c).alias(f"_{c}") for c in keep)).withColumn("_span", span(F.col("_time")))
     fits = F.col("_time").between(F.col("event_time") - _seconds(window), F.col("event_time"))
-    pairs = wanted.join(offered, ["household_id", "_span"]).where(fits if extra is None else fits & extra)
+    pairs = wanted.join(offered, [*home, "_span"]).where(fits if extra is None else fits & extra)
     won = pairs.groupBy("conversion_id", "household_id").agg(F.max(F.struct("_time", "_id")).alias("_best"), F.collect_set("_id").alias("_ids"))
     won = won.select("conversion_id", "household_id", F.col("_best._time").alias("touch_time"), F.col("_best._id").alias("exposure_id"), F.array_sort(F.array_except("_ids", F.array("_best._id"))).alias("assists"))
     return conversions.join(won, ["conversion_id", "household_id"], "left").select(*names, "touch_time", "exposure_id", F.coalesce("assists", F.array().cast("array<string>")).alias("assists"))
@@ -53,24 +55,6 @@ def attribute(exposures: DataFrame, one_row: DataFrame, window: int = HOT_WINDOW
     return decided(touches(certain, exposures, window).unionByName(none), "hot", F.col("ingest_time"))
 
 
-def _first_tick(ticks: DataFrame, asked: DataFrame, strict: bool) -> DataFrame:
-    """asked (household_id, id, ix, at) with `tick`: the first arrival from its
-    own on at which the watermark reaches `at` (passes it, if strict).
-
-    The watermark never falls, so that arrival's number is one more than the
-    number of arrivals with a lower one: both lists are merged by time and
-    counted, in one sort for each household.
-    """
-    last = Window.partitionBy("household_id")
-    marks = ticks.select("household_id", F.lit(None).cast("string").alias("id"), F.lit(None).cast("long").alias("ix"), F.col("mark").alias("at"), F.lit(0 if strict else 1).alias("side"))
-    both = marks.unionByName(asked.select("household_id", "id", "ix", "at", F.lit(1 if strict else 0).alias("side")))
-    upto = last.orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
-    is_mark = F.col("id").isNull().cast("long")
-    counted = both.withColumns({"_below": F.sum(is_mark).over(upto), "_all": F.sum(is_mark).over(last)}).where("id is not null")
-    tick = F.greatest("ix", F.col("_below") + 1)
-    return counted.select("household_id", "id", F.when(F.col("_below") >= F.col("_all"), F.lit(NEVER)).otherwise(tick).alias("tick"))
-
-
 def arrivals(exposures: DataFrame, one_row: DataFrame, window: int = HOT_WINDOW, lateness: int = ALLOWED_LATENESS) -> tuple[DataFrame, DataFrame]:
     """Exposures with arrival number `ix` and the tick at which they are `gone`;
     conversions with ix and the tick of their `release`.
@@ -81,24 +65,39 @@ def arrivals(exposures: DataFrame, one_row: DataFrame, window: int = HOT_WINDOW,
     evicted when the watermark passes its time plus the window; release comes
     before eviction within an arrival, and what is left pending is released at
     the end of the input (NEVER).
+
+    The watermark never falls, so the first arrival that reaches a time comes
+    right behind all those with a lower mark. Each arrival is therefore put down
+    twice, as a mark and as a question, both are sorted by time, and the marks
+    before a question are counted. Rows carry their payload along: one exchange
+    by household and two sorts, no join. A household is one task's sort, which
+    spills; its arrivals are never held in memory together.
     """
-    rows = exposures.select("household_id", F.lit("exp").alias("kind"), F.col("exposure_id").alias("id"), "event_time", "ingest_time")
-    rows = rows.unionByName(one_row.select("household_id", F.lit("res").alias("kind"), F.col("conversion_id").alias("id"), "event_time", "ingest_time"))
-    order = Window.partitionBy("household_id").orderBy("ingest_time", "kind", "id")
+    own = F.struct(*exposures.columns)
+    asked = F.struct(*one_row.columns)
+    rows = exposures.select("household_id", F.lit("exp").alias("kind"), F.col("exposure_id").alias("id"), "event_time", "ingest_time", own.alias("shown"), F.lit(None).cast(_row_type(one_row)).alias("asked"))
+    rows = rows.unionByName(one_row.select("household_id", F.lit("res").alias("kind"), F.col("conversion_id").alias("id"), "event_time", "ingest_time", F.lit(None).cast(_row_type(exposures)).alias("shown"), asked.alias("asked")))
+    home = Window.partitionBy("household_id")
+    order = home.orderBy("ingest_time", "kind", "id")
     ticks = rows.select(
-        "household_id", "kind", "id", "event_time", F.row_number().over(order).cast("long").alias("ix"),
+        "household_id", "kind", "event_time", "shown", "asked", F.row_number().over(order).cast("long").alias("ix"), F.count(F.lit(1)).over(home).alias("all"),
         (F.max("event_time").over(order.rowsBetween(Window.unboundedPreceding, 0)) - _seconds(lateness)).alias("mark"),
     )
-    asked = lambda kind, at: ticks.where(F.col("kind") == kind).select("household_id", "id", "ix", at.alias("at"))
-    gone = _first_tick(ticks, asked("exp", F.col("event_time") + _seconds(window)), strict=True)
-    release = _first_tick(ticks, asked("res", F.col("event_time")), strict=False)
-    at = ticks.select("household_id", "kind", "id", "ix")
-
-    def numbered(df: DataFrame, kind: str, key: str, ticked: DataFrame, name: str) -> DataFrame:
-        own = at.where(F.col("kind") == kind).select("household_id", F.col("id").alias(key), "ix")
-        return df.join(own, ["household_id", key]).join(ticked.select("household_id", F.col("id").alias(key), F.col("tick").alias(name)), ["household_id", key])
-
-    return numbered(exposures, "exp", "exposure_id", gone, "gone"), numbered(one_row, "res", "conversion_id", release, "release")
+    # at one time: releases do not count the marks that reach them, evictions do
+    is_exp = F.col("kind") == "exp"
+    target = F.when(is_exp, F.col("event_time") + _seconds(window)).otherwise(F.col("event_time"))
+    two = F.array(F.struct(F.col("mark").alias("at"), F.lit(1).alias("side")), F.struct(target.alias("at"), F.when(is_exp, 2).otherwise(0).alias("side")))
+    both = ticks.select("household_id", "kind", "ix", "all", "shown", "asked", F.explode(two).alias("p")).select("household_id", "kind", "ix", "all", F.when(F.col("p.side") != 1, F.col("shown")).alias("shown"), F.when(F.col("p.side") != 1, F.col("asked")).alias("asked"), "p.at", "p.side")
+    below = F.sum((F.col("side") == 1).cast("long")).over(home.orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0))
+    counted = both.withColumn("below", below).where("side <> 1")
+    tick = F.when(F.col("below") >= F.col("all"), F.lit(NEVER)).otherwise(F.greatest("ix", F.col("below") + 1))
+    gone = counted.where("kind = 'exp'").select("shown.*", "ix", tick.alias("gone"))
+    release = counted.where("kind = 'res'").select("asked.*", "ix", tick.alias("release"))
+    return gone, release
+
+
+def _row_type(df: DataFrame):
+    return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
 
 
 def engine(exposures: DataFrame, one_row: DataFrame, window: int = HOT_WINDOW, lateness: int = ALLOWED_LATENESS) -> DataFrame:

@@ -33,15 +33,12 @@ def recover(attributed: DataFrame, exposures: DataFrame, window: int = LONG_WIND
     not returned, so a second pass finds nothing new.
 
     Exposures may come with a `household_bucket` column (the lake's layout):
-    then the join runs on it too and reads the buckets that it needs.
+    then it is a join key too, so that rows meet bucket by bucket.
     """
-    when = reconciled_at(exposures, attributed)
     asked = expanded(open_rows(attributed))
+    if "household_bucket" in exposures.columns:
+        asked = asked.withColumn("household_bucket", household_bucket(F.col("household_id")))
     won = touches(asked, exposures, window).where("exposure_id is not null")
     best = won.groupBy("conversion_id").agg(F.max_by(F.struct(*(c for c in won.columns if c != "conversion_id")), F.struct("touch_time", "exposure_id", "household_id")).alias("_r")).select("conversion_id", "_r.*")
-    stamp = F.lit(when.first()["reconciled_at"]) if at is None else at  # one row
+    stamp = F.lit(reconciled_at(exposures, attributed).first()["reconciled_at"]) if at is None else at  # one row
     return decided(best, "reconciled", stamp)
-
-
-def bucketed(df: DataFrame) -> DataFrame:
-    return df.withColumn("household_bucket", household_bucket(F.col("household_id")))

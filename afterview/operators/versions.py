@@ -12,13 +12,28 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(at)).where("_n = 1").drop("_n")
 
 
+def collapsed(df: DataFrame) -> DataFrame:
+    """Says of a table that it holds one row a key already (a serving table does), so that
+    current() and current_exposures() hand it back as it is."""
+    df._one_a_key = True
+    return df
+
+
+def _is_collapsed(df: DataFrame) -> bool:
+    return df.__dict__.get("_one_a_key", False)
+
+
 def current(attributed: DataFrame) -> DataFrame:
     """The current row of each conversion: the latest version, and of equal ones the reconciled."""
+    if _is_collapsed(attributed):
+        return attributed
     return latest_by(attributed, ["conversion_id"], [F.col("processed_at").desc(), F.col("path").desc()])
 
 
 def current_exposures(exposures: DataFrame) -> DataFrame:
     """Re-sent exposures are equal to the first."""
+    if _is_collapsed(exposures):
+        return exposures
     return exposures.dropDuplicates(["exposure_id"])
 
 

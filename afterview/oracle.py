@@ -202,4 +202,50 @@ BODIES = {
     "lake_day_counts": "select day, count(*) as rows from (select cast(cast(event_time as date) as varchar) as day from exposures union all select cast(cast(event_time as date) as varchar) from hot) group by day",
 }
 
+_DAY = lambda k: f"(select cast(min(ts) as date) + {k} from events)"
+_DAYS = lambda t, *ks: f"cast({t} as date) in ({', '.join(_DAY(k) for k in ks)})"
+_KEYS = "select 'camp-' || lpad(cast(c as varchar), 2, '0') as campaign_id, (select date_trunc('day', min(cast(ts as timestamp))) from events) + to_hours(cast(h as integer)) as hour from range(5) a(c), range(24, 72, 5) b(h)"
+_RECDAYS = "(select distinct cast(event_time as date) as day from rec)"
+
+
+def _listed(section: str, row: str, source: str, *names: str) -> str:
+    return " union all ".join(f"select '{section}' as section, {row} as row, '{n}' as name, round(cast({n} as double), 4) as value from ({source})" for n in names)
+
+
+BODIES |= {
+    "lever_date_slice": f"select count(*) as n, {_SUM} from (select * from hot union all by name select * from rec) where {_DAYS('event_time', 9, 40)} and attributed",
+    "busiest_ip": "select ip, count(*) as n from exposures group by ip order by n desc, ip limit 1",
+    "lake_household_range": f"select household_id, count(*) as n, cast(sum(cast(spend as decimal(18, 4))) as double) as spend from exposures where household_id in (select household_id from exposures where campaign_id = 'camp-03' and app_id = 'app-1') and event_time >= {_DAY(3)} and event_time < {_DAY(13)} group by household_id",
+    "lake_days_exposures": f"select 'two' as days, count(*) as n, cast(sum(cast(spend as decimal(18, 4))) as double) as spend from exposures where {_DAYS('event_time', 2, 5)} union all select 'none', 0, 0.0",
+    "lake_current_days": f"select {_DECISION} from cur where {_DAYS('event_time', 1, 4, 8)}",
+    "lake_known_days": "select distinct cast(day as varchar) as day from (select cast(event_time as date) as day from exposures union all select cast(event_time as date) from hot)",
+    "lake_reconciled": f"select {_DECISION} from rec",
+    "lake_compacted": "select cast(cast(event_time as date) as varchar) as day, count(*) as rows, cast(1 as bigint) as commits from (select event_time from hot union all select event_time from rec) group by 1",
+    "lake_migrated": "select 'v2' as note, campaign_id, count(*) as n, cast(sum(cast(spend * 2 as decimal(18, 4))) as double) as spend from exposures group by campaign_id",
+    "serving_loaded_days": f"select 'exposures_landed' as \"table\", count(*) as n from exposures where {_DAYS('event_time', 10, 11)} union all select 'attributed_conversions', count(*) from cur where {_DAYS('event_time', 10, 11)} union all select 'dirty', 0",
+    "serving_reloaded": f"{_HOUR} from ({_hourly('credit')})",
+    "serving_finalized": f"select cast(day as varchar) as day, 1 as pass from {_RECDAYS}",
+    "serving_decisions": "select conversion_id, household_id, exposure_id, attributed, assists, path, reason from cur",
+    "serving_credited": "select c.conversion_id, c.household_id, c.exposure_id, e.household_id as exposure_household from cur c join exposures e using (exposure_id) where c.attributed",
+    "serving_marker": "select true as right",
+    "rollup_report_stored": _report("credit"),
+    "rollup_for_keys": f"{_HOUR} from ({_hourly('credit')}) join ({_KEYS}) using (campaign_id, hour)",
+    "touched_days": "select distinct cast(day as varchar) as day from (select cast(event_time as date) as day from rec union all select cast(e.event_time as date) from rec r join exposures e using (exposure_id))",
+    "query_cost": "select unnest(['report', 'report_rollup', 'restatement']) as query_tag, true as read, true as ran, true as priced, unnest([true, false, false]) as logged_last",
+    "storage_state": f"select 'lake_exposures' as \"table\", 1 as parts, 0 as unmerged union all select 'lake_attributed', case when count(*) > 0 then 2 else 1 end, count(*) from {_RECDAYS}",
+    "eval_results": "select event_type as scenario, case when event_type in ('view', 'click') then 'control' else 'lift' end as kind, count(*) as total, count(*) filter (event_id % 4 < 2) as correct, count(*) filter (event_id % 4 = 2) as false_positives, count(distinct event_id % 4) as outcomes, count(distinct event_id % 3) as verdicts from events group by event_type",
+    "eval_false_positives": "select count(*) filter (event_id % 4 = 2) as false_positives, count(*) as control_runs, count(*) filter (event_id % 4 = 2) / nullif(count(*), 0) as rate from events where event_type in ('view', 'click')",
+    "streaming_state": BODIES["join_state"],
+}
+BODIES["alerts"] = BODIES["alerts"].replace("'parts', 0.0, false", f"'parts', case when count(*) > 0 then 2.0 else 1.0 end, false from {_RECDAYS}")
+BODIES["attribution_context"] = " union all ".join([
+    _listed("match_rate", "day", BODIES["match_rate_by_day"], "processed", "attributed_count"),
+    _listed("window_edge", "cast(bin as varchar)", BODIES["window_edge_histogram"], "n"),
+    _listed("ip_clusters", "'all'", BODIES["ip_cluster_overall"], "attributed_count", "ip_resolved", "ambiguous_count", "max_candidate_count"),
+    _listed("ip_top", "ip", BODIES["ip_cluster_top"], "attributed_conversions", "max_candidate_count"),
+    _listed("genres", "genre", BODIES["genre_reach"], "exposures", "attributed_conversions", "conversions_per_exposure"),
+    _listed("campaigns", "campaign", BODIES["report_post"], "spend", "exposures", "conversions", "purchases", "revenue", "roas", "cpa", "cvr", "site_visit_rate"),
+    _listed("restatements", "campaign_id", _restated().replace(", 6)", ", 9)"), "roas_as_reported", "roas_now", "roas_delta", "conversions_as_reported", "conversions_now", "revenue_delta"),
+])
+
 ORACLE_SQL = {name: PREFIX + (f", snaps as {_SNAPS} " if "snaps" in body else "") + body for name, body in BODIES.items()}

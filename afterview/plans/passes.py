@@ -58,15 +58,14 @@ def reconcile_lake(exposures: LakeTable, attributed: LakeTable, days: list | Non
     named), with exposures read from the buckets and days that they can match.
     Returns the days that got corrections; a second call returns none."""
     versions = attributed.read().drop("event_day", "household_bucket").distinct()
-    asked = versions if days is None else versions.where(F.to_date("event_time").isin(days))
+    asked = versions if days is None else attributed.for_days(days)
     edges = asked.agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).first()
     if edges["a"] is None:
         return []
     homes = asked.where("not attributed").select(F.explode(F.when(F.col("candidate_count") > 1, F.col("candidate_households")).otherwise(F.array("household_id"))).alias("household_id"))
-    shown = exposures.for_households(homes, edges["a"] - _days(LONG_WINDOW), edges["b"] + _days(86400))
+    shown = exposures.for_households(homes, edges["a"] - _days(LONG_WINDOW), edges["b"] + _days(86400), keep_bucket=True)
     at = exposures.read().select("ingest_time").unionByName(versions.select("ingest_time")).agg((F.max("ingest_time") + F.expr("interval 1 second")).alias("t")).first()["t"]
-    found = recover(asked, shown, at=F.lit(at))
-    return attributed.append(found) if not found.isEmpty() else []
+    return attributed.append(recover(asked, shown, at=F.lit(at)))
 
 
 def _days(seconds: int):

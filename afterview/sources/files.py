@@ -35,6 +35,21 @@ def write_canonical(df: DataFrame, path: str) -> None:
     canonical(df).write.mode("overwrite").text(path)
 
 
+def produce(df: DataFrame, path: str, schema: T.StructType, check=None) -> int:
+    """Validates rows against their declared columns, and what `check` finds wrong in
+    them (a frame of violations), then adds them as canonical lines to a stream's
+    input folder. Nothing is written unless all are right; the number written."""
+    if df.schema.names != schema.names or [f.dataType for f in df.schema] != [f.dataType for f in schema]:
+        raise PoisonedInput(f"columns {df.schema.simpleString()} are not {schema.simpleString()}")
+    needed = [f.name for f in schema if not f.nullable]
+    missing = df.where(F.array_contains(F.array(*(F.col(c).isNull() for c in needed)), True)).head() if needed else None
+    wrong = missing or (check(df).head() if check else None)
+    if wrong is not None:
+        raise PoisonedInput(str(wrong)[:200])
+    canonical(df).write.mode("append").text(path)
+    return df.count()
+
+
 def compacted(changes: DataFrame, key: str, order: str) -> DataFrame:
     """The last write of each key."""
     rest = [c for c in changes.columns if c != key]

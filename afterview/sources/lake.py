@@ -1,4 +1,4 @@
-"""The append-only lake: Parquet by event day and household bucket."""
+"""The append-only lake: Parquet by commit, event day and household bucket, under a manifest."""
 
 from __future__ import annotations
 
@@ -14,6 +14,8 @@ from ..functions.columns import BUCKETS, household_bucket
 from ..operators.versions import current
 
 LAYOUT = ["event_day", "household_bucket"]
+#: Rows of one file at most; a bucket of a big day becomes several files.
+FILE_ROWS = 20_000_000
 
 
 class LayoutMismatch(RuntimeError):
@@ -25,7 +27,14 @@ class EmptyLake(RuntimeError):
 
 
 class LakeTable:
-    """One table of the lake. Rows are only appended; what is current is decided on reading."""
+    """One table of the lake. Rows are only appended; what is current is decided on reading.
+
+    Each write is a commit, a folder of its own. What belongs to the table is said
+    by the newest manifest, a list of (commit, day); a commit counts from the
+    moment its manifest is renamed into place, so a crash leaves the table as it
+    was before, and whatever is not listed is ignored and removed by `vacuum`.
+    One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, buckets: int = BUCKETS):
         self.spark, self.path, self.schema, self.buckets = spark, path, schema, buckets
@@ -37,81 +46,129 @@ class LakeTable:
     def _guard(self) -> None:
         """The layout is written beside the table and checked whenever it is opened."""
         mine = {"partitions": LAYOUT, "buckets": self.buckets, "schema": self.schema.json()}
-        at = f"{self.path}/_layout"
-        if self._fs.exists(self._path(at)):
-            found = json.loads(self.spark.read.text(at).first()["value"])
-            if found != mine:
-                raise LayoutMismatch(f"{self.path}: {found['partitions']} x {found['buckets']}, wanted {LAYOUT} x {self.buckets}")
-        else:
-            self.spark.createDataFrame([(json.dumps(mine),)], "value string").coalesce(1).write.text(at)
-
-    @property
-    def _data(self) -> str:
-        return f"{self.path}/data"
-
-    def _laid(self, df: DataFrame) -> DataFrame:
-        cut = [F.date_trunc("MILLISECOND", c).alias(c) if isinstance(self.schema[c].dataType, T.TimestampType) else F.col(c) for c in self.schema.names]
-        return df.select(*cut).withColumns({"event_day": F.to_date("event_time"), "household_bucket": household_bucket(F.col("household_id"), self.buckets)})
+        at = f"{self.path}/layout.json"
+        if not self._fs.exists(self._path(at)):
+            self._put(at, mine)
+        found = self._get(at)
+        if found != mine:
+            raise LayoutMismatch(f"{self.path}: {found['partitions']} x {found['buckets']}, wanted {LAYOUT} x {self.buckets}")
+
+    def _put(self, at: str, what) -> None:
+        """A small file that is whole or not there: written aside, then renamed."""
+        aside = self._path(f"{self.path}/_aside-{uuid.uuid4().hex}")
+        out = self._fs.create(aside)
+        out.write(json.dumps(what).encode())
+        out.close()
+        self._fs.mkdirs(self._path(at).getParent())
+        if self._fs.exists(self._path(at)) or not self._fs.rename(aside, self._path(at)):
+            raise RuntimeError(f"{at} is already there: another writer was faster")
+
+    def _get(self, at: str):
+        return json.loads("\n".join(r["value"] for r in self.spark.read.text(at).collect()))
+
+    def _names(self, at: str) -> list[str]:
+        path = self._path(at)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
+
+    def parts(self) -> list[tuple[str, dt.date]]:
+        """(commit, day) of the newest manifest."""
+        found = self._names(f"{self.path}/manifest")
+        return [(c, dt.date.fromisoformat(d)) for c, d in self._get(f"{self.path}/manifest/{found[-1]}")] if found else []
+
+    def _publish(self, parts: list[tuple[str, dt.date]]) -> None:
+        found = self._names(f"{self.path}/manifest")
+        number = int(found[-1].split(".")[0]) + 1 if found else 0
+        self._put(f"{self.path}/manifest/{number:012d}.json", [(c, d.isoformat()) for c, d in sorted(parts)])
+
+    def _committed(self, rows: DataFrame) -> tuple[str, list[dt.date]]:
+        """Writes rows as a commit that no manifest names yet; the days in it, from its folders."""
+        commit = uuid.uuid4().hex
+        # a rebalance and not a repartition: what is big is split, what is small is put together
+        dealt = rows.hint("rebalance", *LAYOUT).sortWithinPartitions(*LAYOUT, "event_time")
+        dealt.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(*LAYOUT).parquet(f"{self.path}/data/commit={commit}")
+        days = [n.split("=")[1] for n in self._names(f"{self.path}/data/commit={commit}") if n.startswith("event_day=")]
+        return commit, [dt.date.fromisoformat(d) for d in days]
 
     def append(self, df: DataFrame) -> list[dt.date]:
-        """Appends rows; returns the days that they touch. One exchange puts a
-        day and bucket into one file; within it rows are sorted by time, so the
-        statistics of row groups prune time ranges."""
-        rows = self._laid(df)
-        days = sorted(r["event_day"] for r in rows.select("event_day").distinct().collect())  # a row a day
-        rows.repartition(*LAYOUT).sortWithinPartitions(*LAYOUT, "event_time").write.mode("append").partitionBy(*LAYOUT).parquet(self._data)
+        """Appends rows; returns the days that they touch. The input is evaluated
+        once; within a file rows are sorted by time, so the statistics of row
+        groups prune time ranges."""
+        cut = [F.date_trunc("MILLISECOND", c).alias(c) if isinstance(self.schema[c].dataType, T.TimestampType) else F.col(c) for c in self.schema.names]
+        rows = df.select(*cut).withColumns({"event_day": F.to_date("event_time"), "household_bucket": household_bucket(F.col("household_id"), self.buckets)})
+        commit, days = self._committed(rows)
+        if days:
+            self._publish(self.parts() + [(commit, d) for d in days])
         return days
 
-    def read(self) -> DataFrame:
+    def _read(self, parts: list[tuple[str, dt.date]]) -> DataFrame:
         full = T.StructType([*self.schema, T.StructField("event_day", T.DateType()), T.StructField("household_bucket", T.IntegerType())])
-        if not self._fs.exists(self._path(self._data)):
+        if not parts:
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).parquet(self._data)
+        paths = [f"{self.path}/data/commit={c}/event_day={d}" for c, d in parts]
+        return self.spark.read.schema(T.StructType([*full, T.StructField("commit", T.StringType())])).option("basePath", f"{self.path}/data").parquet(*paths).drop("commit")
+
+    def read(self) -> DataFrame:
+        return self._read(self.parts())
 
     def for_days(self, days: list[dt.date]) -> DataFrame:
-        """Distinct rows of some days; none of no days. The filter is on the partition column."""
-        rows = self.read()
-        return rows.where(F.col("event_day").isin(days) if days else F.lit(False)).drop(*LAYOUT).distinct()
+        """Distinct rows of some days; none of no days. Only the folders of those days are listed and read."""
+        wanted = set(days)
+        return self._read([p for p in self.parts() if p[1] in wanted]).drop(*LAYOUT).distinct()
 
-    def for_households(self, households: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
-        """Distinct rows of a set of households in [start, end): a semi join on
-        bucket and household, with the days of the range as a partition filter."""
+    def for_households(self, households: DataFrame, start: dt.datetime, end: dt.datetime, keep_bucket: bool = False) -> DataFrame:
+        """Distinct rows of a set of households in [start, end): only days of the
+        range are read, and a semi join on bucket and household follows."""
         wanted = households.select("household_id").distinct().withColumn("household_bucket", household_bucket(F.col("household_id"), self.buckets))
-        rows = self.read().where(F.col("event_day").between(start.date(), end.date()) & (F.col("event_time") >= start) & (F.col("event_time") < end))
-        return rows.join(wanted, ["household_bucket", "household_id"], "left_semi").select(*self.schema.names).distinct()
+        rows = self._read([p for p in self.parts() if start.date() <= p[1] <= end.date()])
+        rows = rows.where((F.col("event_time") >= start) & (F.col("event_time") < end))
+        return rows.join(wanted, ["household_bucket", "household_id"], "left_semi").select(*self.schema.names, *(["household_bucket"] if keep_bucket else [])).distinct()
 
-    def days(self) -> DataFrame:
-        return self.read().select("event_day").distinct()
+    def days(self) -> list[dt.date]:
+        """From the manifest; no row is read."""
+        return sorted({d for _, d in self.parts()})
 
     def current(self, days: list[dt.date] | None = None) -> DataFrame:
         return current(self.for_days(days) if days is not None else self.read().drop(*LAYOUT).distinct())
 
+    def storage(self) -> list[tuple[str, int, int, int]]:
+        """(day, commits, files, bytes) of each day, from the manifest and the listing."""
+        out: dict[dt.date, list[int]] = {}
+        for commit, day in self.parts():
+            held = self._fs.getContentSummary(self._path(f"{self.path}/data/commit={commit}/event_day={day}"))
+            row = out.setdefault(day, [0, 0, 0])
+            row[0], row[1], row[2] = row[0] + 1, row[1] + held.getFileCount(), row[2] + held.getLength()
+        return [(d.isoformat(), *row) for d, row in sorted(out.items())]
+
     def compact(self, days: list[dt.date] | None = None) -> int:
-        """Rewrites days whose buckets have several files into one file each;
-        rows stay as they are. The new files are complete before the old ones go.
-        Returns the number of days rewritten."""
-        rows = self.read()
-        held = rows.select("event_day", "household_bucket", F.input_file_name().alias("f")).groupBy(*LAYOUT).agg(F.count_distinct("f").alias("n")).where("n > 1")
-        if days is not None:
-            held = held.where(F.col("event_day").isin(days) if days else F.lit(False))
-        many = sorted({r["event_day"] for r in held.select("event_day").distinct().collect()})
-        for day in many:
-            work = f"{self.path}/_compact-{uuid.uuid4().hex}"
-            self.read().where(F.col("event_day") == day).drop("event_day").repartition("household_bucket").sortWithinPartitions("household_bucket", "event_time").write.partitionBy("household_bucket").parquet(work)
-            at = self._path(f"{self._data}/event_day={day}")
-            old = self._path(f"{self.path}/_old-{uuid.uuid4().hex}")
-            self._fs.rename(at, old)
-            self._fs.rename(self._path(work), at)
-            self._fs.delete(old, True)
-        self.spark.catalog.refreshByPath(self._data)
+        """Rewrites the days that lie in several commits into one; rows stay as
+        they are. The new files count from the moment that the manifest names them,
+        the old ones go after that. Returns the number of days rewritten."""
+        parts = self.parts()
+        held = [d for _, d in parts]
+        many = sorted({d for d in held if held.count(d) > 1 and (days is None or d in set(days))})
+        if many:
+            old = [p for p in parts if p[1] in set(many)]
+            commit, _ = self._committed(self._read(old))
+            self._publish([p for p in parts if p not in old] + [(commit, d) for d in many])
+            self.vacuum()
         return len(many)
 
+    def vacuum(self) -> int:
+        """Removes folders that the manifest does not name; the number of them."""
+        live, gone = self.parts(), 0
+        for name in self._names(f"{self.path}/data"):
+            commit = name.split("=")[1]
+            for day in self._names(f"{self.path}/data/{name}"):
+                if day.startswith("event_day=") and (commit, dt.date.fromisoformat(day.split("=")[1])) not in live:
+                    self._fs.delete(self._path(f"{self.path}/data/{name}/{day}"), True)
+                    gone += 1
+        return gone
+
     def rebuild(self, path: str) -> DataFrame:
         """The current rows as a fresh serving table; refuses to overwrite it with nothing."""
-        rows = self.current()
-        if rows.isEmpty():
+        if not self.parts():
             raise EmptyLake(self.path)
-        rows.write.mode("overwrite").parquet(path)
+        self.current().write.mode("overwrite").parquet(path)
         return self.spark.read.schema(self.schema).parquet(path)
 
     def migrate(self, path: str, change) -> LakeTable:
@@ -124,10 +181,6 @@ class LakeTable:
         return new
 
 
-def lake_days(*tables: LakeTable) -> DataFrame:
-    """Distinct days over several tables; opening none of them creates data."""
-    days = [t.days() for t in tables]
-    out = days[0]
-    for d in days[1:]:
-        out = out.unionByName(d)
-    return out.distinct().orderBy("event_day")
+def lake_days(*tables: LakeTable) -> list[dt.date]:
+    """Days over several tables; opening none of them creates data."""
+    return sorted({d for t in tables for d in t.days()})

@@ -51,7 +51,10 @@ def domain(spark: SparkSession, sf_dir: str) -> Tables:
     )
     seen = views.selectExpr("user_id", "event_time view_time", f"{_name('e', 'event_id', 9)} exposure_id")
     caused = bought.where("event_id % 2 = 0").selectExpr("user_id", "event_time", f"{_name('c', 'event_id', 9)} conversion_id")
-    truth = caused.join(seen, "user_id").where("view_time between event_time - interval 20 days and event_time").groupBy("conversion_id").agg(F.min(F.struct("view_time", "exposure_id"))["exposure_id"].alias("truth_exposure_id"))
+    # by spans of 20 days, so that a user with a long history joins only what can match
+    span = "unix_seconds({}) div 1728000"
+    caused = caused.selectExpr("*", f"explode(array({span.format('event_time')}, {span.format('event_time')} - 1)) span")
+    truth = caused.join(seen.selectExpr("*", f"{span.format('view_time')} span"), ["user_id", "span"]).where("view_time between event_time - interval 20 days and event_time").groupBy("conversion_id").agg(F.min(F.struct("view_time", "exposure_id"))["exposure_id"].alias("truth_exposure_id"))
 
     def sent(df: DataFrame) -> DataFrame:
         return df.unionByName(df.where("event_id % 9 = 0")).drop("event_id")

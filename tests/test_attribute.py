@@ -107,7 +107,8 @@ def test_contracts(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_the_stream_form_equals_a_literal_loop(spark, seed):
+def test_the_window_form_equals_a_search_for_each_conversion(spark, seed):
+    """By definition: the release of each conversion is looked for among the arrivals of its household."""
     import random
 
     rng = random.Random(seed)
@@ -118,19 +119,14 @@ def test_the_stream_form_equals_a_literal_loop(spark, seed):
         (e if rng.random() < 0.6 else r).append((f"{'e' if len(e) + len(r) == i else 'x'}{i:03d}", t, g, home))
     shown, asked = exp(spark, *e), one_per_conversion(res(spark, *((*c, 1) for c in r)))
     want = {}
-    for home in {x[3] for x in e + r}:
-        mark, held, waiting = None, [], []
-
-        def release(rows, held):
-            for c, t in rows:
-                own = [(u, n) for n, u in held if t - 168 <= u <= t + 1e-9]
-                want[c] = max(own)[1] if own else None
-
-        for g, kind, name, t in sorted([(x[2], 0, x[0], x[1]) for x in e if x[3] == home] + [(x[2], 1, x[0], x[1]) for x in r if x[3] == home]):
-            mark = t - 6 if mark is None else max(mark, t - 6)
-            (waiting if kind else held).append((name, t))
-            release([w for w in waiting if w[1] <= mark], held)
-            waiting = [w for w in waiting if w[1] > mark]
-            held = [h for h in held if mark <= h[1] + 168]
-        release(waiting, held)
+    for name, t, _, home in r:
+        line = sorted([(x[2], 0, x[0], x[1]) for x in e if x[3] == home] + [(x[2], 1, x[0], x[1]) for x in r if x[3] == home])
+        mark = [max(x[3] for x in line[: k + 1]) - 6 for k in range(len(line))]
+        own = next(k for k, x in enumerate(line) if x[2] == name)
+        tick = next((k for k in range(own, len(line)) if mark[k] >= t), None)
+        there = [
+            (u, n) for k, (_, kind, n, u) in enumerate(line)
+            if not kind and t - 168 <= u <= t + 1e-9 and (tick is None or k <= tick) and not any(mark[j] > u + 168 for j in range(k, len(line) if tick is None else tick))
+        ]
+        want[name] = max(there)[1] if there else None
     assert {c: x[0] for c, x in decided(att.engine(shown, asked)).items()} == want

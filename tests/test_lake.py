@@ -8,6 +8,7 @@ import pytest
 from afterview.operators.rollup import changed_keys, hourly
 from afterview.plans.passes import full_pass, hot_pass, incremental, reconcile_lake
 from afterview.plans.probes import probe
+from afterview.plans.serving import ProfileMismatch, Serving, UnknownDay
 from afterview.schemas import ATTRIBUTED, CONVERSION, EXPOSURE
 from afterview.sources.files import PoisonedInput, compacted, read_strict, write_canonical
 from afterview.sources.generate import simulated
@@ -26,7 +27,7 @@ def test_lake_reconciles_in_place_and_once(spark, tables, tmp_path):
         rows.rebuild(f"{tmp_path}/serving")
     days = shown.append(hot.exposures)
     rows.append(hot.attributed)
-    assert lake_days(shown).count() == len(days)
+    assert lake_days(shown) == days == shown.days()
     assert shown.for_days([]).isEmpty() and shown.for_days(days).count() == hot.exposures.count()
     assert reconcile_lake(shown, rows) and reconcile_lake(shown, rows) == []
     want = {r["conversion_id"]: r["exposure_id"] for r in full_pass(tables)[1].where("attributed").collect()}
@@ -34,6 +35,7 @@ def test_lake_reconciles_in_place_and_once(spark, tables, tmp_path):
     before = sorted(map(str, rows.read().drop("household_bucket").collect()))
     assert rows.compact() > 0 and rows.compact() == 0
     assert sorted(map(str, rows.read().drop("household_bucket").collect())) == before
+    assert rows.vacuum() == 0 and {c for _, c, _, _ in rows.storage()} == {1}
     assert rows.rebuild(f"{tmp_path}/serving").count() == hot.attributed.count()
     with pytest.raises(LayoutMismatch):
         LakeTable(spark, f"{tmp_path}/exposures", EXPOSURE, buckets=4)
@@ -47,8 +49,96 @@ def test_lake_reconciles_in_place_and_once(spark, tables, tmp_path):
 def test_pruning_reaches_the_scan(spark, tables, tmp_path):
     table = LakeTable(spark, f"{tmp_path}/t", EXPOSURE)
     table.append(tables.exposures)
-    plan = table.for_days([dt.date(2026, 8, 2)])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_day" in plan
+    files = table.for_days([dt.date(2026, 8, 2)]).inputFiles()
+    assert files and all("event_day=2026-08-02" in f for f in files) and len(files) < len(table.read().inputFiles())
+    plan = table.read().where("spend > 0.2").select("campaign_id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(spend,0.2)" in plan and "ReadSchema: struct<campaign_id:string,spend:double>" in plan
+
+
+def test_a_crash_leaves_the_table_as_it_was(spark, tables, tmp_path, monkeypatch):
+    """A commit without a manifest does not count, before or after a compaction, and vacuum removes it."""
+    table = LakeTable(spark, f"{tmp_path}/t", EXPOSURE)
+    table.append(tables.exposures)
+    table.append(tables.exposures.limit(50))
+    before = sorted(map(str, table.read().collect()))
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(LakeTable, "_publish", crash)
+        for step in (lambda: table.append(tables.exposures), table.compact):
+            with pytest.raises(OSError):
+                step()
+    again = LakeTable(spark, f"{tmp_path}/t", EXPOSURE)
+    assert sorted(map(str, again.read().collect())) == before
+    assert again.vacuum() > 0 and sorted(map(str, again.read().collect())) == before
+    assert again.compact() > 0 and sorted(map(str, again.read().collect())) == before and again.compact() == 0
+
+
+def test_serving_loads_reloads_and_refuses(spark, tables, tmp_path):
+    hot = hot_pass(tables)
+    shown, rows = LakeTable(spark, f"{tmp_path}/e", EXPOSURE), LakeTable(spark, f"{tmp_path}/a", ATTRIBUTED)
+    new = Serving(spark, f"{tmp_path}/s", shown, rows)
+    with pytest.raises(EmptyLake):
+        new.rebuild()
+    days = sorted({*shown.append(hot.exposures), *rows.append(hot.attributed)})
+    new = Serving(spark, f"{tmp_path}/s", shown, rows, (days[0], days[-1]))
+    with pytest.raises(UnknownDay):
+        new.load([days[0], days[-1] + dt.timedelta(days=1)])
+    with pytest.raises(ProfileMismatch):
+        new.check_marker("long_delay")
+    new.mark("long_delay")
+    new.check_marker("long_delay")
+    with pytest.raises(ProfileMismatch):
+        new.check_marker("tiny")
+    got = new.load(days[::-1])
+    assert got["exposures"] == hot.exposures.count() and got["attributed"] == hot.attributed.count() and got["rollup_keys"] > 0
+    for day in days[:3]:
+        assert new.load_day(day)["rollup_keys"] == 0  # nothing moved
+    numbers = ("campaign_id", "hour", "spend", "exposures", "attributed_conversions", "purchases", "revenue")
+    same = lambda a, b: sorted(map(str, a.select(*numbers).collect())) == sorted(map(str, b.select(*numbers).collect()))
+    assert same(new.rollup(), hourly(hot.exposures, hot.attributed))
+    assert new.finalize() and new.dirty().isEmpty()
+    _, versions = full_pass(tables)
+    full = hourly(hot.exposures, versions)
+    assert same(new.rollup(), full)
+    taken = sorted(map(str, new.snapshots().collect()))
+    assert new.finalize() == [] and same(new.rollup(), full) and sorted(map(str, new.snapshots().collect())) == taken
+    new.merge()
+    assert same(new.rollup(), full) and dict((n, p) for n, p, _ in new.storage())["campaign_hourly"] == 1
+    new.rebuild()
+    assert same(new.rollup(), full) and sorted(map(str, new.snapshots().collect())) == taken and new.marker() is None
+    assert new.credited().count() == new.decisions().where("attributed").count() > 0
+
+
+def test_costs_come_from_the_metrics_and_the_rate(spark, tables, tmp_path, monkeypatch):
+    from afterview.plans import cost
+
+    tables.exposures.write.parquet(f"{tmp_path}/e")
+    read = lambda: spark.read.parquet(f"{tmp_path}/e").groupBy("campaign_id").count()
+    log = cost.logged(spark, {"a": read, "b": lambda: read().where("count > 1")}, f"{tmp_path}/log", times=3)
+    first = cost.last_run(log, "a").first()
+    log = cost.logged(spark, {"a": read}, f"{tmp_path}/log")
+    assert cost.last_run(log, "a").first()["event_time"] > first["event_time"] and log.count() == 3
+    monkeypatch.setenv("COST_USD_PER_CPU_SECOND", "2.5")
+    rows = {r["query_tag"]: r for r in cost.costs(log).collect()}
+    last = cost.last_run(log, "a").first()
+    assert set(rows) == {"a", "b"} and rows["a"]["read_rows"] == tables.exposures.count()
+    assert rows["a"]["cpu_seconds"] == last["events"]["executor_cpu_us"] / 1e6 > 0 and rows["a"]["usd"] == pytest.approx(2.5 * rows["a"]["cpu_seconds"])
+
+
+def test_produce_writes_all_or_nothing(spark, tables, tmp_path):
+    from afterview.schemas import violations
+    from afterview.sources.files import produce
+
+    n = produce(tables.conversions, f"{tmp_path}/in", CONVERSION, violations)
+    assert n == read_strict(spark, f"{tmp_path}/in", CONVERSION, CONVERSION.names).count()
+    bad = tables.conversions.withColumn("revenue", tables.conversions["revenue"] - 1e6)
+    for wrong in (lambda: produce(bad, f"{tmp_path}/no", CONVERSION, violations), lambda: produce(bad.drop("ip"), f"{tmp_path}/no", CONVERSION)):
+        with pytest.raises(PoisonedInput):
+            wrong()
+    assert not Path(tmp_path, "no").exists()
 
 
 def test_incremental_rollup_equals_full(spark, tables):
@@ -80,16 +170,6 @@ def test_strict_lines_round_trip(spark, tables, tmp_path):
     assert sorted(map(tuple, compacted(log, "k", "at").select("k", "v").collect())) == [("a", 9), ("b", 5)]
 
 
-def test_stream_operator_equals_the_window_form(spark, tables, tmp_path):
-    from afterview.streaming.attribution import run_to_end, tagged
-
-    hot = hot_pass(tables)
-    tagged(hot.exposures, hot.one_row).coalesce(1).write.parquet(f"{tmp_path}/in")
-    out = run_to_end(spark, f"{tmp_path}/in", str(tmp_path)).where("conversion_id is not null")
-    want = {r["conversion_id"]: (r["exposure_id"], r["assists"]) for r in hot.attributed.collect()}
-    assert {r["conversion_id"]: (r["exposure_id"], r["assists"]) for r in out.collect()} == want
-
-
 DATA = "/root/testdata/sf0.001"
 
 
