@@ -1,19 +1,21 @@
 """Quality classifier by importance resampling of hashed n-grams.
 
-Two generative models over hashed n-grams (words and word pairs): one of the
-target text, one of the raw text. Each is kept twice, as frequencies and as the
-share of documents that have an n-gram; the latter is not moved by one document
-that repeats itself and shows words that never occur in target text. A text's
-log ratios under both are calibrated to one log importance weight; the sample
-is the top k of these with Gumbel noise, which draws without replacement in
-proportion to the weights.
+Two generative models over hashed n-grams (words and word pairs), one of the
+target text and one of the raw text, each with two factors: how often an n-gram
+is drawn, and in which share of the documents it is present at all. The second
+is not moved by one document that repeats itself, and speaks up only against an
+n-gram: one that raw documents have and target ones clearly have not. The log
+ratio of the models, for each n-gram of a text, is its log importance weight;
+labels at most move and stretch that scale (an increasing line, to log odds).
+The sample is the top k of the weights with Gumbel noise, which draws without
+replacement in proportion to them.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +24,10 @@ from .packs import MESSAGE, bundle, letters, messages, unbundle
 from .textnum import BYTE_CODE, WHITE, mix, prefix_sums, span_hashes, word_spans
 
 BUCKETS = 1 << 20
-PARTS = 16
-#: Documents' worth of evidence that a bucket's ratio is shrunk by.
-SHRINK = 20.0
+#: The buckets' counts travel in so many messages a task, and are added up by a tree with so many first nodes for each.
+PARTS, NODES = 16, 1024
+#: Documents' worth of evidence that the presence ratio is shrunk by; log ratios that count; their weight beside the frequencies.
+SHRINK, CLEAR, PRESENCE = 5.0, -1.0, 30.0
 #: At most so many labelled rows are used, those with the least hash of their id.
 LABELLED = 200_000
 SLICE_BYTES = 4 << 20
@@ -59,60 +62,57 @@ def labelled(labels: DataFrame, most: int = LABELLED) -> DataFrame:
 
 
 def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Of each bucket: documents that have it and occurrences, raw and target
-    (four rows), and toxic documents that have it; and the numbers of raw,
-    target and toxic documents.
+    """Of each bucket: documents that have it, raw and target, and occurrences, raw
+    and target; and the numbers of raw and target documents.
 
-    docs: (text, kind), kind 1 for target and 2 for toxic. One packed message for each task and part of the
-    buckets; the result has a fixed size."""
+    docs: (text, target). Each task sends its sums; they are added up by a tree of
+    two levels, so that no worker holds more messages than NODES or tasks / NODES.
+    The result has a fixed size."""
 
     def count(batches):
-        seen, total = np.zeros((5, BUCKETS), np.int64), np.zeros(3, np.int64)
+        seen, total, task = np.zeros((4, BUCKETS), np.int64), np.zeros(2, np.int64), TaskContext.get().partitionId()
         for b in batches:
             buf, bounds = flat(b.column(0))
-            kind = b.column(1).to_numpy(zero_copy_only=False)
-            total += len(kind), (kind == 1).sum(), (kind == 2).sum()
+            target = b.column(1).to_numpy(zero_copy_only=False)
+            total += len(target), target.sum()
             for x, y in slices(bounds, SLICE_BYTES):
                 doc, bucket, times = buckets(buf[bounds[x] : bounds[y]], bounds[x : y + 1] - bounds[x])
-                own, toxic = kind[x:y][doc] == 1, kind[x:y][doc] == 2
-                for k, (g, n) in enumerate(((bucket, None), (bucket[own], None), (bucket, times), (bucket[own], times[own]), (bucket[toxic], None))):
+                own = target[x:y][doc]
+                for k, (g, n) in enumerate(((bucket, None), (bucket[own], None), (bucket, times), (bucket[own], times[own]))):
                     seen[k] += np.bincount(g, n, BUCKETS).astype(np.int64)
         width = BUCKETS // PARTS
-        yield from messages([(p, 0, 0, bundle(*seen[:, p * width : (p + 1) * width], total)) for p in range(PARTS)]).to_batches()
+        yield from messages([(p, task % NODES, 0, bundle(*seen[:, p * width : (p + 1) * width], total)) for p in range(PARTS)]).to_batches()
 
     def add(table: pa.Table) -> pa.Table:
         sums = None
-        for part, _, data in letters(table):
+        for part, node, data in letters(table):
             arrays = unbundle(data)
             sums = arrays if sums is None else [a + b for a, b in zip(sums, arrays, strict=True)]
-        return messages([(part, 0, 0, bundle(*sums))])
+        return messages([(part, node, 0, bundle(*sums))])
 
-    rows = sorted((r["part"], bytes(r["data"])) for r in docs.mapInArrow(count, MESSAGE).groupBy("part").applyInArrow(add, MESSAGE).collect())  # PARTS rows
+    added = docs.mapInArrow(count, MESSAGE).groupBy("part", "chunk").applyInArrow(add, MESSAGE).groupBy("part").applyInArrow(add, MESSAGE)
+    rows = sorted((r["part"], bytes(r["data"])) for r in added.collect())  # PARTS rows
     if not rows:
-        return np.zeros((5, BUCKETS), np.int64), np.zeros(3, np.int64)
+        return np.zeros((4, BUCKETS), np.int64), np.zeros(2, np.int64)
     parts = [unbundle(d) for _, d in rows]
-    return np.stack([np.concatenate([p[k] for p in parts]) for k in range(5)]), parts[0][5]
+    return np.stack([np.concatenate([p[k] for p in parts]) for k in range(4)]), parts[0][4]
 
 
 def log_ratios(counts: np.ndarray, docs: np.ndarray, shrink: float = SHRINK, smooth: float = 0.1) -> np.ndarray:
-    """Three rows: log((target documents + s) / (those expected from raw + s)),
-    the log ratio of the smoothed frequencies, and the first for toxic documents
-    with a quarter of s."""
-
-    def by_docs(own: np.ndarray, n: int, s: float) -> np.ndarray:
-        return np.log((own + s) / (counts[0] * (n / max(1, docs[0])) + s))
-
+    """Two rows: of each bucket the log ratio of the smoothed frequencies, and that of
+    presence, log((target documents + s) / (those expected from raw + s)), where
+    it is below CLEAR."""
     raw, target = ((c + smooth) / (c.sum() + smooth * BUCKETS) for c in counts[2:4].astype(float))
-    return np.stack([by_docs(counts[1], docs[1], shrink), np.log(target / raw), by_docs(counts[4], docs[2], shrink / 4)]).astype(np.float32)
+    present = np.log((counts[1] + shrink) / (counts[0] * (docs[1] / max(1, docs[0])) + shrink))
+    return np.stack([np.log(target / raw), np.where(present < CLEAR, present, 0.0)]).astype(np.float32)
 
 
-WEIGHTS = "doc_id long, text_key long, n_docs_grams long, n_grams long, ratio double, worst double, log_ratio double, toxic double"
+WEIGHTS = "doc_id long, text_key long, n_grams long, log_ratio double, weight double"
 
 
 def _weights(docs: DataFrame, ratios) -> DataFrame:
-    """Of (doc_id, text_key, text): the sum and the least of the distinct n-grams'
-    ratios by documents, the log ratio of the text under the two frequency models,
-    and the n-gram that speaks most for toxic text."""
+    """Of (doc_id, text_key, text): the log ratio of the text under the frequency
+    models, and its log importance weight for each n-gram."""
     names = [c.split()[0] for c in WEIGHTS.split(", ")]
 
     def run(batches):
@@ -122,43 +122,30 @@ def _weights(docs: DataFrame, ratios) -> DataFrame:
             for x, y in slices(bounds, SLICE_BYTES):
                 doc, bucket, times = buckets(buf[bounds[x] : bounds[y]], bounds[x : y + 1] - bounds[x])
                 own = r[:, bucket].astype(float)
-                worst = np.zeros(y - x)
-                np.minimum.at(worst, doc, own[0])
-                toxic = np.zeros(y - x)
-                np.maximum.at(toxic, doc, own[2])
-                sums = [np.bincount(doc, w, y - x) for w in (None, times, own[0], own[1] * times)]
-                yield pa.RecordBatch.from_arrays([b.column(0)[x:y], b.column(1)[x:y], pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(worst), pa.array(sums[3]), pa.array(toxic)], names)
+                distinct, grams, often, absent = (np.bincount(doc, w, y - x) for w in (None, times, own[0] * times, own[1]))
+                weight = often / np.maximum(grams, 1) + PRESENCE * absent / np.maximum(distinct, 1)
+                yield pa.RecordBatch.from_arrays([b.column(0)[x:y], b.column(1)[x:y], pa.array(grams.astype(np.int64)), pa.array(often), pa.array(weight)], names)
 
     return docs.mapInArrow(run, WEIGHTS)
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, plain: int = -1) -> np.ndarray:
-    """Logistic regression (Newton's method): from parts_of() to the log odds of good;
-    column `plain` alone where there is nothing to learn from."""
-    if not len(y) or y.min() == y.max():
-        return np.append(0.0, np.eye(x.shape[1])[plain])
-    scale = np.append(1.0, np.maximum(x.std(0), 1e-9))
-    a = np.column_stack([np.ones(len(x)), x]) / scale
-    w = np.zeros(a.shape[1])
-    for _ in range(50):
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float] | None:
+    """The increasing line a + b * x that best gives the log odds of good (logistic
+    regression by Newton's method); None where there is nothing to learn it from."""
+    if not len(y) or y.min() == y.max() or x.std() < 1e-12 or x[y == 1].mean() <= x[y == 0].mean():
+        return None
+    middle, scale = x.mean(), x.std()
+    a = np.column_stack([np.ones(len(x)), (x - middle) / scale])
+    w = np.zeros(2)
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         grad = a.T @ (p - y) + ridge * w
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + (ridge + 1e-9) * np.eye(len(w)), grad)
-        w -= np.clip(step, -5, 5)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + (ridge + 1e-9) * np.eye(2), grad)
+        w -= np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-9:
             break
-    return w / scale
-
-
-#: The part that stands alone without a calibration: the log ratio for each n-gram.
-PLAIN = "each_log_ratio"
-
-
-def parts_of() -> dict[str, Column]:
-    """What calibration sees of a row of WEIGHTS: both ratios damped and for each n-gram, the worst n-gram, the most toxic one."""
-    damped = lambda c: F.signum(c) * F.log1p(F.abs(F.col(c)))
-    each = lambda c, n: F.col(c) / F.greatest(F.col(n), F.lit(1))
-    return {"ratio": damped("ratio"), "each_ratio": each("ratio", "n_docs_grams"), "worst": F.col("worst"), "log_ratio": damped("log_ratio"), PLAIN: each("log_ratio", "n_grams"), "toxic": F.col("toxic")}
+    slope = max(w[1] / scale, 1e-9)
+    return float(w[0] - slope * middle), float(slope)
 
 
 def gumbel(seed: int, *keys: Column) -> Column:
@@ -168,38 +155,39 @@ def gumbel(seed: int, *keys: Column) -> Column:
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 17) -> DataFrame:
-    """One row per document: doc_id, log_ratio, log_odds, key, place, kept.
+    """One row per document: doc_id, log_ratio, weight, log_odds, key, place, kept.
 
     The target text are labelled good documents (three folds in five; at most
     LABELLED rows, by the hash of their ids), the raw text all documents. One
-    fold calibrates the ratio to log odds, and one is left for measuring. kept:
-    among the k greatest of log odds plus Gumbel noise; by default k is the
-    number of documents with odds above one.
-
-    Texts are read twice and not shuffled. A null or empty text has no n-grams;
-    without labels or without both kinds of them the odds are the ratio itself.
-    Repeated rows draw equal keys and stand next to each other; a null id is
-    never labelled.
+    fold calibrates the weight to log odds, an increasing line, and one is left
+    for measuring. kept: among the k greatest of log odds plus Gumbel noise; by
+    default k is the number of documents with odds above one.
+
+    Texts are read twice, whole, and not shuffled. A null or empty text has no
+    n-grams and weight 0. Where the calibrating fold has not both kinds, the
+    odds are the weight less that of the target's lowest hundredth, and without
+    any target text the weight. Repeated rows draw equal keys and stand next to
+    each other, ties in any order; a null id is never labelled; an empty table
+    gives no rows. Of the columns only doc_id and text are read.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     known = stored(labelled(labels), "labelled")  # at most LABELLED rows of 20 bytes
-    kinds = F.broadcast(known.where("(good = 1 or toxic = 1) and fold >= 2").select("doc_id", F.when(F.col("good") == 1, 1).otherwise(2).alias("kind")))
-    counted = base.join(kinds, "doc_id", "left").select("text", F.coalesce("kind", F.lit(0)).alias("kind"))
-    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(*_counts(counted)))  # BUCKETS times three numbers
+    target = F.broadcast(known.where("good = 1 and fold >= 2").select("doc_id", F.lit(True).alias("target")))
+    counted = base.join(target, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(*_counts(counted)))  # BUCKETS times two numbers
     told = stored(_weights(base, ratios), "weights")
-    names, x = zip(*parts_of().items(), strict=True)
-    rows = told.join(F.broadcast(known.where("fold = 0").select("doc_id", "good")), "doc_id").groupBy("doc_id").agg(F.first(F.struct(*(c.alias(f"x{i}") for i, c in enumerate(x)), "good")).alias("r")).select("r.*").collect()
-    data = np.array([tuple(r) for r in rows], float).reshape(-1, len(x) + 1)
-    w = calibrate(data[:, :-1], data[:, -1], plain=names.index(PLAIN))
-    odds = F.lit(float(w[0]))
-    for weight, c in zip(w[1:], x, strict=True):
-        odds = odds + c * float(weight)
-    scored = told.select("doc_id", "text_key", "log_ratio", odds.alias("log_odds"))
-    scored = scored.withColumn("key", F.col("log_odds") + gumbel(seed, F.col("doc_id"), F.col("text_key")))
+    fold_0 = told.join(F.broadcast(known.where("fold = 0").select("doc_id", "good")), "doc_id").groupBy("doc_id").agg(F.first("weight").alias("weight"), F.first("good").alias("good"))
+    data = np.array([(r["weight"], r["good"]) for r in fold_0.collect()], float).reshape(-1, 2)  # at most LABELLED rows
+    line = calibrate(data[:, 0], data[:, 1])
+    if line is None:
+        lowest = told.join(target, "doc_id", "left_semi").agg(F.percentile_approx("weight", 0.01, 10_000).alias("w")).first()["w"]
+        line = (-(lowest or 0.0) + 1e-9, 1.0)
+    scored = told.withColumn("log_odds", F.lit(line[0]) + F.lit(line[1]) * F.col("weight"))
+    scored = scored.select("doc_id", "text_key", "log_ratio", "weight", "log_odds", (F.col("log_odds") + gumbel(seed, F.col("doc_id"), F.col("text_key"))).alias("key"))
     if k is None:
         k = scored.where("log_odds > 0").count()
     ranked = numbered(scored, [F.col("key").desc(), F.col("doc_id"), F.col("text_key")], "ranked")
-    return ranked.select("doc_id", "log_ratio", "log_odds", "key", F.col("row_number").alias("place"), (F.col("row_number") < k).alias("kept"))
+    return ranked.select("doc_id", "log_ratio", "weight", "log_odds", "key", F.col("row_number").alias("place"), (F.col("row_number") < k).alias("kept"))
 
 
 def op5_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -411,25 +411,58 @@ def test_quality_ranks_good_text_first(spark, empty):
     assert sum(r["kept"] for r in resample(make(spark, rows), told, k=50).collect()) == 50
     assert resample(empty, told).isEmpty() and resample(make(spark, rows), told.limit(0)).count() == len(rows)
     assert labelled(told, 10).count() == 10
-    assert calibrate(np.zeros((0, 2)), np.zeros(0)).tolist() == [0, 0, 1]
+    assert calibrate(np.zeros(0), np.zeros(0)) is None and calibrate(np.arange(9.0), np.array([1] * 5 + [0] * 4)) is None
+    a, b = calibrate(np.arange(40.0), np.array([0.0, 1.0] * 5 + [0] * 10 + [1] * 20))
+    assert b > 0
+
+
+def test_weights_are_the_ratio_of_the_two_models(spark):
+    """Every weight again, from plain counts of hashed n-grams; the odds are an increasing line of it, the sample its top k with noise."""
+    import math
+
+    from afterview.llm.quality import BUCKETS, CLEAR, PRESENCE, SHRINK, buckets, resample
+
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(WORDS[: 20 + 20 * (i % 2)] + ["Rare"] * (i % 7 == 0)) for _ in range(rng.randrange(1, 60))), "s") for i in range(400)] + [(900, None, "s"), (901, "", "s"), (902, "x " * 20000, "s")]
+    labels = [(i, i % 2, int(i % 14 == 7)) for i in range(0, 400) if i % 3]
+    got = {r["doc_id"]: r for r in resample(make(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), k=100).collect()}
+    target = {i for i, q, t in labels if q and not t and zlib.crc32(str(i).encode()) % 5 >= 2}
+    grams = {}
+    for i, t, _ in rows:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        _, g, n = buckets(raw, np.array([0, len(raw)]))
+        grams[i] = dict(zip(g.tolist(), n.tolist(), strict=True))
+    often, has = [Counter(), Counter()], [Counter(), Counter()]
+    for i, g in grams.items():
+        for side in [0] + [1] * (i in target):
+            often[side].update(g)
+            has[side].update(g.keys())
+    total = [sum(c.values()) for c in often]
+    for i, g in grams.items():
+        ratio = {b: math.log((often[1][b] + 0.1) / (total[1] + 0.1 * BUCKETS) * (total[0] + 0.1 * BUCKETS) / (often[0][b] + 0.1)) for b in g}
+        absent = {b: math.log((has[1][b] + SHRINK) / (has[0][b] * len(target) / len(rows) + SHRINK)) for b in g}
+        want = sum(ratio[b] * n for b, n in g.items()) / max(1, sum(g.values())) + PRESENCE * sum(a for a in absent.values() if a < CLEAR) / max(1, len(g))
+        assert abs(got[i]["weight"] - want) < 1e-4
+    by_weight = sorted(got.values(), key=lambda r: r["weight"])
+    assert all(a["log_odds"] <= b["log_odds"] for a, b in zip(by_weight, by_weight[1:]))
+    by_key = sorted(got.values(), key=lambda r: -r["key"])
+    assert [r["place"] for r in by_key] == list(range(len(rows))) and all(r["kept"] == (r["place"] < 100) for r in by_key)
+    noise = np.array([r["key"] - r["log_odds"] for r in by_key])
+    assert abs(noise.mean() - 0.5772) < 0.25 and abs(noise.std() - 1.2825) < 0.25
 
 
 def test_quality_without_a_calibration_follows_the_ratio(spark):
-    """Labels of the target alone, with or without toxic ones outside the calibration fold."""
+    """Labels of the target alone: the odds are the weight, moved."""
     from afterview.llm.quality import resample
 
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice(WORDS[:20] if i % 3 else WORDS[20:]) for _ in range(400)), "s") for i in range(300)]
-    fold = lambda i: zlib.crc32(str(i).encode()) % 5
     target = [(i, 1, 0) for i in range(300) if i % 3]
-    toxic = [(i, 0, 1) for i in range(0, 300, 3) if fold(i) >= 2]
-    for labels in (target, target + toxic):
-        got = resample(make(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
-        n_grams = 400 + 399
-        assert all(abs(r["log_odds"] - r["log_ratio"] / n_grams) < 1e-9 for r in got)
-        kept = [r["doc_id"] for r in got if r["kept"]]
-        assert len(kept) == sum(r["log_ratio"] > 0 for r in got) >= 190
-        assert all(r["log_ratio"] > 0 for r in got if r["doc_id"] % 3) and all(r["log_ratio"] < 0 for r in got if r["doc_id"] % 3 == 0)
+    got = resample(make(spark, rows), spark.createDataFrame(target, "doc_id long, quality int, toxic int")).collect()
+    assert len({round(r["log_odds"] - r["weight"], 9) for r in got}) == 1
+    positive = {r["doc_id"] for r in got if r["log_odds"] > 0}
+    assert len(positive) >= 120 and all(i % 3 for i in positive) and sum(r["kept"] for r in got) == len(positive)
+    assert min(r["weight"] for r in got if r["doc_id"] % 3) > max(r["weight"] for r in got if r["doc_id"] % 3 == 0)
 
 
 @pytest.mark.parametrize("split", [False, True])
