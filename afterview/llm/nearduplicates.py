@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .base import documents, flat, mark, slices, stored
 from .components import components
 from .packs import bundle, steps, unbundle
-from .textnum import BYTE_CODE, WHITE, mix, prefix_sums, span_hashes, word_spans
+from .textnum import WHITE, byte_sums, mix, prefix_sums, span_hashes, word_spans
 
 WORDS = 5
 SIMILAR = 0.8
@@ -26,7 +26,7 @@ def bags(buf: np.ndarray, bounds: np.ndarray, words: int = WORDS) -> tuple[np.nd
     of all its words.
     """
     starts, ends, first = word_spans(buf, WHITE, bounds)
-    sums = prefix_sums(span_hashes(prefix_sums(BYTE_CODE[buf]), starts, ends))
+    sums = prefix_sums(span_hashes(byte_sums(buf), starts, ends))
     n = np.diff(first)
     shingles = np.where(n == 0, 0, np.maximum(1, n - words + 1))
     doc = np.repeat(np.arange(len(n)), shingles)

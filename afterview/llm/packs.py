@@ -5,6 +5,9 @@ one row per place. Here the documents are dealt into chunks by a hash; a chunk
 sends each part of the key space one packed, compressed message with its
 distinct keys, so that a key which a third of all documents hold still costs a
 part only one entry per chunk. The part answers in the order of the question.
+A part that a chunk has no key for gets no message, so there are never more
+messages than keys: with ever more chunks and parts the exchange goes over into
+an ordinary shuffle of keys, with a few bytes more for each.
 Chunks are recomputed from the documents wherever they are needed, and all
 messages go through ordinary shuffles, so lost executors are made up for.
 """
@@ -29,26 +32,34 @@ MESSAGE = "part int, chunk int, kind int, data binary"
 MESSAGE_ARROW = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
 
+_KINDS = "u1 u2 u4 u8 i4 i8 f8".split()
+_HEAD = struct.Struct("<BII")
+#: Arrays of fewer bytes go as they are.
+SMALL = 64
+
+
 def bundle(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed message; the bytes of equal weight lie together."""
-    out = [struct.pack("<i", len(arrays))]
+    out = [struct.pack("<B", len(arrays))]
     press = zstandard.ZstdCompressor(level=1)
     for a in arrays:
         a = np.ascontiguousarray(a)
         raw = a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if a.itemsize > 1 else a.tobytes()
-        packed = press.compress(raw)
-        out += [struct.pack("<2siq", a.dtype.str[1:].encode(), len(packed), len(a)), packed]
+        packed = press.compress(raw) if len(raw) > SMALL else raw
+        out += [_HEAD.pack(_KINDS.index(a.dtype.str[1:]), len(packed), len(a)), packed]
     return b"".join(out)
 
 
 def unbundle(data: bytes) -> list[np.ndarray]:
-    (n,), at, out, press = struct.unpack_from("<i", data), 4, [], zstandard.ZstdDecompressor()
+    n, at, out, press = data[0], 1, [], zstandard.ZstdDecompressor()
     for _ in range(n):
-        kind, size, length = struct.unpack_from("<2siq", data, at)
-        at += struct.calcsize("<2siq")
-        dtype = np.dtype(kind.decode())
-        raw = np.frombuffer(press.decompress(data[at : at + size], max_output_size=max(1, length * dtype.itemsize)), np.uint8) if length else np.zeros(0, np.uint8)
+        kind, size, length = _HEAD.unpack_from(data, at)
+        at += _HEAD.size
+        dtype, raw = np.dtype(_KINDS[kind]), data[at : at + size]
         at += size
+        if length * dtype.itemsize > SMALL:
+            raw = press.decompress(raw, max_output_size=length * dtype.itemsize)
+        raw = np.frombuffer(raw, np.uint8)
         out.append(np.ascontiguousarray(raw.reshape(dtype.itemsize, -1).T).view(dtype).reshape(-1) if dtype.itemsize > 1 else raw.view(dtype))
     return out
 
@@ -76,12 +87,16 @@ def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
 
 
 class Chunks:
-    """docs as (chunk, doc_id, text), dealt by a hash of id and text."""
+    """docs as (chunk, doc_id, text), dealt by a hash of id and text.
+
+    Both sizes are bounds of memory: a chunk is about `chunk_bytes` of text, and a
+    part holds the keys of about `part_bytes`.
+    """
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 16 << 20, least: int = 6):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 16 << 20, part_bytes: int = 32 << 20, least: int = 6):
         self.n, size = text_size(docs, text)
         self.count = max(least, math.ceil(size / chunk_bytes))
-        self.parts = self.count
+        self.parts = max(least, math.ceil(size / part_bytes))
         key = F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(self.count)).cast("int")
         self.frame = docs.select(key.alias("chunk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).repartition(self.count, "chunk")
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .base import documents, flat, numbered, slices, stored
 from .packs import MESSAGE, bundle, letters, messages, unbundle
-from .textnum import BYTE_CODE, WHITE, mix, prefix_sums, span_hashes, word_spans
+from .textnum import WHITE, byte_sums, mix, span_hashes, word_spans
 
 BUCKETS = 1 << 20
 #: The buckets' counts travel in so many messages a task, and are added up by a tree with so many first nodes for each.
@@ -30,7 +30,7 @@ PARTS, NODES = 16, 1024
 SHRINK, CLEAR, PRESENCE = 5.0, -1.0, 30.0
 #: At most so many labelled rows are used, those with the least hash of their id.
 LABELLED = 200_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -39,7 +39,7 @@ def buckets(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(document, bucket, times) of the distinct n-grams of each document, sorted."""
     raw = LOWER[buf]
     starts, ends, first = word_spans(raw, WHITE, bounds)
-    word = span_hashes(prefix_sums(BYTE_CODE[raw]), starts, ends)
+    word = span_hashes(byte_sums(raw), starts, ends)
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
     pair = mix(word[:-1]) + word[1:]
     same = doc[1:] == doc[:-1]

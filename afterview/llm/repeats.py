@@ -5,16 +5,18 @@ k-gram under a hash. Equal windows have equal anchors at the same offset, so a
 window whose anchor occurs once in the corpus cannot repeat, and the windows of
 one anchor need only be compared with each other.
 
-1. Chunks send the hashes of their anchors; parts say which ones repeat.
+1. Chunks send the hashes of their anchors; parts say which ones repeat, and
+   which are frequent.
 2. Chunks send the context of each repeated anchor (the units that its windows
-   span), equal contexts once, with their first place; parts put the different
-   contexts of a part into memory-sized indexes and say which of the windows
-   also start earlier.
+   span), equal contexts once, with their first place; a part puts different
+   contexts of one prefix into memory-sized indexes, which say which of the
+   windows also start earlier.
 3. Chunks mark the units that such windows cover.
 
-Anchors that occur very often (`hot`) and may have ever new contexts do not
-meet in one index: their windows are sent alone, keyed by all of their units,
-so they spread over all parts and equal ones are merged in the chunk.
+The prefix that sends a window to its part and index is the anchor, of `gram`
+units. Where an anchor occurs more than `hot` times, and may have ever new
+contexts, its windows go by a longer prefix, all of their units: then no
+prefix has more than one text, and a frequent anchor spreads over all parts.
 """
 
 from __future__ import annotations
@@ -28,15 +30,25 @@ from pyspark.sql import DataFrame
 
 from .base import flat, slices
 from .packs import MESSAGE, Chunks, bundle, by_part, ids, letters, messages, steps, unbundle
-from .textnum import BYTE_CODE, WHITE, mix, prefix_sums, rolling_hashes, sliding_min, span_hashes, word_spans
+from .textnum import WHITE, byte_sums, mix, prefix_sums, rolling_marks, sliding_min, span_hashes, word_spans
 
-BLOCK = 1 << 23
+BLOCK = 1 << 18
 LOW = np.uint64((1 << 24) - 1)
 FIRST, SECOND = 1, 2
 
-#: Contexts of one part: anchor, first place (doc, start), number of windows, bytes.
+@dataclass
+class Context:
+    """A distinct context in a part: windows of one prefix, and the text that they span."""
+
+    key: int  # the prefix
+    place: tuple[int, int]  # document and start of its first occurrence
+    count: int  # windows
+    anchor: int  # units from its start to the anchor
+    text: bytes
+
+
 #: Returns for each context a boolean array over its windows: some other context has it earlier.
-Index = Callable[[list[tuple[int, tuple[int, int], int, bytes]]], list[np.ndarray]]
+Index = Callable[[list[Context]], list[np.ndarray]]
 
 
 @dataclass(frozen=True)
@@ -45,8 +57,8 @@ class Law:
     span: int  # units of a window
     gram: int  # units of an anchor
     same_doc: bool  # an earlier start in the same document counts too
-    hot: int = 1000  # an anchor with more occurrences (by chunk, each at most 255) is hot
-    slice_bytes: int = 1 << 21
+    hot: int = 1000  # an anchor with more occurrences (by chunk, each at most 255) goes by the longer prefix
+    slice_bytes: int = 1 << 16
 
 
 @dataclass
@@ -85,14 +97,14 @@ def cut(table: pa.Table, law: Law):
         raw, at = buf[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
         if law.words:
             starts, ends, first = word_spans(raw, WHITE, at)
-            sums = prefix_sums(span_hashes(prefix_sums(BYTE_CODE[raw]), starts, ends))
+            sums = prefix_sums(span_hashes(byte_sums(raw), starts, ends))
         else:
             starts = ends = None
-            first, sums = at, prefix_sums(BYTE_CODE[raw])
-        grams = rolling_hashes(sums, law.gram)
+            first, sums = at, byte_sums(raw)
+        grams = rolling_marks(sums, law.gram)
         owner = minimizers(grams, law.span - law.gram + 1)
         place = np.arange(len(owner))
-        doc = np.searchsorted(first, place, side="right") - 1
+        doc = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(owner)]
         fits = place + law.span <= first[doc + 1]
         place, owner, doc = place[fits], owner[fits], doc[fits]
         head = np.flatnonzero(np.diff(owner, prepend=-1) != 0)
@@ -101,12 +113,6 @@ def cut(table: pa.Table, law: Law):
         yield Slice(doc_ids[a:b], raw, at, first, starts, ends, sums, key, place[head], np.diff(np.append(head, len(place))), owner[head] - place[head], doc[head])
 
 
-def _order(s: Slice, law: Law, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The place that decides what is earlier: (document, start)."""
-    doc = s.doc[runs]
-    return s.docs[doc], s.low[runs] - s.first[doc] if law.same_doc else np.zeros(len(runs), np.int64)
-
-
 def _anchors(parts: list[Slice], law: Law) -> tuple[np.ndarray, np.ndarray]:
     """Distinct anchors of a chunk, sorted, and how often they occur (documents or places, up to 255)."""
     keys = np.concatenate([np.zeros(0, np.uint64), *(s.key for s in parts)])
@@ -148,22 +154,42 @@ def answer_anchors(law: Law):
     return run
 
 
+@dataclass
+class Pieces:
+    """The windows of a slice that go to a part: runs of windows of one prefix."""
+
+    key: np.ndarray
+    low: np.ndarray  # first window
+    count: np.ndarray
+    rel: np.ndarray  # the anchor's offset
+    doc: np.ndarray  # ids
+    start: np.ndarray  # what decides beside the document: the place in it, or 0
+
+
+def pieces(s: Slice, law: Law, status: np.ndarray, keys: np.ndarray) -> Pieces:
+    """Runs of repeated anchors as they are; those of frequent ones window by window."""
+    st = status[np.searchsorted(keys, s.key)] if len(keys) else np.zeros(0, np.uint8)
+    cold, hot = np.flatnonzero(st == 1), np.flatnonzero(st == 2)
+    n = s.count[hot]
+    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    windows, owner = np.repeat(s.low[hot], n) + inner, np.concatenate([cold, np.repeat(hot, n)])
+    low = np.concatenate([s.low[cold], windows])
+    doc, one = s.doc[owner], np.ones(len(windows), np.int64)
+    key = np.concatenate([s.key[cold], span_hashes(s.sums, windows, windows + law.span)])
+    rel = np.concatenate([s.rel[cold], 0 * one])
+    return Pieces(key, low, np.concatenate([s.count[cold], one]), rel, s.docs[doc], low - s.first[doc] if law.same_doc else np.zeros(len(low), np.int64))
+
+
 @dataclass
 class Contexts:
-    """What a chunk knows of its repeated anchors."""
+    """What a chunk knows of its repeated prefixes."""
 
-    run: list[np.ndarray]  # for each slice: the runs of merely repeated anchors
-    of: list[np.ndarray]  # for each slice: the context of each of these runs
-    key: np.ndarray  # of each distinct context, sorted by anchor
-    doc: np.ndarray
+    pieces: list[Pieces]  # of each slice
+    of: list[np.ndarray]  # for each slice: the context of each piece
+    key: np.ndarray  # of each distinct context, sorted
+    doc: np.ndarray  # its first place
     start: np.ndarray
-    source: list[tuple[int, int]]  # slice and run of the first occurrence
-    hot: list[np.ndarray]  # for each slice: the windows of hot anchors
-    hot_of: list[np.ndarray]
-    hot_key: np.ndarray
-    hot_check: np.ndarray
-    hot_doc: np.ndarray
-    hot_start: np.ndarray
+    source: list[tuple[int, int]]  # slice and piece of that
 
 
 def _distinct(columns: list[np.ndarray], doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,31 +205,16 @@ def _distinct(columns: list[np.ndarray], doc: np.ndarray, start: np.ndarray) ->
 
 
 def contexts(parts: list[Slice], law: Law, status: np.ndarray, keys: np.ndarray) -> Contexts:
-    runs, hots, cols, hcols = [], [], [], []
-    for s in parts:
-        st = status[np.searchsorted(keys, s.key)] if len(keys) else np.zeros(0, np.uint8)
-        r = np.flatnonzero(st == 1)
-        doc, start = _order(s, law, r)
-        identity = span_hashes(s.sums, s.low[r], s.low[r] + s.count[r] + law.span - 1) ^ mix((s.rel[r] << 32 | s.count[r]).astype(np.uint64))
-        runs.append(r)
-        cols.append((s.key[r], identity, doc, start, np.full(len(r), len(cols)), r))
-        r = np.flatnonzero(st == 2)
-        n = s.count[r]
-        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        w, owner = np.repeat(s.low[r], n) + inner, np.repeat(r, n)
-        doc, start = _order(s, law, owner)
-        half = np.full(len(w), law.span // 2)
-        hcols.append((span_hashes(s.sums, w, w + law.span), mix(span_hashes(s.sums, w, w + half)) ^ span_hashes(s.sums, w + half, w + law.span), doc, start + (inner if law.same_doc else 0)))
-        hots.append(w)
-    key, identity, doc, start, piece, run = (np.concatenate(c) for c in zip(*cols, strict=True))
+    found = [pieces(s, law, status, keys) for s in parts]
+    cols = []
+    for k, (s, p) in enumerate(zip(parts, found, strict=True)):
+        identity = span_hashes(s.sums, p.low, p.low + p.count + law.span - 1) ^ mix((p.rel << 32 | p.count).astype(np.uint64))
+        cols.append((p.key, identity, p.doc, p.start, np.full(len(p.key), k), np.arange(len(p.key))))
+    key, identity, doc, start, piece, place = (np.concatenate(c) for c in zip(*cols, strict=True))
     at, head, group = _distinct([key, identity], doc, start)
-    firsts = at[head]
-    hkey, check, hdoc, hstart = (np.concatenate(c) for c in zip(*hcols, strict=True))
-    hat, hhead, hgroup = _distinct([hkey, check], hdoc, hstart)
-    hfirst = hat[hhead]
-    ends = np.cumsum([len(r) for r in runs])[:-1]
-    hends = np.cumsum([len(h) for h in hots])[:-1]
-    return Contexts(runs, np.split(group, ends), key[firsts], doc[firsts], start[firsts], list(zip(piece[firsts].tolist(), run[firsts].tolist(), strict=True)), hots, np.split(hgroup, hends), hkey[hfirst], check[hfirst], hdoc[hfirst], hstart[hfirst])
+    first = at[head]
+    of = np.split(group, np.cumsum([len(p.key) for p in found])[:-1])
+    return Contexts(found, of, key[first], doc[first], start[first], list(zip(piece[first].tolist(), place[first].tolist(), strict=True)))
 
 
 def _heard(table: pa.Table, kind: int) -> list[list[np.ndarray]]:
@@ -222,22 +233,17 @@ def ask_contexts(law: Law, parts: int):
         if not table.num_rows:
             return messages([])
         cuts, known = _known(table, answers, law)
-        chunk, out = table["chunk"][0].as_py(), []
-        counts = np.array([cuts[i].count[r] for i, r in known.source], np.uint32)
-        texts = []
+        chunk, out, texts = table["chunk"][0].as_py(), [], []
+        counts = np.array([known.pieces[i].count[r] for i, r in known.source], np.uint32)
+        rels = np.array([known.pieces[i].rel[r] for i, r in known.source], np.uint16)
         for i, r in known.source:
-            s = cuts[i]
-            a, b = s.low[r], s.low[r] + s.count[r] + law.span - 1
+            s, p = cuts[i], known.pieces[i]
+            a, b = p.low[r], p.low[r] + p.count[r] + law.span - 1
             texts.append(s.raw[s.starts[a] : s.ends[b - 1]].tobytes() if law.words else s.raw[a:b].tobytes())
         sizes = np.array([len(t) for t in texts], np.uint32)
-        cold, hot = {p: (a, b) for p, a, b in by_part(known.key, parts)}, {p: (a, b) for p, a, b in by_part(known.hot_key, parts)}
-        for p in sorted(cold.keys() | hot.keys()):
-            a, b = cold.get(p, (0, 0))
-            c, d = hot.get(p, (0, 0))
-            out.append((p, chunk, SECOND, bundle(
-                steps(known.key[a:b]), known.doc[a:b], known.start[a:b], counts[a:b], sizes[a:b], np.frombuffer(b"".join(texts[a:b]), np.uint8),
-                steps(known.hot_key[c:d]), known.hot_check[c:d], known.hot_doc[c:d], known.hot_start[c:d],
-            )))
+        for p, a, b in by_part(known.key, parts):
+            blob = np.frombuffer(b"".join(texts[a:b]), np.uint8)
+            out.append((p, chunk, SECOND, bundle(steps(known.key[a:b]), known.doc[a:b], known.start[a:b], counts[a:b], rels[a:b], sizes[a:b], blob)))
         return messages(out)
 
     return run
@@ -246,60 +252,46 @@ def ask_contexts(law: Law, parts: int):
 def answer_contexts(index: Index):
     def run(table: pa.Table) -> pa.Table:
         said = [(part, chunk, unbundle(data)) for part, chunk, data in letters(table)]
-        found: dict[tuple[int, int, bytes], int] = {}
-        rows: list[tuple[int, tuple[int, int], int, bytes]] = []
+        found: dict[tuple[int, int, int, bytes], int] = {}
+        rows: list[Context] = []
         which = []
-        for _, _, (keys, docs, starts, counts, sizes, blob, *_) in said:
-            ends, raw, own = np.cumsum(sizes).tolist(), blob.tobytes(), []
-            at = 0
-            for key, doc, start, count, end in zip(np.cumsum(keys, dtype=np.uint64).tolist(), docs.tolist(), starts.tolist(), counts.tolist(), ends, strict=True):
+        for _, _, (keys, docs, starts, counts, rels, sizes, blob) in said:
+            ends, raw, own, at = np.cumsum(sizes).tolist(), blob.tobytes(), [], 0
+            for key, doc, start, count, rel, end in zip(np.cumsum(keys, dtype=np.uint64).tolist(), docs.tolist(), starts.tolist(), counts.tolist(), rels.tolist(), ends, strict=True):
                 text, at = raw[at:end], end
-                i = found.setdefault((key, count, text), len(rows))
+                i = found.setdefault((key, count, rel, text), len(rows))
                 if i == len(rows):
-                    rows.append((key, (doc, start), count, text))
-                elif (doc, start) < rows[i][1]:
-                    rows[i] = (key, (doc, start), count, text)
+                    rows.append(Context(key, (doc, start), count, rel, text))
+                elif (doc, start) < rows[i].place:
+                    rows[i].place = (doc, start)
                 own.append(i)
             which.append(own)
-        flags = index(rows)
-        # hot windows: the first place of each
-        hot = [(np.cumsum(m[6], dtype=np.uint64), m[7], m[8], m[9]) for _, _, m in said]
-        key, check, doc, start = (np.concatenate([h[k] for h in hot]) for k in range(4))
-        at, head, group = _distinct([key, check], doc, start)
-        first = at[head][group] if len(at) else at
-        late = (doc[first] != doc) | (start[first] != start)
-        lates = np.split(late, np.cumsum([len(h[0]) for h in hot])[:-1])
-        out = []
-        for (part, chunk, m), own, hot_late in zip(said, which, lates, strict=True):
-            mine = np.array([rows[i][1] == (d, s) for i, d, s in zip(own, m[1].tolist(), m[2].tolist(), strict=True)], bool)
+        flags, out = index(rows), []
+        for (part, chunk, m), own in zip(said, which, strict=True):
+            mine = np.array([rows[i].place == (d, s) for i, d, s in zip(own, m[1].tolist(), m[2].tolist(), strict=True)], bool)
             bits = np.concatenate([np.zeros(0, bool), *(flags[i] for i in own)])
-            out.append((part, chunk, SECOND, bundle(np.packbits(mine), np.packbits(bits), np.packbits(hot_late), np.array([len(mine), len(bits), len(hot_late)]))))
+            out.append((part, chunk, SECOND, bundle(np.packbits(mine), np.packbits(bits), np.array([len(mine), len(bits)]))))
         return messages(out)
 
     return run
 
 
 def covered(cuts: list[Slice], known: Contexts, answers: pa.Table, law: Law) -> list[np.ndarray]:
-    """For each slice: which units a window covers that also starts earlier."""
-    heard = [[np.unpackbits(bits, count=n).astype(bool) for bits, n in zip(m[:3], m[3].tolist(), strict=True)] for m in _heard(answers, SECOND)]
-    mine, bits, late = (np.concatenate([np.zeros(0, bool), *(h[k] for h in heard)]) for k in range(3))
-    counts = np.array([cuts[i].count[r] for i, r in known.source], np.int64)
+    """For each slice: which units a window covers that also starts earlier. A later
+    occurrence of a whole context has all its windows earlier."""
+    heard = [[np.unpackbits(bits, count=n).astype(bool) for bits, n in zip(m[:2], m[2].tolist(), strict=True)] for m in _heard(answers, SECOND)]
+    mine, bits = (np.concatenate([np.zeros(0, bool), *(h[k] for h in heard)]) for k in range(2))
+    counts = np.array([known.pieces[i].count[r] for i, r in known.source], np.int64)
     at = np.cumsum(counts) - counts
     out = []
-    for s, runs, of, hot, hot_of in zip(cuts, known.run, known.of, known.hot, known.hot_of, strict=True):
+    for s, p, of in zip(cuts, known.pieces, known.of, strict=True):
         marks = np.zeros(len(s.sums) + law.span, np.int32)
-        doc, start = _order(s, law, runs)
-        first = mine[of] & (doc == known.doc[of]) & (start == known.start[of])
-        n = s.count[runs]
-        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        windows = np.repeat(s.low[runs], n) + inner
-        again = np.where(np.repeat(first, n), bits[np.repeat(at[of], n) + inner] if len(bits) else False, True)
-        owner = np.searchsorted(s.first, hot, side="right") - 1
-        begins = hot - s.first[owner] if law.same_doc else np.zeros(len(hot), np.int64)
-        hot_again = late[hot_of] | (s.docs[owner] != known.hot_doc[hot_of]) | (begins != known.hot_start[hot_of])
-        for w in (windows[again], hot[hot_again]):
-            np.add.at(marks, w, 1)
-            np.add.at(marks, w + law.span, -1)
+        first = mine[of] & (p.doc == known.doc[of]) & (p.start == known.start[of])
+        inner = np.arange(p.count.sum()) - np.repeat(np.cumsum(p.count) - p.count, p.count)
+        windows = np.repeat(p.low, p.count) + inner
+        again = np.where(np.repeat(first, p.count), bits[np.repeat(at[of], p.count) + inner] if len(bits) else False, True)
+        np.add.at(marks, windows[again], 1)
+        np.add.at(marks, windows[again] + law.span, -1)
         out.append(np.cumsum(marks[: s.first[-1]]) > 0)
     return out
 
@@ -336,7 +328,7 @@ def remove(law: Law):
 
 def without_repeats(docs: DataFrame, law: Law, index: Index, id_col: str, text: str, chunk_bytes: int) -> DataFrame:
     """One row per document: doc_id, n_units, n_removed, spans (in units), kept (bytes)."""
-    chunks = Chunks(docs, id_col, text, chunk_bytes)
+    chunks = Chunks(docs, id_col, text, chunk_bytes, 4 * chunk_bytes)
     first = chunks.answer(chunks.ask(ask_anchors(law, chunks.parts)), answer_anchors(law))
     second = chunks.answer(chunks.hear(first, ask_contexts(law, chunks.parts), MESSAGE), answer_contexts(index))
     return chunks.hear(first.unionByName(second), remove(law), SCHEMA)

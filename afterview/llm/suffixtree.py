@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import documents
-from .repeats import Law, without_repeats
-from .textnum import BYTE_CODE, WHITE, prefix_sums, span_hashes, word_spans
+from .repeats import Context, Law, without_repeats
+from .textnum import WHITE, byte_sums, span_hashes, word_spans
 
 SPAN = 50
 #: Words of one subtree.
@@ -54,13 +54,13 @@ class SuffixTree:
                 out[fit] += 1 << k
         return out
 
-    def nodes(self, depth: int) -> np.ndarray:
-        """For each suffix the number of its highest ancestor node of at least
-        this depth; suffixes of the same node share their first `depth` codes,
-        and a node with several leaves is a repeat."""
-        out = np.empty(len(self.leaves), np.int64)
-        out[self.leaves] = np.cumsum(np.append(0, self.depths < depth)[: len(self.leaves)])
-        return out
+    def deep_nodes(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """The highest internal nodes of at least this depth, as runs of leaves [left,
+        right): all suffixes of a node, and no others, share its first `depth` codes."""
+        cut = np.append(0, np.flatnonzero(self.depths < depth) + 1) if len(self.leaves) else np.zeros(0, np.int64)
+        ends = np.append(cut[1:], len(self.leaves)) if len(cut) else cut
+        many = ends - cut > 1
+        return cut[many], ends[many]
 
     def maximal_repeats(self, depth: int) -> list[tuple[int, list[int]]]:
         """(length, starts) of each internal node at least so deep: its prefix
@@ -77,14 +77,15 @@ class SuffixTree:
         return out
 
 
-def groups(rows: list, size) -> list[list[int]]:
-    """Rows sorted by prefix, cut between different prefixes into groups of
-    about GROUP_WORDS; a prefix whose contexts are all one is left out."""
-    order = sorted(range(len(rows)), key=lambda i: rows[i][0])
+def groups(rows: list[Context], size) -> list[list[int]]:
+    """Contexts sorted by prefix, cut between different prefixes into groups of
+    about GROUP_WORDS; a prefix whose contexts are all one has no other occurrence
+    than that context's copies, and is left out."""
+    order = sorted(range(len(rows)), key=lambda i: rows[i].key)
     out, now, words, at = [], [], 0, 0
     while at < len(order):
         to = at
-        while to < len(order) and rows[order[to]][0] == rows[order[at]][0]:
+        while to < len(order) and rows[order[to]].key == rows[order[at]].key:
             to += 1
         if to - at > 1:
             now += order[at:to]
@@ -96,29 +97,42 @@ def groups(rows: list, size) -> list[list[int]]:
     return [*out, now] if now else out
 
 
-def earlier(node: np.ndarray, window: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which windows (places in `node`) share their node with one of an earlier (doc, start)."""
-    key = node[window]
-    at = np.lexsort((start, doc, key))
-    head = np.append(True, key[at][1:] != key[at][:-1])
-    first = at[np.flatnonzero(head)[np.cumsum(head) - 1]]
-    out = np.empty(len(at), bool)
-    out[at] = (doc[first] != doc[at]) | (start[first] != start[at])
+def later_leaves(tree: SuffixTree, depth: int, window: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which windows (suffixes of the tree) hang under an internal node of at least
+    this depth together with one of an earlier (doc, start). Other suffixes of
+    the node are no windows of this group and don't count."""
+    left, right = tree.deep_nodes(depth)
+    of_leaf = np.full(len(tree.leaves), -1)
+    at = np.full(len(tree.leaves), -1)
+    at[window] = np.arange(len(window))
+    of_leaf[:] = at[tree.leaves]  # the window of each leaf, in the order of leaves
+    node = np.repeat(np.arange(len(left)), right - left)
+    leaf = np.arange(len(node)) - np.repeat(np.cumsum(right - left) - (right - left), right - left) + np.repeat(left, right - left)
+    held = of_leaf[leaf] >= 0
+    node, w = node[held], of_leaf[leaf][held]
+    order = np.lexsort((start[w], doc[w], node))
+    node, w = node[order], w[order]
+    head = np.append(True, node[1:] != node[:-1]) if len(node) else np.zeros(0, bool)
+    first = w[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(node) else w
+    out = np.zeros(len(window), bool)
+    out[w] = (doc[first] != doc[w]) | (start[first] != start[w])
     return out
 
 
 def subtrees(span: int = SPAN):
-    def index(rows):
-        flags = [np.zeros(count, bool) for _, _, count, _ in rows]
-        for group in groups(rows, lambda r: r[2] + span - 1):
-            raw = np.frombuffer(b"".join(rows[i][3] for i in group), np.uint8)
-            starts, ends, bounds = word_spans(raw, WHITE, np.append(0, np.cumsum([len(rows[i][3]) for i in group])))
-            tree = SuffixTree(span_hashes(prefix_sums(BYTE_CODE[raw]), starts, ends), bounds)
-            counts = np.array([rows[i][2] for i in group])
+    """Removal from the deep internal nodes of a part's suffix trees."""
+
+    def index(rows: list[Context]) -> list[np.ndarray]:
+        flags = [np.zeros(c.count, bool) for c in rows]
+        for group in groups(rows, lambda c: c.count + span - 1):
+            held = [rows[i] for i in group]
+            raw = np.frombuffer(b"".join(c.text for c in held), np.uint8)
+            starts, ends, bounds = word_spans(raw, WHITE, np.append(0, np.cumsum([len(c.text) for c in held])))
+            tree = SuffixTree(span_hashes(byte_sums(raw), starts, ends), bounds)
+            counts = np.array([c.count for c in held])
             inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            window = np.repeat(bounds[:-1], counts) + inner
-            doc = np.repeat(np.array([rows[i][1][0] for i in group]), counts)
-            again = earlier(tree.nodes(span), window, doc, np.zeros(len(doc), np.int64))
+            doc = np.repeat(np.array([c.place[0] for c in held]), counts)
+            again = later_leaves(tree, span, np.repeat(bounds[:-1], counts) + inner, doc, np.zeros(len(doc), np.int64))
             for i, f in zip(group, np.split(again, np.cumsum(counts)[:-1]), strict=True):
                 flags[i] = f
         return flags
@@ -132,9 +146,14 @@ def remove_repeated_passages(docs: DataFrame, span: int = SPAN, id_col: str = "d
 
     A word goes if a window of `span` words covers it whose words also start in
     a document with a smaller id. A null or empty text has no words; a document
-    of fewer words keeps all; a null id counts as larger than all others; rows
-    with the same id don't take from each other; whole repeated rows get equal
-    results.
+    of fewer words keeps all; texts and words of any length are taken whole; a
+    null id counts as larger than all others; rows with the same id don't take
+    from each other; whole repeated rows get equal results; an empty table gives
+    no rows. Of the columns only the two named are read.
+
+    Suffixes are split by prefixes of two lengths, a fifth of the span, and the
+    whole span where that is frequent (see Law.hot), into parts, and within a
+    part into groups that fit in memory, a suffix tree for each.
     """
     law = Law(words=True, span=span, gram=max(1, span // 5), same_doc=False)
     return without_repeats(docs, law, subtrees(span), id_col, text, chunk_bytes)

@@ -13,7 +13,7 @@ powers of two alone let regular texts (Thue-Morse words of 1024 letters) meet.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import functools
 
 import numpy as np
 
@@ -44,12 +44,25 @@ PRIME_BASE = 1_220_703_125
 SECOND = np.uint64(0xA0761D6478BD642F)
 
 
-@dataclass
 class Sums:
-    """Prefix sums of codes times powers, one element more than codes."""
+    """Prefix sums of codes times powers, one element more than codes: `wide` modulo
+    2^64, and `prime` of residues modulo PRIME, made when first asked for and not
+    reduced, for fewer than 2^32 terms fit."""
 
-    wide: np.ndarray  # modulo 2^64
-    prime: np.ndarray  # of residues modulo PRIME, not reduced: fewer than 2^32 terms fit
+    def __init__(self, source: np.ndarray, table: np.ndarray | None = None):
+        """Of codes, or of what a table makes codes."""
+        self.source, self.table, self.wide = source, table, np.zeros(len(source) + 1, np.uint64)
+        np.cumsum(self._codes() * powers(len(source)), out=self.wide[1:])
+
+    def _codes(self) -> np.ndarray:
+        return self.source if self.table is None else self.table[self.source]
+
+    @functools.cached_property
+    def prime(self) -> np.ndarray:
+        out = np.zeros(len(self), np.uint64)
+        second = (self._codes() >> np.uint64(33)) * powers(len(self.source), "prime up")
+        np.cumsum((second & PRIME) + (second >> np.uint64(31)), out=out[1:])
+        return out
 
     def __len__(self) -> int:
         return len(self.wide)
@@ -72,7 +85,7 @@ def powers(n: int, which: str = "up") -> np.ndarray:
             made = np.ones(1, np.uint64)
             while len(made) < size:
                 made = np.concatenate([made, reduced(made * np.uint64(pow(base, len(made), int(PRIME))))])
-            _powers[which] = made[:size]
+            _powers[which] = made[:size].astype(np.uint32)
         else:
             grown = np.full(size, BASE if which == "up" else INVERSE, np.uint64)
             grown[0] = 1
@@ -81,13 +94,13 @@ def powers(n: int, which: str = "up") -> np.ndarray:
 
 
 def prefix_sums(codes: np.ndarray) -> Sums:
-    """Feeds span_hashes and rolling_hashes."""
-    n = len(codes)
-    out = Sums(np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64))
-    np.cumsum(codes * powers(n), out=out.wide[1:])
-    second = (codes >> np.uint64(33)) * powers(n, "prime up")
-    np.cumsum((second & PRIME) + (second >> np.uint64(31)), out=out.prime[1:])
-    return out
+    """Feeds span_hashes, rolling_hashes and rolling_marks."""
+    return Sums(codes)
+
+
+def byte_sums(raw: np.ndarray) -> Sums:
+    """The same of bytes."""
+    return Sums(raw, BYTE_CODE)
 
 
 def _hashes(wide: np.ndarray, prime: np.ndarray, down: np.ndarray, prime_down: np.ndarray) -> np.ndarray:
@@ -110,6 +123,13 @@ def rolling_hashes(sums: Sums, width: int) -> np.ndarray:
     return _hashes(sums.wide[width:] - sums.wide[:n], sums.prime[width:] - sums.prime[:n], powers(n, "down"), powers(n, "prime down"))
 
 
+def rolling_marks(sums: Sums, width: int) -> np.ndarray:
+    """A cheaper hash of every window, of the first half alone, for where it does no harm
+    if two different windows share one."""
+    n = len(sums) - width
+    return mix((sums.wide[width:] - sums.wide[:n]) * powers(n, "down")) if n > 0 else np.zeros(0, np.uint64)
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of values[i:i+width] for each i, by doubling."""
     have, out = 1, values

@@ -198,8 +198,10 @@ def test_hashes_tell_regular_words_apart():
     assert reduced(big).tolist() == [int(x) % ((1 << 31) - 1) for x in big]
 
 
-def test_substrings(spark, docs, corpus, empty):
-    from afterview.llm.suffixtree import SuffixTree, remove_repeated_passages
+@pytest.mark.parametrize("hot", [1000, 2])
+def test_substrings(spark, docs, corpus, empty, hot):
+    from afterview.llm.repeats import Law, without_repeats
+    from afterview.llm.suffixtree import SuffixTree, remove_repeated_passages, subtrees
 
     span, far = 20, 1 << 62
     first = {}
@@ -214,12 +216,13 @@ def test_substrings(spark, docs, corpus, empty):
             if first[tuple(w[j : j + span])] < (far if i is None else i):
                 gone |= set(range(j, j + span))
         want.append((str(i), len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
-    got = [(str(r["doc_id"]), r["n_units"], r["n_removed"], bytes(r["kept"]).decode()) for r in remove_repeated_passages(docs, span).collect()]
+    got = [(str(r["doc_id"]), r["n_units"], r["n_removed"], bytes(r["kept"]).decode()) for r in without_repeats(docs, Law(words=True, span=span, gram=4, same_doc=False, hot=hot), subtrees(span), "doc_id", "text", 2000).collect()]
     assert sorted(got) == sorted(want)
     assert remove_repeated_passages(empty).isEmpty()
     text = np.array([1, 2, 3, 1, 2, 3, 1, 2, 9, 1, 2, 3], np.uint64)
     tree = SuffixTree(text, np.array([0, 8, 12]))
-    assert (3, [0, 3, 9]) in tree.maximal_repeats(3) and len(set(tree.nodes(2)[[0, 3, 6, 9]])) == 1
+    assert (3, [0, 3, 9]) in tree.maximal_repeats(3)
+    assert any(set(tree.leaves[a:b]) == {0, 3, 6, 9} for a, b in zip(*tree.deep_nodes(2)))
     for a in range(11):
         for b in range(a + 1, 12):
             x, y = text[a : 8 if a < 8 else 12], text[b : 8 if b < 8 else 12]
@@ -229,7 +232,7 @@ def test_substrings(spark, docs, corpus, empty):
 
 @pytest.mark.parametrize("hot", [1000, 2])
 def test_run_index(spark, docs, corpus, empty, hot):
-    """With hot = 2 nearly all windows take the way of frequent anchors."""
+    """With hot = 2 nearly all windows go by the longer prefix."""
     from afterview.llm.repeats import Law, without_repeats
     from afterview.llm.runindex import remove_repeated_bytes, run_indexes
 
@@ -252,22 +255,58 @@ def test_run_index(spark, docs, corpus, empty, hot):
     assert remove_repeated_bytes(empty).isEmpty()
 
 
-def test_run_index_structure():
+def test_matching_statistics():
+    """Against plain search, over strings that share parts, for patterns that are not indexed."""
     from afterview.llm.runindex import RunLengthIndex
 
     rng = random.Random(3)
-    for _ in range(60):
-        strings = [bytes(rng.choice(b"ab\x00\xff") if rng.random() < 0.1 else rng.choice(b"ab") for _ in range(rng.randrange(25))) for _ in range(rng.randrange(1, 7))]
-        depth = rng.randrange(1, 14)
-        made = RunLengthIndex(np.frombuffer(b"".join(strings), np.uint8), np.append(0, np.cumsum([len(s) for s in strings])), depth)
-        counts = np.array([max(0, len(s) - depth + 1) for s in strings])
-        classes = {}
-        for s, p, k in zip(*(x.tolist() for x in made.long_matches(counts)), strict=True):
-            assert classes.setdefault(k, strings[s][p : p + depth]) == strings[s][p : p + depth]
-        assert len(set(classes.values())) == len(classes)
-        pattern = bytes(rng.choice(b"ab\x00c") for _ in range(15))
-        for i, (n, _) in enumerate(made.matching_statistics(pattern)):
-            assert n == max(j for j in range(len(pattern) - i + 1) if any(pattern[i : i + j] in s for s in strings))
+
+    def symbols(strings):
+        return np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1, np.append(0, np.cumsum([len(s) for s in strings]))
+
+    for _ in range(120):
+        alphabet = rng.choice([b"ab", b"ab", b"abc\x00\xff"])
+        some = lambda n: bytes(rng.choice(alphabet) for _ in range(rng.randrange(n)))  # noqa: E731, B023
+        base, depth = some(60), rng.randrange(1, 40)
+        strings = [some(40) if rng.random() < 0.5 else base[rng.randrange(30) :] for _ in range(rng.randrange(7))]
+        patterns = [some(30) if rng.random() < 0.5 else some(8) + base[rng.randrange(20) :][: rng.randrange(60)] + some(8) for _ in range(4)]
+        made, (text, bounds) = RunLengthIndex(*symbols(strings), depth), symbols(patterns)
+        length, position = made.matching_statistics(text, bounds)
+        long = set()
+        for k, p in enumerate(patterns):
+            for i in range(len(p)):
+                n, at = int(length[bounds[k] + i]), int(position[bounds[k] + i])
+                assert n == min(depth, max(j for j in range(len(p) - i + 1) if j == 0 or any(p[i : i + j] in s for s in strings)))
+                if n:
+                    s = int(np.searchsorted(made.begins, at, side="right")) - 1
+                    assert strings[s][at - made.begins[s] :][:n] == p[i : i + n]
+                if n == depth:
+                    long.add((k, i))
+        got = made.long_matches(text, bounds, np.array([max(0, len(p) - depth + 1) for p in patterns]))
+        assert set(zip(*(x.tolist() for x in got), strict=True)) == long
+
+
+def test_rounds_compare_every_context_with_all_earlier_ones():
+    """Many contexts of one prefix, more than one digit of blocks, against a plain table of windows."""
+    from afterview.llm.repeats import Context
+    from afterview.llm.runindex import run_indexes
+
+    rng, span, rows = random.Random(2), 12, []
+    for key, m in ((5, 1400), (9, 2), (11, 1), (12, 7)):
+        anchor = bytes([65 + key]) * 5
+        for k in range(m):
+            count = rng.randrange(1, 8)
+            text = bytearray(rng.choice(b"xy") for _ in range(count + span - 1))
+            text[7:12] = anchor  # every window of 12 that starts at 0..7 holds it
+            rows.append(Context(key, (rng.randrange(10**6), k), count, 7, bytes(text)))
+    rng.shuffle(rows)
+    first = {}
+    for c in sorted(rows, key=lambda c: c.place):
+        for i in range(c.count):
+            first.setdefault((c.key, c.text[i : i + span]), c.place)
+    flags = run_indexes(span)(rows)
+    assert all(f.tolist() == [first[c.key, c.text[i : i + span]] < c.place for i in range(c.count)] for c, f in zip(rows, flags, strict=True))
+    assert any(f.any() for f in flags) and not all(f.all() for f in flags)
 
 
 def bag(t):
