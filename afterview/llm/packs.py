@@ -106,11 +106,11 @@ class Chunks:
 
     def answer(self, asked: DataFrame, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """One call per part with all its messages -> messages to chunks."""
-        return asked.groupBy("part").applyInArrow(f, MESSAGE)
+        return asked.repartition(self.parts, "part").groupBy("part").applyInArrow(f, MESSAGE)
 
     def hear(self, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
         """One call per chunk with its documents and the answers to it."""
-        return self.frame.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(f, schema)
+        return self.frame.groupBy("chunk").cogroup(answers.repartition(self.count, "chunk").groupBy("chunk")).applyInArrow(f, schema)
 
 
 def letters(table: pa.Table, kind: int | None = None) -> list[tuple[int, int, bytes]]:
