@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import text_size
+from .base import flat, text_size
 
 #: What stands for a null id: after all others.
 NO_ID = np.iinfo(np.int64).max
@@ -86,8 +86,41 @@ def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(list(c), f.type) for c, f in zip(columns, MESSAGE_ARROW, strict=True)], schema=MESSAGE_ARROW)
 
 
+BLOBS = "chunk int, data binary"
+
+
+def packed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """(chunk, data) of (chunk, doc_id, text): the documents of a batch that go to one
+    chunk, as one compressed message."""
+    for b in batches:
+        chunk = b.column(0).to_numpy(zero_copy_only=False)
+        order = np.argsort(chunk, kind="stable")
+        buf, bounds = flat(b.column(2).take(pa.array(order)))
+        ids_ = b.column(1).take(pa.array(order))
+        null = np.asarray(ids_.is_null().to_numpy(zero_copy_only=False), np.uint8)
+        number = ids_.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+        chunk = chunk[order]
+        head = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])) if len(chunk) else np.zeros(0, np.int64)
+        rows = []
+        for x, y in zip(head.tolist(), np.append(head[1:], len(chunk)).tolist(), strict=True):
+            rows.append(bundle(number[x:y], null[x:y], np.diff(bounds[x : y + 1]), buf[bounds[x] : bounds[y]]))
+        yield pa.RecordBatch.from_arrays([pa.array(chunk[head], pa.int32()), pa.array(rows, pa.binary())], ["chunk", "data"])
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """(chunk, doc_id, text as bytes) of a chunk's messages, in an order that does not depend on the shuffle."""
+    held = [unbundle(d) for d in sorted(table["data"].to_pylist())]
+    join = lambda k, t: np.concatenate([np.zeros(0, t), *(h[k] for h in held)])
+    number, null, sizes = join(0, np.int64), join(1, np.uint8), join(2, np.int64)
+    ids_ = pa.array(number, pa.int64(), mask=null.astype(bool))
+    bounds = np.append(0, np.cumsum(sizes))
+    text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(number), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(join(3, np.uint8))])
+    chunk = pa.array(np.full(len(number), table["chunk"][0].as_py() if table.num_rows else 0), pa.int32())
+    return pa.table({"chunk": chunk, "doc_id": ids_, "text": text})
+
+
 class Chunks:
-    """docs as (chunk, doc_id, text), dealt by a hash of id and text.
+    """docs as (chunk, doc_id, text), dealt by a hash of id and text; they are shuffled once, compressed.
 
     Both sizes are bounds of memory: a chunk is about `chunk_bytes` of text, and a
     part holds the keys of about `part_bytes`.
@@ -98,11 +131,12 @@ class Chunks:
         self.count = max(least, math.ceil(size / chunk_bytes))
         self.parts = max(least, math.ceil(size / part_bytes))
         key = F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(self.count)).cast("int")
-        self.frame = docs.select(key.alias("chunk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).repartition(self.count, "chunk")
+        dealt = docs.select(key.alias("chunk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        self.frame = dealt.mapInArrow(packed, BLOBS).repartition(self.count, "chunk")
 
     def ask(self, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """One call per chunk -> messages to parts."""
-        return self.frame.groupBy("chunk").applyInArrow(f, MESSAGE)
+        return self.frame.groupBy("chunk").applyInArrow(lambda t: f(unpacked(t)), MESSAGE)
 
     def answer(self, asked: DataFrame, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """One call per part with all its messages -> messages to chunks."""
@@ -110,7 +144,8 @@ class Chunks:
 
     def hear(self, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
         """One call per chunk with its documents and the answers to it."""
-        return self.frame.groupBy("chunk").cogroup(answers.repartition(self.count, "chunk").groupBy("chunk")).applyInArrow(f, schema)
+        heard = answers.repartition(self.count, "chunk").groupBy("chunk")
+        return self.frame.groupBy("chunk").cogroup(heard).applyInArrow(lambda t, a: f(unpacked(t), a), schema)
 
 
 def letters(table: pa.Table, kind: int | None = None) -> list[tuple[int, int, bytes]]:

@@ -504,74 +504,108 @@ def test_quality_without_a_calibration_follows_the_ratio(spark):
     assert min(r["weight"] for r in got if r["doc_id"] % 3) > max(r["weight"] for r in got if r["doc_id"] % 3 == 0)
 
 
+def katz_by_hand(toks, out, order):
+    """(score of each text, P) of a Katz model from plain dictionaries; toks: (id, words with the end 0)."""
+    import math
+
+    from afterview.llm import katz
+
+    grams = [Counter() for _ in range(4)]
+    for i, w in toks:
+        if not out(i):
+            grams[1].update((x,) for x in w)
+            grams[2].update(zip(["<s>", *w], w, strict=False))
+            grams[3].update(zip(["<s>", *w], w, w[1:], strict=False))
+    n, v = sum(grams[1].values()), len(grams[1])
+    d = {k: katz.discounts([Counter(grams[k].values())[r] for r in range(1, 7)]) for k in (2, 3)}
+    after = defaultdict(list)
+    for k in (2, 3):
+        for g in grams[k]:
+            after[g[:-1]].append(g[-1])
+
+    def p(w, h):
+        if not h:
+            return (grams[1][(w,)] + 1) / (n + v + 1)
+        if not after[h]:
+            return p(w, h[1:])
+        k, total = len(h) + 1, sum(grams[len(h) + 1][(*h, x)] for x in after[h])
+        star = lambda c: (d[k][c] if c <= 5 else 1) * c / total
+        mass = sum(star(grams[k][(*h, x)]) for x in after[h])
+        scale = 1.0 if 1 - mass > 1e-12 else total / (total + 1)
+        if grams[k][(*h, w)]:
+            return scale * star(grams[k][(*h, w)])
+        return (1 - scale * mass) / (1 - sum(p(x, h[1:]) for x in after[h])) * p(w, h[1:])
+
+    def score(w):
+        line = ["<s>", *w]
+        return sum(math.log10(p(x, tuple(line[max(0, i + 2 - order) : i + 1]))) for i, x in enumerate(w))
+
+    return score, p, grams, n, v
+
+
+@pytest.mark.parametrize("order", [2, 3])
 @pytest.mark.parametrize("split", [False, True])
-def test_katz(spark, docs, corpus, empty, split, monkeypatch):
+def test_katz(spark, docs, corpus, empty, split, order):
+    import functools
     import math
 
     from afterview.llm import katz
 
-    if split:  # hot contexts are split over parts in the worker too, by a module that reads the setting there
-        big = [(i, " ".join(f"the {x}" for x in (t or "").split()), s) for i, t, s in corpus]
-        corpus, docs = big, make(spark, big)
+    small = [r for r in corpus if len(r[1] or "") < 5000]
+    if split:
+        small = [(i, " ".join(f"the {x}" for x in (t or "").split()[:30]), s) for i, t, s in small]
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-    toks = [(i, [*words(low(t)), 0]) for i, t, _ in corpus]
+    toks = [(i, [*words(low(t)), 0]) for i, t, _ in small]
     out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
-    one, two = Counter(), Counter()
-    for i, w in toks:
-        if not out(i):
-            one.update(w)
-            two.update(zip([1, *w], w, strict=False))
-    n, v = sum(one.values()), len(one)
-    times = Counter(two.values())
-    d = katz.discounts([times[r] for r in range(1, 7)])
-    total, mass, share = Counter(), defaultdict(float), defaultdict(float)
-    for (a, _), c in two.items():
-        total[a] += c
-    for (a, b), c in two.items():
-        mass[a] += (d[c] if c <= 5 else 1) * c / total[a]
-        share[a] += (one[b] + 1) / (n + v + 1)
-    uni = lambda b: (one[b] + 1) / (n + v + 1)
-
-    def p(a, b):
-        scale = 1.0 if 1 - mass[a] > 1e-12 else total[a] / (total[a] + 1)
-        c = two[a, b]
-        if c:
-            return scale * (d[c] if c <= 5 else 1) * c / total[a]
-        return uni(b) * ((1 - scale * mass[a]) / (1 - share[a]) if total[a] else 1.0)
-
-    for a in list(total)[:50]:  # all words and the unknown one
-        assert abs(sum(p(a, b) for b in one) + p(a, "never seen") - 1) < 1e-9
-    want = sorted((str(i), out(i), len(w), sum(one[b] > 0 for b in w), n, round(sum(math.log10(uni(b)) for b in w), 6), round(sum(math.log10(p(a, b)) for a, b in zip([1, *w], w, strict=False)), 6)) for i, w in toks)
-    got = sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in katz.score_documents(docs, chunk_bytes=3000).collect())
+    score, p, grams, n, v = katz_by_hand(toks, out, order)
+    vocabulary = [g[0] for g in grams[1]]
+    for h in [g[:-1] for g in list(grams[order])[:: max(1, len(grams[order]) // 12)]]:  # all words and the unknown one
+        assert abs(sum(p(x, h) for x in vocabulary) + p("never seen", h) - 1) < 1e-9
+    uni = lambda b: (grams[1][(b,)] + 1) / (n + v + 1)
+    want = sorted((str(i), out(i), len(w), sum(grams[1][(b,)] > 0 for b in w), n, round(sum(math.log10(uni(b)) for b in w), 6), round(score(w), 6)) for i, w in toks)
+
+    def hot(f):  # the setting has to change in the workers, so the functions carry it there
+        @functools.wraps(f)
+        def run(*tables):
+            katz.HOT_CONTEXT = 10 if split else 500_000
+            return f(*tables)
+
+        return run
+
+    plain = {k: getattr(katz, k) for k in ("ask_pairs", "ask_triples", "evaluate")}
+    try:
+        for k, make_ in plain.items():
+            setattr(katz, k, lambda *a, make_=make_: hot(make_(*a)))
+        rows = katz.score_documents(make(spark, small), order=order, chunk_bytes=2000).collect()
+    finally:
+        for k, make_ in plain.items():
+            setattr(katz, k, make_)
+    got = sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows)
     for a, b in zip(got, want, strict=True):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-4 and abs(a[6] - b[6]) < 1e-4
     assert katz.score_documents(empty).isEmpty()
 
 
-def test_hot_contexts_split_without_a_change(monkeypatch):
-    """A context over several parts gives the sums of one part."""
+def test_hot_histories_are_split_over_parts(monkeypatch):
+    """With a low limit a history has several entries, in several parts."""
     import pyarrow as pa
 
     from afterview.llm import katz
 
     rng = random.Random(0)
-    table = pa.table({"chunk": pa.array([0] * 40, pa.int32()), "doc_id": pa.array(range(40), pa.int64()), "text": [" ".join(rng.choice("the a b c d e f".split()) for _ in range(50)) for _ in range(40)]})
-
-    def scores():
-        told = lambda f, asked: pa.concat_tables([f(asked.filter(pa.compute.equal(asked["part"], p))) for p in set(asked["part"].to_pylist())])
-        words_ = told(katz.answer_words, katz.ask_words(3)(table))
-        pairs = told(katz.answer_bigrams, katz.ask_bigrams(3)(table, words_))
-        import json
-
-        stats = [json.loads(x) for t in (words_, pairs) for k, x in zip(t["kind"].to_pylist(), t["data"].to_pylist(), strict=True) if k == katz.STATS]
-        one = {k: sum(s[k] for s in stats) for k in ("n", "v")} | {"counts": [sum(s["counts"][i] for s in stats) for i in range(6)]}
-        extra = katz.messages([(-1, 0, katz.STATS, json.dumps(one).encode())])
-        keep = [t.filter(pa.compute.not_equal(t["kind"], katz.STATS)) for t in (words_, pairs)]
-        return katz.evaluate(3)(table, pa.concat_tables([*keep, extra]))["score"].to_pylist()
-
-    whole = scores()
+    text = [" ".join(rng.choice("the a b c d e f".split()) for _ in range(50)).encode() for _ in range(40)]
+    table = pa.table({"chunk": pa.array([0] * 40, pa.int32()), "doc_id": pa.array(range(40), pa.int64()), "text": pa.array(text, pa.large_binary())})
+    asked = katz.ask_words(3)(table)
+    told = pa.concat_tables([katz.answer_words(asked.filter(pa.compute.equal(asked["part"], p))) for p in set(asked["part"].to_pylist())])
+    whole = katz.Pairs.of(table, told, 3).grams
     monkeypatch.setattr(katz, "HOT_CONTEXT", 50)
-    assert np.allclose(whole, scores())
+    split = katz.Pairs.of(table, told, 3).grams
+    assert len(split.entry_name) > 2 * len(whole.entry_name) and len(split.sent) == len(whole.sent)
+    parts = defaultdict(set)
+    for p in range(3):
+        for name in split.entry_name[split.entry_bounds[p] : split.entry_bounds[p + 1]].tolist():
+            parts[name].add(p)
+    assert any(len(x) > 1 for x in parts.values())
 
 
 def test_shards(spark, docs, corpus, empty):
