@@ -139,13 +139,14 @@ class Chunks:
         return self.frame.groupBy("chunk").applyInArrow(lambda t: f(unpacked(t)), MESSAGE)
 
     def answer(self, asked: DataFrame, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
-        """One call per part with all its messages -> messages to chunks."""
-        return asked.repartition(self.parts, "part").groupBy("part").applyInArrow(f, MESSAGE)
+        """One call per part with all its messages -> messages to chunks, dealt by chunk:
+        the exchange is made once, whoever hears them, also in a union with others."""
+        told = asked.repartition(self.parts, "part").groupBy("part").applyInArrow(f, MESSAGE)
+        return told.repartition(self.count, "chunk")
 
     def hear(self, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
         """One call per chunk with its documents and the answers to it."""
-        heard = answers.repartition(self.count, "chunk").groupBy("chunk")
-        return self.frame.groupBy("chunk").cogroup(heard).applyInArrow(lambda t, a: f(unpacked(t), a), schema)
+        return self.frame.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda t, a: f(unpacked(t), a), schema)
 
 
 def letters(table: pa.Table, kind: int | None = None) -> list[tuple[int, int, bytes]]:
