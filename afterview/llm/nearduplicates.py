@@ -152,16 +152,19 @@ def parities(doc: np.ndarray, key: np.ndarray, count: np.ndarray, docs: int) ->
     return np.packbits(odd.astype(np.uint8).reshape(docs, cells), axis=1).view(np.int64)
 
 
-def can_overlap(differ: Column, a: Column, b: Column, similar: float) -> Column:
+def can_overlap(differ: np.ndarray, a: np.ndarray, b: np.ndarray, similar: float) -> np.ndarray:
     """False only if multisets of a and b shingles, of which at least `differ` have no
     partner, cannot overlap by `similar`: with d of them the overlap is (a + b - d) / (a + b + d)."""
     percent = round(similar * 1000)
-    return F.greatest(differ, F.abs(a - b)) * (1000 + percent) <= (a + b) * (1000 - percent)
+    return np.maximum(differ, np.abs(a - b)) * (1000 + percent) <= (a + b) * (1000 - percent)
+
+
+SKETCH = "node binary, size long, sketch binary, bands binary"
+_SKETCH_NAMES = ["node", "size", "sketch", "bands"]
 
 
 def _sketches(bag: DataFrame) -> DataFrame:
-    """(node, size, s0 .. s31) of (node, bag): the number of shingles and the parities."""
-    names = ["node", "size", *(f"s{i}" for i in range(SKETCH_WORDS))]
+    """SKETCH of (node, bag, bands): the number of shingles, the parities, the band keys."""
 
     def run(batches):
         for b in batches:
@@ -170,10 +173,58 @@ def _sketches(bag: DataFrame) -> DataFrame:
                 opened = [_opened(x) for x in part.column(1).to_pylist()]
                 doc = np.repeat(np.arange(len(opened)), [len(k) for k, _ in opened])
                 bits = parities(doc, np.concatenate([k for k, _ in opened]), np.concatenate([c for _, c in opened]), len(opened))
-                size = pa.array([int(c.sum()) for _, c in opened], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), size, *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(SKETCH_WORDS))], names)
+                bands = [np.array(x, np.int64).tobytes() for x in part.column(2).to_pylist()]
+                columns = [pa.array([int(c.sum()) for _, c in opened], pa.int64()), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(bands, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], _SKETCH_NAMES)
+
+    return bag.mapInArrow(run, SKETCH)
+
+
+#: Nodes of a bucket that are compared together with those of another block.
+BLOCK = 256
+
 
-    return bag.mapInArrow(run, "node binary, " + ", ".join(f"{n} long" for n in names[1:]))
+def _candidates(apart: DataFrame, others: DataFrame, similar: float) -> DataFrame:
+    """(u, v) of each node of `apart` and each of `others` in its bucket that has another
+    class and may overlap enough, once: in the first band that they share.
+
+    Both are (band, label, size, node, sketch, bands). A bucket is cut by size, a
+    step of which is a factor of `similar`, and by hash into blocks of about BLOCK
+    nodes; blocks of the same size or the next meet and are compared as matrices.
+    So what is joined are blocks, and what comes out are pairs that may be near.
+    """
+    step = F.floor(F.log(F.col("size").cast("double")) / float(-np.log(similar) * 1.000001)).cast("int")  # a shade wider, for rounding
+
+    def blocks(rows: DataFrame, side: str) -> DataFrame:
+        rows = rows.withColumn("step", step)
+        many = rows.groupBy("band", "step").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        cut = rows.join(many, ["band", "step"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        return cut.groupBy("band", "step", "block").agg(F.collect_list(F.struct("node", "label", "size", "sketch", "bands")).alias(side))
+
+    left = blocks(apart, "a").withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
+    met = left.join(blocks(others, "b").drop("block"), ["band", "step"]).select("band", "a", "b")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                band = batch.column(0)[i].as_py()
+                sides = []
+                for k in (1, 2):
+                    rows = batch.column(k)[i].as_py()
+                    sides.append([[r[c] for r in rows] for c in ("node", "label", "size", "sketch", "bands")])
+                (u, la, sa, xa, ba), (v, lb, sb, xb, bb) = sides
+                xa, xb, ba, bb = (np.frombuffer(b"".join(x), np.int64).reshape(len(x), -1) for x in (xa, xb, ba, bb))
+                sa, sb, lb = np.array(sa), np.array(sb), np.array(lb, object)
+                out = []
+                for j in range(len(u)):
+                    differ = np.bitwise_count((xa[j] ^ xb).view(np.uint64)).sum(1).astype(np.int64)
+                    same = ba[j] == bb
+                    first = bb[np.arange(len(v)), same.argmax(1)] == band
+                    near = np.flatnonzero(can_overlap(differ, sa[j], sb, similar) & same.any(1) & first & (lb != la[j]))
+                    out += [(max(u[j], v[k]), min(u[j], v[k])) for k in near.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.binary()) for k in (0, 1)], ["u", "v"])
+
+    return met.mapInArrow(run, "u binary, v binary").distinct()
 
 
 def _opened(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -226,11 +277,14 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, words: int = WORD
     the bucket that are in another class, but for pairs whose sizes and 2048-bit
     sketches prove that they overlap less (see can_overlap; no pair is lost).
     So a bucket of n near copies of one text costs n comparisons and not their
-    square. A pair at 0.8 shares no band with probability 0.59^20, 3 in 100,000;
+    square; what is left meets in blocks (see _candidates), and no row is made
+    for a pair that is not near. A pair at 0.8 shares no band with probability 0.59^20, 3 in 100,000;
     with the bands given, the classes are exact.
 
-    A text without words (null too) is in no class but its own. A null id is
-    the greatest; repeated rows are copies of each other.
+    A text without words (null too) is in no class but its own; texts of any
+    length are taken whole. A null id is the greatest; repeated rows are copies of
+    each other; an empty table gives no rows. Of the columns only the two named
+    are read.
     """
     key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key"), F.col(text).alias("text"))
@@ -265,12 +319,11 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR, words: int = WORD
     open_ = stored(labels.join(of_hub, "band"), "classes")
     apart = open_.where("label <> hub_label")
     open_ = open_.join(apart.select("band").distinct(), "band", "left_semi").select("band", "node", "label")
-    sketch = stored(_sketches(bag.join(open_.select("node").distinct(), "node", "left_semi")).join(nodes.select("node", "bands"), "node"), "sketches")
-    one, other = (d.join(sketch, "node").select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "label", "bands", "size")), *(F.col(f"s{i}").alias(f"s{i}_{side}") for i in range(SKETCH_WORDS))) for d, side in ((apart.select("band", "node", "label"), "a"), (open_, "b")))
-    differ = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(1, SKETCH_WORDS)), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
-    both_bands = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
-    near = one.join(other, "band").where((F.col("label_a") != F.col("label_b")) & can_overlap(differ, F.col("size_a"), F.col("size_b"), similar) & (F.get(both_bands, 0) == F.col("band")))
-    more = _verified(stored(near.select(*_pair("node_a", "node_b")).distinct(), "pairs"), bag, similar, "edges")
+    wanted = bag.join(open_.select("node").distinct(), "node", "left_semi").join(nodes.select("node", "bands"), "node")
+    sketch = stored(_sketches(wanted.select("node", "bag", "bands")), "sketches")
+    with_sketch = lambda rows: rows.select("band", "node", "label").join(sketch, "node")
+    near = _candidates(with_sketch(apart), with_sketch(open_), similar)
+    more = _verified(stored(near, "pairs"), bag, similar, "edges")
     if not more.isEmpty():  # classes that these links join, then each node through its class
         of = lambda side: found.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
         joins = more.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("u_label", "u").alias("u"), F.coalesce("v_label", "v").alias("v"))

@@ -378,9 +378,7 @@ def test_near_duplicates_lose_no_pair_of_a_bucket(spark):
         assert len(set(label)) < 30 or similar > 0.6
 
 
-def test_sketches_only_turn_away_what_is_apart(spark):
-    from pyspark.sql import functions as F
-
+def test_sketches_only_turn_away_what_is_apart():
     from afterview.llm.nearduplicates import can_overlap, overlap, parities
     from afterview.llm.textnum import mix
 
@@ -393,13 +391,38 @@ def test_sketches_only_turn_away_what_is_apart(spark):
             continue
         two = [(key[c > 0], c[c > 0]) for c in (a, b)]
         s = parities(np.repeat([0, 1], [len(x) for x, _ in two]), np.concatenate([x for x, _ in two]), np.concatenate([c for _, c in two]), 2)
-        common, union = overlap(*two)
-        rows.append((int(np.bitwise_count((s[0] ^ s[1]).view(np.uint64)).sum()), int(a.sum()), int(b.sum()), common, union))
-    told = spark.createDataFrame(rows, "differ long, a long, b long, common long, both long")
+        rows.append((int(np.bitwise_count((s[0] ^ s[1]).view(np.uint64)).sum()), int(a.sum()), int(b.sum()), *overlap(*two)))
+    differ, a, b, common, both = np.array(rows).T
     for similar in (0.5, 0.8, 0.9):
-        passed = told.select("common", "both", can_overlap(F.col("differ"), F.col("a"), F.col("b"), similar).alias("may")).collect()
-        assert all(r["may"] for r in passed if 1000 * r["common"] >= round(1000 * similar) * r["both"])
-    assert not all(r["may"] for r in passed)
+        may = can_overlap(differ, a, b, similar)
+        assert may[1000 * common >= round(1000 * similar) * both].all() and not may.all()
+
+
+def test_recall_on_planted_pairs(spark):
+    """Pairs and families at or above 0.8, among texts below it that share passages: every link is found, no other."""
+    from afterview.llm.nearduplicates import near_duplicates
+
+    rng = random.Random(21)
+    line = lambda n: [f"t{rng.randrange(10**9)}" for _ in range(n)]
+    texts = []
+    for k in range(150):
+        base = line(rng.randrange(60, 400))
+        texts.append(base)
+        for _ in range(rng.randrange(1, 4)):
+            copy = list(base)
+            at = rng.randrange(len(copy))
+            edit = rng.choice([0.02, 0.08, 0.1, 0.3])
+            copy[at : at + max(1, int(len(copy) * edit))] = line(rng.randrange(1, 4))
+            texts.append(copy)
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)]
+    groups, label, bags = classes(rows)
+    links = sum(len(g) - 1 for g in groups.values())
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(make(spark, rows)).collect()}
+    want = {i: min(g) for g in groups.values() for i in g}
+    assert links > 100 and len(groups) > 150
+    assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+    assert all(want[i] == want[c] for i, c in got.items())
 
 
 def test_signatures_estimate_weighted_similarity():
