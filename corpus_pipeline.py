@@ -13,32 +13,41 @@ from afterview.llm.secrets import redact
 from afterview.session import ship
 
 
+# Every stage takes tables with further columns of any name and hands them on; an
+# empty table stays empty; texts of any length are judged whole.
+
+
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail a base rule go, and those of failing hosts."""
+    """Documents that fail a base rule go, and those of failing hosts (keep_good). A null
+    or empty text has no words and goes; repeated rows go or stay together."""
     ship(spark)
     return keep_good(docs)
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays."""
+    """One document of each class of near duplicates stays, the one with the least id
+    (one_of_each). Texts without words (null, empty) all stay; of repeated rows one."""
     ship(spark)
     return one_of_each(docs)
 
 
 def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
+    """Contaminated documents go (decontaminate). A null or empty text is not
+    contaminated; repeated rows go or stay together."""
     ship(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; every document stays."""
+    """Secrets are replaced by a mark; every document stays (redact). A null or empty
+    text stays as it is; repeated rows get equal texts."""
     ship(spark)
     return redact(docs)
 
 
 def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as pieces of sequences of 1024 tokens."""
+    """The documents as pieces of sequences of 1024 tokens (pack). A null or empty text is
+    one end token; repeated rows are packed each for itself; only id and text are read."""
     ship(spark)
     return pack(docs)
 
