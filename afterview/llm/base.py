@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 
 import numpy as np
@@ -33,6 +35,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns the memory that a worker process has freed to the system: workers are
+    kept between tasks, and what one stage has freed is of no use to the JVM beside it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(run):
+    """A function over batches that gives its memory back when it has seen them all."""
+
+    @functools.wraps(run)
+    def outer(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return outer
+
+
 def text_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     """Rows and UTF-8 bytes of the whole column."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0)).alias("b")).first()

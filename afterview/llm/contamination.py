@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import documents, mark
+from .base import documents, mark, released
 
 #: A-Z to lower case; every byte that is not a digit, a letter or above 0x7F to a space.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -172,7 +172,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
                 found.append({"n_words": n, "n_hit": sum(y - x for x, y in runs), "item_ids": sorted(ids), "spans": [{"start": s, "end": e} for s, e in spans]})
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in kept), pa.array(found, _ARROW)], [*kept, out])
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(released(scan), schema)
 
 
 _ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import documents, flat, mark, slices, stored
+from .base import documents, flat, mark, released, slices, stored
 from .components import components
 from .packs import bundle, steps, unbundle
 from .textnum import WHITE, byte_sums, mix, prefix_sums, span_hashes, word_spans
@@ -15,7 +15,7 @@ from .textnum import WHITE, byte_sums, mix, prefix_sums, span_hashes, word_spans
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 20, 4
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,7 +121,7 @@ def _described(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (y - x + 1) * bands, bands, dtype=np.int32)), pa.array(keys.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([b.column(0)[x:y], b.column(1)[x:y], pa.array(bag_names(*bag, y - x), pa.binary()), lists], names)
 
-    return docs.mapInArrow(run, "doc_id long, text_key long, node binary, bands array<long>")
+    return docs.mapInArrow(released(run), "doc_id long, text_key long, node binary, bands array<long>")
 
 
 def _packed_bags(texts: DataFrame, words: int) -> DataFrame:
@@ -136,7 +136,7 @@ def _packed_bags(texts: DataFrame, words: int) -> DataFrame:
                 out = [bundle(steps(key[at[i] : at[i + 1]]), count[at[i] : at[i + 1]].astype(np.uint32)) for i in range(y - x)]
                 yield pa.RecordBatch.from_arrays([b.column(0)[x:y], pa.array(out, pa.binary())], ["node", "bag"])
 
-    return texts.mapInArrow(run, "node binary, bag binary")
+    return texts.mapInArrow(released(run), "node binary, bag binary")
 
 
 #: Longs of a sketch: 2048 bits, each the parity of the number of shingles that fall on it.
@@ -177,7 +177,7 @@ def _sketches(bag: DataFrame) -> DataFrame:
                 columns = [pa.array([int(c.sum()) for _, c in opened], pa.int64()), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(bands, pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], _SKETCH_NAMES)
 
-    return bag.mapInArrow(run, SKETCH)
+    return bag.mapInArrow(released(run), SKETCH)
 
 
 #: Nodes of a bucket that are compared together with those of another block.
@@ -224,7 +224,7 @@ def _candidates(apart: DataFrame, others: DataFrame, similar: float) -> DataFram
                     out += [(max(u[j], v[k]), min(u[j], v[k])) for k in near.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.binary()) for k in (0, 1)], ["u", "v"])
 
-    return met.mapInArrow(run, "u binary, v binary").distinct()
+    return met.mapInArrow(released(run), "u binary, v binary").distinct()
 
 
 def _opened(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -258,7 +258,7 @@ def _verified(pairs: DataFrame, bag: DataFrame, similar: float, name: str) -> Da
 
     left, right = bag.select(F.col("node").alias("u"), F.col("bag").alias("bag_u")), bag.select(F.col("node").alias("v"), F.col("bag").alias("bag_v"))
     both = pairs.join(left, "u").join(right, "v").select("u", "v", "bag_u", "bag_v")
-    return stored(both.mapInArrow(run, "u binary, v binary"), name)
+    return stored(both.mapInArrow(released(run), "u binary, v binary"), name)
 
 
 def _pair(a: str, b: str) -> DataFrame:

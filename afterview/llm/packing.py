@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import documents, stored
+from .base import documents, released, stored
 from .tokens import VOCABULARY, encoder
 
 WINDOW = 1024
@@ -143,7 +143,7 @@ def _tokenised(docs: DataFrame, window: int, vocabulary: str, text: str) -> Data
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in names), *(pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds))], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -190,7 +190,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = VOCABULARY, te
                         out.append((doc, k * window, int(rest[i]), crc, n, int(sequence + rank[i] - first), int(offset)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    return placed.mapInArrow(pieces, schema)
+    return placed.mapInArrow(released(pieces), schema)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import flat, text_size
+from .base import flat, give_back, text_size
 
 #: What stands for a null id: after all others.
 NO_ID = np.iinfo(np.int64).max
@@ -119,6 +119,26 @@ def unpacked(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": chunk, "doc_id": ids_, "text": text})
 
 
+def _kept(f):
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return f(table)
+        finally:
+            give_back()
+
+    return run
+
+
+def _kept2(f):
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        try:
+            return f(table, answers)
+        finally:
+            give_back()
+
+    return run
+
+
 class Chunks:
     """docs as (chunk, doc_id, text), dealt by a hash of id and text; they are shuffled once, compressed.
 
@@ -136,17 +156,17 @@ class Chunks:
 
     def ask(self, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """One call per chunk -> messages to parts."""
-        return self.frame.groupBy("chunk").applyInArrow(lambda t: f(unpacked(t)), MESSAGE)
+        return self.frame.groupBy("chunk").applyInArrow(_kept(lambda t: f(unpacked(t))), MESSAGE)
 
     def answer(self, asked: DataFrame, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """One call per part with all its messages -> messages to chunks, dealt by chunk:
         the exchange is made once, whoever hears them, also in a union with others."""
-        told = asked.repartition(self.parts, "part").groupBy("part").applyInArrow(f, MESSAGE)
+        told = asked.repartition(self.parts, "part").groupBy("part").applyInArrow(_kept(f), MESSAGE)
         return told.repartition(self.count, "chunk")
 
     def hear(self, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
         """One call per chunk with its documents and the answers to it."""
-        return self.frame.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lambda t, a: f(unpacked(t), a), schema)
+        return self.frame.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_kept2(lambda t, a: f(unpacked(t), a)), schema)
 
 
 def letters(table: pa.Table, kind: int | None = None) -> list[tuple[int, int, bytes]]:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import documents, flat, numbered, slices, stored
+from .base import documents, flat, numbered, released, slices, stored
 from .packs import MESSAGE, bundle, letters, messages, unbundle
 from .textnum import WHITE, byte_sums, mix, span_hashes, word_spans
 
@@ -30,7 +30,7 @@ PARTS, NODES = 16, 1024
 SHRINK, CLEAR, PRESENCE = 5.0, -1.0, 30.0
 #: At most so many labelled rows are used, those with the least hash of their id.
 LABELLED = 200_000
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -90,7 +90,7 @@ def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             sums = arrays if sums is None else [a + b for a, b in zip(sums, arrays, strict=True)]
         return messages([(part, node, 0, bundle(*sums))])
 
-    added = docs.mapInArrow(count, MESSAGE).groupBy("part", "chunk").applyInArrow(add, MESSAGE).groupBy("part").applyInArrow(add, MESSAGE)
+    added = docs.mapInArrow(released(count), MESSAGE).groupBy("part", "chunk").applyInArrow(add, MESSAGE).groupBy("part").applyInArrow(add, MESSAGE)
     rows = sorted((r["part"], bytes(r["data"])) for r in added.collect())  # PARTS rows
     if not rows:
         return np.zeros((4, BUCKETS), np.int64), np.zeros(2, np.int64)
@@ -126,7 +126,7 @@ def _weights(docs: DataFrame, ratios) -> DataFrame:
                 weight = often / np.maximum(grams, 1) + PRESENCE * absent / np.maximum(distinct, 1)
                 yield pa.RecordBatch.from_arrays([b.column(0)[x:y], b.column(1)[x:y], pa.array(grams.astype(np.int64)), pa.array(often), pa.array(weight)], names)
 
-    return docs.mapInArrow(run, WEIGHTS)
+    return docs.mapInArrow(released(run), WEIGHTS)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float] | None:

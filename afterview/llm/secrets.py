@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import documents, mark
+from .base import documents, mark, released
 
 #: Where the dictionary's words come from; the file is read in place and never copied.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -342,7 +342,7 @@ def scan_secrets(docs: DataFrame, model: Model | None = None, least: float = 0.5
                 rows.append({"n_candidates": len(per), "secrets": hits, "redacted": "".join([*clean, t[at:]]) if hits else None})
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in names), pa.array(rows, _ARROW)], [*names, out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def redact(docs: DataFrame) -> DataFrame:
