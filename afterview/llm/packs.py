@@ -159,9 +159,9 @@ class Chunks:
         return self.frame.groupBy("chunk").applyInArrow(_kept(lambda t: f(unpacked(t))), MESSAGE)
 
     def answer(self, asked: DataFrame, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
-        """One call per part with all its messages -> messages to chunks, dealt by chunk:
+        """One call and task per part with all its messages -> messages to chunks, dealt by chunk:
         the exchange is made once, whoever hears them, also in a union with others."""
-        told = asked.repartition(self.parts, "part").groupBy("part").applyInArrow(_kept(f), MESSAGE)
+        told = asked.repartitionById(self.parts, F.col("part")).groupBy("part").applyInArrow(_kept(f), MESSAGE)
         return told.repartition(self.count, "chunk")
 
     def hear(self, answers: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
