@@ -609,6 +609,22 @@ def test_katz(spark, docs, corpus, empty, split, order):
     assert katz.score_documents(empty).isEmpty()
 
 
+def test_katz_query_scores_with_triples(spark, corpus, tmp_path):
+    """The registered query backs off from triples, not from pairs."""
+    from afterview.llm.katz import op6_katz
+
+    rows = [r for r in corpus if r[0] is not None and len(r[1] or "") < 5000][:60]
+    make(spark, rows).drop("chunk", "node").write.parquet(f"{tmp_path}/documents.parquet")
+    toks = [(i, [*words(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), 0]) for i, t, _ in rows]
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    score, *_ = katz_by_hand(toks, out, 3)
+    lower, *_ = katz_by_hand(toks, out, 2)
+    want = {i: score(w) for i, w in toks}
+    got = {r["doc_id"]: r["score"] for r in op6_katz(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-4 for i in want)
+    assert sum(abs(lower(w) - want[i]) > 1e-3 for i, w in toks) > 20
+
+
 def test_hot_histories_are_split_over_parts(monkeypatch):
     """With a low limit a history has several entries, in several parts."""
     import pyarrow as pa
