@@ -14,10 +14,14 @@ their history. Chunks of documents send a part their distinct n-grams with
 training counts; the part adds up the counts of all chunks and sends back what
 each asked for, with the sums over a history from which alpha follows, and the
 n-gram's number, which names it as a history of the next order, and whether
-other chunks have it. Frequent
-histories are split over several parts by their last word, and their sums are
-added in the chunk. A pair that occurs in one chunk alone is a history of that
-chunk alone, whose sums need no exchange.
+other chunks have it. Words are numbered by falling count, so that most numbers
+are small. Frequent histories are split over several parts by their last word,
+and their sums are added in the chunk.
+
+What occurs in one chunk alone is counted there: a word or pair of one chunk
+alone is a history whose sums need no exchange, and an n-gram that ends in such a
+word or pair is of that chunk alone too. Of those after a history that other
+chunks have, the part hears the counts, for its sums, but not which they are.
 
 For alpha of a pair (u, v) the mass of P(w | v) over the seen triples is needed.
 Each such (v, w) was seen too, so that mass is a sum of discounted counts over
@@ -51,6 +55,14 @@ CHUNK_BYTES = 8 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SLICE_BYTES = 1 << 18
+BLOCKS = 8
+#: Masks of the first 0 .. 8 bytes.
+LEADING = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def tight(a: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in the least type that holds them."""
+    return a.astype(np.min_scalar_type(int(a.max(initial=0))))
 
 
 def held_out(doc_ids: np.ndarray) -> np.ndarray:
@@ -58,6 +70,21 @@ def held_out(doc_ids: np.ndarray) -> np.ndarray:
     return np.array([i != NO_ID and zlib.crc32(str(i).encode()) % 7 == 2 for i in doc_ids.tolist()], bool)
 
 
+def word_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of raw[start:end] for each word: eight bytes at a time, and that of all
+    spans for words of more than BLOCKS times eight."""
+    length = ends - starts
+    eights = np.ndarray(len(raw) + 1, "<u8", np.append(raw, np.zeros(8, np.uint8)), strides=(1,))
+    out, on = mix(length.astype(np.uint64)), np.arange(len(length))
+    for block in range(BLOCKS):
+        left = length[on] - 8 * block
+        out[on] = mix(out[on] ^ (eights[starts[on] + 8 * block] & LEADING[np.minimum(left, 8)]))
+        on = on[left > 8]
+    if len(on):
+        out[on] = span_hashes(byte_sums(raw), starts[on], ends[on])
+    return out
+
+
 class Tokens:
     """The tokens of a chunk: their distinct keys and the place of each among them."""
 
@@ -69,7 +96,7 @@ class Tokens:
         for a, b in slices(bounds, SLICE_BYTES):
             raw, at = LOWER[buf[bounds[a] : bounds[b]]], bounds[a : b + 1] - bounds[a]
             starts, ends, first = word_spans(raw, WHITE, at)
-            words = span_hashes(byte_sums(raw), starts, ends)
+            words = word_keys(raw, starts, ends)
             n = np.diff(first)
             every = np.full(len(words) + len(n), END, np.uint64)
             inside = np.ones(len(every), bool)
@@ -81,11 +108,23 @@ class Tokens:
         self.key, self.place = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.trained = np.repeat(~self.out, self.sizes)
-        self.train = np.bincount(self.place[self.trained], minlength=len(self.key)).astype(np.uint32)
-        before = np.empty_like(self.place)
-        before[1:] = self.place[:-1]
-        before[self.first] = len(self.key)  # the start mark
-        self.before = before
+
+    def train(self) -> np.ndarray:
+        """Training counts of the keys."""
+        return np.bincount(self.place[self.trained], minlength=len(self.key))
+
+    def before(self) -> np.ndarray:
+        """The place of what stands before each token; the start mark's is behind all keys."""
+        out = np.empty_like(self.place)
+        out[1:] = self.place[:-1]
+        out[self.first] = len(self.key)
+        return out
+
+    def renumber(self, order: np.ndarray) -> None:
+        """Puts the keys in another order."""
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        self.key, self.place = self.key[order], rank[self.place]
 
 
 def _stat(part: int, n: int = 0, v: int = 0, pairs=None, triples=None) -> tuple[int, int, int, bytes]:
@@ -102,34 +141,41 @@ def _rare(counts: np.ndarray) -> list[int]:
 def ask_words(parts: int):
     def run(table: pa.Table) -> pa.Table:
         t, chunk = Tokens(table), table["chunk"][0].as_py()
-        return messages([(p, chunk, WORDS, bundle(steps(t.key[a:b]), t.train[a:b])) for p, a, b in by_part(t.key, parts)])
+        train = t.train()
+        return messages([(p, chunk, WORDS, bundle(steps(t.key[a:b]), tight(train[a:b]))) for p, a, b in by_part(t.key, parts)])
 
     return run
 
 
 def answer_words(table: pa.Table) -> pa.Table:
-    """To each chunk: the number of its words within the part, and their training counts."""
+    """To each chunk: the number of its words within the part, their training counts,
+    and whether other chunks have them (yes, if no other chunk asks the part)."""
     said = [(p, c, *unbundle(d)) for p, c, d in letters(table)]
     own = [np.cumsum(k, dtype=np.uint64) for _, _, k, _ in said]
     keys, place = np.unique(np.concatenate(own), return_inverse=True)
     total = np.bincount(place, np.concatenate([c for *_, c in said]), len(keys)).astype(np.int64)
+    shared = np.bincount(place, minlength=len(keys)) >= min(2, len(said))
+    rank = np.empty(len(keys), np.int64)
+    rank[np.argsort(-total, kind="stable")] = np.arange(len(keys))
     out = [_stat(said[0][0], n=int(total.sum()), v=int((total > 0).sum()))]
     at = 0
     for (part, chunk, *_), k in zip(said, own, strict=True):
         mine = place[at : at + len(k)]
         at += len(k)
-        out.append((part, chunk, WORDS, bundle(steps(mine.astype(np.uint32)), total[mine].astype(np.uint64))))
+        out.append((part, chunk, WORDS, bundle(tight(rank[mine]), tight(total[mine]), np.packbits(shared[mine]))))
     return messages(out)
 
 
-def _names(answers: pa.Table, kind: int, column: int = 0) -> list[np.ndarray]:
-    return [np.int64(part) << 32 | np.cumsum(unbundle(data)[column], dtype=np.int64) for part, _, data in letters(answers, kind)]
+def _joined(arrays: list[np.ndarray], dtype: type = np.int64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *arrays]).astype(dtype)
 
 
-def _words(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The number (part << 32 | place) and the training count of each distinct word."""
-    count = [unbundle(data)[1].astype(np.int64) for _, _, data in letters(answers, WORDS)]
-    return np.concatenate([np.zeros(0, np.int64), *_names(answers, WORDS)]), np.concatenate([np.zeros(0, np.int64), *count])
+def _words(answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number (place * parts + part), the training count of each distinct word,
+    and whether other chunks have it."""
+    said = [(part, *unbundle(data)) for part, _, data in letters(answers, WORDS)]
+    name = _joined([place.astype(np.int64) * parts + part for part, place, *_ in said])
+    return name, _joined([count for _, _, count, _ in said]), _joined([np.unpackbits(bits, count=len(place)) for _, place, _, bits in said], bool)
 
 
 class Grams:
@@ -144,49 +190,75 @@ class Grams:
         self.train = np.bincount(self.of[trained], minlength=len(self.code)).astype(np.uint32)
         self.history, self.word = self.code // (words + 1), self.code % (words + 1)
 
-    def deal(self, wanted: np.ndarray, name: np.ndarray, total: np.ndarray, seed: np.ndarray, salted: np.ndarray, parts: int) -> None:
+    def deal(self, wanted: np.ndarray, named: np.ndarray, name: np.ndarray, total: np.ndarray, seed: np.ndarray, salted: np.ndarray, parts: int) -> None:
         """Puts the n-grams of the wanted histories in the order in which they are sent.
-        name, total, seed: of each history; salted: a hash of each word."""
+        wanted, name, total, seed: of each history; named: the n-grams that other chunks
+        may have; salted: a hash of each word."""
         histories = np.flatnonzero(wanted)
         shares = 1 + total[histories] // HOT_CONTEXT
         at = np.cumsum(shares) - shares
-        of = np.full(len(wanted), -1)
-        of[histories] = np.arange(len(histories))
-        self.sent = np.flatnonzero(of[self.history] >= 0)
-        which = of[self.history[self.sent]]
-        entry = at[which] + (salted[self.word[self.sent]] % shares[which].astype(np.uint64)).astype(np.int64)
         entry_history = np.repeat(np.arange(len(histories)), shares)
         entry_salt = np.arange(len(entry_history)) - at[entry_history]
         part = part_of(mix(seed[histories][entry_history] ^ mix(entry_salt.astype(np.uint64))), parts)
         by = np.argsort(name[histories][entry_history], kind="stable")  # then salts are in order, as they were made
         order = by[np.argsort(part[by].astype(np.uint16 if parts < 1 << 16 else np.int64), kind="stable")]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.sent = self.sent[np.argsort(rank[entry], kind="stable")]  # by entry, then by word
-        self.histories, self.entry_of_history, self.entry_order = histories, at, order
+        self.histories, self.often, self.entry_of_history, self.entry_order = histories, total[histories], at, order
         self.entry_bounds = np.searchsorted(part[order], np.arange(parts + 1))
-        self.entry_name, self.entry_salt = name[histories][entry_history[order]], entry_salt[order].astype(np.uint32)
-        self.size = np.bincount(rank[entry], minlength=len(order))
-        self.sent_bounds = np.append(0, np.cumsum(self.size))[self.entry_bounds]
-
-    def letters(self, chunk: int, kind: int, word_name: np.ndarray, lower: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+        self.entry_name, self.entry_salt = name[histories][entry_history[order]], entry_salt[order]
+        of, split = np.zeros(len(wanted), np.int64), np.ones(len(wanted), np.int64)
+        of[histories], split[histories] = at, shares
+        held = wanted[self.history]
+        self.sent, self.size, self.sent_bounds = self._dealt(held & named, of, split, salted)
+        self.rest, self.rest_size, self.rest_bounds = self._dealt(held & ~named & (self.train > 0), of, split, salted)
+
+    def _dealt(self, which: np.ndarray, of: np.ndarray, split: np.ndarray, salted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those n-grams by entry, then by word; their number in each entry, and the bounds of the parts among them."""
+        which = np.flatnonzero(which)
+        history = self.history[which]
+        entry, hot = of[history], np.flatnonzero(split[history] > 1)
+        if len(hot):
+            entry[hot] += (salted[self.word[which[hot]]] % split[history[hot]].astype(np.uint64)).astype(np.int64)
+            which = which[np.argsort(entry, kind="stable")]
+        size = np.bincount(entry, minlength=len(self.entry_order))
+        begin = (np.cumsum(size) - size)[self.entry_order]
+        size = size[self.entry_order]
+        ends = np.cumsum(size)
+        return which[np.repeat(begin - ends + size, size) + np.arange(len(which))], size, np.append(0, ends)[self.entry_bounds]
+
+    def letters(self, chunk: int, kind: int, word_name: np.ndarray, lower: np.ndarray, parts: int) -> list[tuple[int, int, int, bytes]]:
         """lower: the count of each n-gram's end in the order below."""
         out = []
         for p in np.flatnonzero(np.diff(self.entry_bounds)).tolist():
-            e, b = slice(*self.entry_bounds[p : p + 2]), self.sent[slice(*self.sent_bounds[p : p + 2])]
-            out.append((p, chunk, kind, bundle(steps(self.entry_name[e]), self.entry_salt[e], self.size[e].astype(np.uint32), steps(word_name[self.word[b]]), self.train[b], lower[b].astype(np.uint64))))
-        return out
+            e, b, r = slice(*self.entry_bounds[p : p + 2]), self.sent[slice(*self.sent_bounds[p : p + 2])], self.rest[slice(*self.rest_bounds[p : p + 2])]
+            entries = (steps(self.entry_name[e] - START), self.entry_salt[e], self.size[e], self.rest_size[e])
+            if kind == PAIRS:  # whose lower counts go by the word
+                words, at, index = np.unique(self.word[b], return_index=True, return_inverse=True)
+                ends = (index, lower[b][at], steps(word_name[words]))
+            else:
+                ends = (word_name[self.word[b]], lower[b])
+            out.append((p, chunk, kind, bundle(*map(tight, (*entries, self.train[b], self.train[r], lower[r], *ends)))))
+        own = np.ones(len(self.code), bool)
+        own[self.sent] = False
+        return [(chunk % parts, chunk, STATS, bundle(np.array(_rare(self.train[own]), np.int64))), *out]
+
+    def settled(self, wanted: np.ndarray, lower: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """(training counts of n-grams, sums of histories) as far as the chunk knows them alone."""
+        total = self.train.astype(np.int64)
+        alone = ~wanted[self.history]
+        return total, sums_of(self.history[alone], total[alone], lower[alone], len(wanted), kind)
 
     def heard(self, answers: pa.Table, kind: int, sums: np.ndarray, total: np.ndarray) -> None:
         """Puts what the parts say of the sent histories and n-grams into sums and total."""
         said = [unbundle(x) for _, _, x in letters(answers, kind)]
         if not said:
             return
-        by_entry = np.concatenate([np.stack(h[: len(sums)]) for h in said], 1).astype(np.int64)
-        straight = np.empty_like(by_entry)
-        straight[:, self.entry_order] = by_entry
-        sums[:, self.histories] = np.add.reduceat(straight, self.entry_of_history, 1)  # shares of a history together
-        total[self.sent] = np.concatenate([h[len(sums)] for h in said])
+        straight = np.empty(len(self.entry_order), np.int64)
+        for i in range(1, len(sums)):
+            straight[self.entry_order] = np.concatenate([h[i - 1] for h in said])
+            sums[i, self.histories] = np.add.reduceat(straight, self.entry_of_history)  # shares of a history together
+        # something follows each time that a history occurs, so what follows once is what is left
+        sums[0, self.histories] = self.often - occurrences(sums[1 : DISCOUNTED + 1, self.histories], 2)
+        total[self.sent] = np.concatenate([h[len(sums) - 1] for h in said])
 
 
 def spread(owner: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
@@ -199,6 +271,11 @@ def spread(owner: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def occurrences(spread_: np.ndarray, least: int = 1) -> np.ndarray:
+    """The sum of the counts of each column of `spread`, or of its rows from the count `least` on."""
+    return (np.arange(least, DISCOUNTED + 1)[:, None] * spread_[:-1]).sum(0) + spread_[-1]
+
+
 def sums_of(owner: np.ndarray, total: np.ndarray, lower: np.ndarray, n: int, kind: int) -> np.ndarray:
     """What alpha of a history is made from: the spread of its n-grams' counts, and
     for pairs the unigram shares, for triples the spread of the lower counts."""
@@ -212,8 +289,9 @@ PAIR_SUMS, TRIPLE_SUMS = DISCOUNTED + 2, 2 * DISCOUNTED + 2
 
 
 def answer_grams(kind: int):
-    """To each chunk: for its entries the sums of sums_of, the training count of each
-    n-gram that it has, and (of pairs) the n-gram's number in the part."""
+    """To each chunk: for its entries the sums of sums_of but for the first, the training
+    count of each n-gram that it has, and (of pairs) the n-gram's number in the part
+    and whether other chunks have it."""
 
     def run(table: pa.Table) -> pa.Table:
         said = [(p, c, unbundle(d)) for p, c, d in letters(table, kind)]
@@ -223,19 +301,21 @@ def answer_grams(kind: int):
         part = table["part"][0].as_py()
         if not said:
             return messages([_stat(part, **{"pairs" if kind == PAIRS else "triples": rare.tolist()})])
+        gather = lambda i: np.concatenate([m[i] for *_, m in said]).astype(np.int64)
         name = np.concatenate([np.cumsum(m[0], dtype=np.int64) for *_, m in said])
-        salt = np.concatenate([m[1] for *_, m in said]).astype(np.int64)
-        size = np.concatenate([m[2] for *_, m in said]).astype(np.int64)
-        order = np.lexsort((salt, name))
+        salt = gather(1)
+        order = np.lexsort((salt, name)) if salt.any() else np.argsort(name)
         new = np.ones(len(order), bool)
         new[1:] = (name[order][1:] != name[order][:-1]) | (salt[order][1:] != salt[order][:-1])
         entry = np.empty(len(order), np.int64)
         entry[order] = np.cumsum(new) - 1
         entries = int(new.sum())
-        owner = np.repeat(entry, size)
-        word = np.concatenate([np.cumsum(m[3], dtype=np.int64) for *_, m in said])
-        wide = int((word & 0xFFFFFFFF).max(initial=0)) + 1
-        code = (word >> 32) * wide + (word & 0xFFFFFFFF)
+        owner, rest_owner = np.repeat(entry, gather(2)), np.repeat(entry, gather(3))
+        if kind == PAIRS:
+            code = np.concatenate([np.cumsum(m[9], dtype=np.int64)[m[7]] for *_, m in said])
+            lower = np.concatenate([m[8][m[7]] for *_, m in said]).astype(np.int64)
+        else:
+            code, lower = gather(7), gather(8)
         span = int(code.max(initial=0)) + 1
         order = np.argsort(owner * span + code) if entries * span < 2**62 else np.lexsort((code, owner))
         new = np.ones(len(order), bool)
@@ -243,18 +323,17 @@ def answer_grams(kind: int):
         head = np.flatnonzero(new)
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
-        train = np.concatenate([m[4] for *_, m in said]).astype(np.int64)
-        total = np.add.reduceat(train[order], head) if len(head) else np.zeros(0, np.int64)
+        total = np.add.reduceat(gather(4)[order], head) if len(head) else np.zeros(0, np.int64)
         first = order[head]
-        sums = sums_of(owner[first], total, np.concatenate([m[5] for *_, m in said]).astype(np.int64)[first], entries, kind)
+        sums = sums_of(owner[first], total, lower[first], entries, kind) + sums_of(rest_owner, gather(5), gather(6), entries, kind)
         shared = np.bincount(group, minlength=len(head)) > 1  # by chunks, whether they train on it or not
         out = [_stat(part, **{"pairs" if kind == PAIRS else "triples": (rare + _rare(total)).tolist()})]
         at = pair = 0
         for p, chunk, m in said:
-            mine, grams = entry[at : at + len(m[0])], group[pair : pair + len(m[3])]
-            at, pair = at + len(m[0]), pair + len(m[3])
+            mine, grams = entry[at : at + len(m[0])], group[pair : pair + len(m[4])]
+            at, pair = at + len(m[0]), pair + len(m[4])
             numbers = [steps(grams.astype(np.uint32)), np.packbits(shared[grams])] if kind == PAIRS else []
-            out.append((p, chunk, kind, bundle(*sums[:, mine].astype(np.uint64), total[grams].astype(np.uint32), *numbers)))
+            out.append((p, chunk, kind, bundle(*map(tight, sums[1:, mine]), tight(total[grams]), *numbers)))
         return messages(out)
 
     return run
@@ -268,26 +347,30 @@ class Pairs:
     name: np.ndarray  # of words
     count: np.ndarray
     grams: Grams
+    wanted: np.ndarray  # the words that other chunks have, as histories; the start mark last
     total: np.ndarray | None = None  # of pairs, where the parts have answered
-    sums: np.ndarray | None = None  # of words as histories, the start mark last
+    sums: np.ndarray | None = None  # of words as histories
 
     @classmethod
     def of(cls, table: pa.Table, answers: pa.Table, parts: int) -> Pairs:
         t = Tokens(table)
-        name, count = _words(answers)
+        name, count, shared = _words(answers, parts)
         words = len(t.key)
-        g = Grams(t.before, t.place, t.trained, words)
-        end = np.searchsorted(t.key, END)
-        total = np.append(count, count[end] if words else 0)  # the start mark occurs once per text, like the end
-        wanted = np.bincount(g.history, minlength=words + 1) > 0
-        g.deal(wanted, np.append(name, START), total, np.append(t.key, np.uint64(2)), mix(t.key), parts)
-        return cls(t, name, count, g)
+        ends = count[np.searchsorted(t.key, END)] if words else 0
+        order = np.argsort(name)
+        t.renumber(order)
+        name, count, shared = name[order], count[order], shared[order]
+        g = Grams(t.before(), t.place, t.trained, words)
+        total = np.append(count, ends)  # the start mark occurs once per text, like the end
+        wanted = np.append(shared, True) & (np.bincount(g.history, minlength=words + 1) > 0)
+        g.deal(wanted, shared[g.word], np.append(name, START), total, np.append(t.key, np.uint64(2)), mix(t.key), parts)
+        return cls(t, name, count, g, wanted)
 
     def lower(self) -> np.ndarray:
         return self.count[self.grams.word]
 
     def listen(self, answers: pa.Table) -> None:
-        self.total, self.sums = np.zeros(len(self.grams.code), np.int64), np.zeros((PAIR_SUMS, len(self.tokens.key) + 1), np.int64)
+        self.total, self.sums = self.grams.settled(self.wanted, self.lower(), PAIRS)
         self.grams.heard(answers, PAIRS, self.sums, self.total)
 
 
@@ -309,23 +392,13 @@ class Triples:
         inner = np.flatnonzero(inner)
         g = Grams(pairs.of[inner - 1], t.place[inner], t.trained[inner], len(t.key))
         lower = pairs.of[inner[g.at]]
-        n = len(pairs.code)
-        name = np.full(n, -1, np.int64)
-        name[pairs.sent] = np.concatenate([np.zeros(0, np.int64), *_names(answers, PAIRS, PAIR_SUMS + 1)])
-        shared = np.zeros(n, bool)
-        shared[pairs.sent] = np.concatenate([np.zeros(0, bool), *(np.unpackbits(m[-1], count=len(m[-3])).astype(bool) for m in (unbundle(x) for _, _, x in letters(answers, PAIRS)))])
-        shared &= np.bincount(g.history, minlength=n) > 0
-        g.deal(shared, name, p.total, mix(name.view(np.uint64)), mix(t.key), parts)
-        alone = ~shared[g.history]
-        total = np.where(alone, g.train, 0).astype(np.int64)
-        sums = sums_of(g.history[alone], total[alone], p.total[lower[alone]], n, TRIPLES)
-        return cls(g, inner, lower, total, sums)
-
-    def alone(self) -> np.ndarray:
-        """Training counts of the triples that no part hears of."""
-        out = np.ones(len(self.total), bool)
-        out[self.grams.sent] = False
-        return self.total[out]
+        said = [(part, unbundle(x)[PAIR_SUMS:]) for part, _, x in letters(answers, PAIRS)]
+        name, shared = np.full(len(pairs.code), -1, np.int64), np.zeros(len(pairs.code), bool)
+        name[pairs.sent] = _joined([np.int64(part) << 32 | np.cumsum(numbers, dtype=np.int64) for part, (numbers, _) in said])
+        shared[pairs.sent] = _joined([np.unpackbits(bits, count=len(numbers)) for _, (numbers, bits) in said], bool)
+        wanted = shared & (np.bincount(g.history, minlength=len(shared)) > 0)
+        g.deal(wanted, shared[lower], name, p.total, mix(name.view(np.uint64)), mix(t.key), parts)
+        return cls(g, inner, lower, *g.settled(wanted, p.total[lower], TRIPLES))
 
 
 def ask_pairs(parts: int):
@@ -333,7 +406,7 @@ def ask_pairs(parts: int):
         if not table.num_rows:
             return messages([])
         p = Pairs.of(table, answers, parts)
-        return messages(p.grams.letters(table["chunk"][0].as_py(), PAIRS, p.name, p.lower()))
+        return messages(p.grams.letters(table["chunk"][0].as_py(), PAIRS, p.name, p.lower(), parts))
 
     return run
 
@@ -342,11 +415,10 @@ def ask_triples(parts: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return messages([])
-        p, chunk = Pairs.of(table, answers, parts), table["chunk"][0].as_py()
+        p = Pairs.of(table, answers, parts)
         p.listen(answers)
         t = Triples.of(p, answers, parts)
-        own = (chunk % parts, chunk, STATS, bundle(np.array(_rare(t.alone()), np.int64)))
-        return messages([own, *t.grams.letters(chunk, TRIPLES, p.name, p.total[t.lower])])
+        return messages(t.grams.letters(table["chunk"][0].as_py(), TRIPLES, p.name, p.total[t.lower], parts))
 
     return run
 
@@ -374,7 +446,7 @@ def history_weights(spread_: np.ndarray, below: np.ndarray, d: np.ndarray) -> tu
     n-grams' counts and the lower order's mass of the same words. A history whose
     seen words take all the mass gives one count of it to the others, so that
     alpha is above zero everywhere."""
-    total = (np.arange(1, DISCOUNTED + 1)[:, None] * spread_[:DISCOUNTED]).sum(0) + spread_[DISCOUNTED]
+    total = occurrences(spread_[: DISCOUNTED + 1])
     safe = np.maximum(total, 1)
     mass = weighed(spread_, d) / safe
     scale = np.where(1 - mass > 1e-12, 1.0, safe / (safe + 1.0))

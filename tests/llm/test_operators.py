@@ -625,6 +625,21 @@ def test_katz_query_scores_with_triples(spark, corpus, tmp_path):
     assert sum(abs(lower(w) - want[i]) > 1e-3 for i, w in toks) > 20
 
 
+def test_word_keys_tell_words_apart():
+    """Of any length, wherever they stand, with null bytes and behind the last whole block."""
+    from afterview.llm.katz import word_keys
+
+    rng = random.Random(1)
+    texts = [b"a", b"a\x00", b"\x00a", b"a\x00\x00", *(bytes(rng.choice(b"ab") for _ in range(n)) for n in (7, 8, 9, 15, 16, 17, 63, 64, 65, 72, 1000, 5000) for _ in range(40))]
+    dealt = [rng.choice(texts) for _ in range(2000)] + texts
+    ends = np.cumsum([len(x) + 1 for x in dealt]) - 1
+    keys = word_keys(np.frombuffer(b" ".join(dealt), np.uint8), ends - [len(x) for x in dealt], ends)
+    by_word = defaultdict(set)
+    for x, k in zip(dealt, keys.tolist(), strict=True):
+        by_word[x].add(k)
+    assert all(len(k) == 1 for k in by_word.values()) and len(set(keys.tolist())) == len(by_word)
+
+
 def test_hot_histories_are_split_over_parts(monkeypatch):
     """With a low limit a history has several entries, in several parts."""
     import pyarrow as pa
