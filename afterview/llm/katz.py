@@ -12,8 +12,8 @@ is 2 or 3; a history that was never seen has alpha 1.
 The n-gram tables are cut into parts: words by their hash, pairs and triples by
 their history. Chunks of documents send a part their distinct n-grams with
 training counts; the part adds up the counts of all chunks and sends back what
-each asked for, with the sums over a history from which alpha follows, and the
-n-gram's number, which names it as a history of the next order, and whether
+each asked for, with the sums over a history from which alpha follows (without
+what the chunk has itself), and the n-gram's number, which names it as a history of the next order, and whether
 other chunks have it. Words are numbered by falling count, so that most numbers
 are small. Frequent histories are split over several parts by their last word,
 and their sums are added in the chunk.
@@ -85,6 +85,26 @@ def word_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return out
 
 
+def in_order(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 on sorted, and their places, those of equal ones in order;
+    sorted as one number each where that has 63 bits."""
+    bits = len(a).bit_length()
+    if int(a.max(initial=0)) >> (63 - bits):
+        at = np.argsort(a, kind="stable")
+        return a[at], at
+    both = np.sort(a << bits | np.arange(len(a)))
+    return both >> bits, both & ((1 << bits) - 1)
+
+
+def heads(*columns: np.ndarray) -> np.ndarray:
+    """Where in sorted columns something new begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
 class Tokens:
     """The tokens of a chunk: their distinct keys and the place of each among them."""
 
@@ -105,7 +125,9 @@ class Tokens:
             keys.append(every)
             counts.append(n + 1)
         self.sizes = np.concatenate([np.zeros(0, np.int64), *counts])
-        self.key, self.place = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+        found = pa.array(np.concatenate([np.zeros(0, np.uint64), *keys])).dictionary_encode()
+        self.key, self.place = found.dictionary.to_numpy(), found.indices.to_numpy()
+        self.renumber(np.argsort(self.key))
         self.first = np.cumsum(self.sizes) - self.sizes
         self.trained = np.repeat(~self.out, self.sizes)
 
@@ -184,11 +206,14 @@ class Grams:
 
     def __init__(self, history: np.ndarray, place: np.ndarray, trained: np.ndarray, words: int):
         """history, place: of each occurrence, as small numbers."""
-        self.code, self.of = np.unique(history * (words + 1) + place, return_inverse=True)
-        self.at = np.empty(len(self.code), np.int64)  # an occurrence of each
-        self.at[self.of] = np.arange(len(self.of))
-        self.train = np.bincount(self.of[trained], minlength=len(self.code)).astype(np.uint32)
-        self.history, self.word = self.code // (words + 1), self.code % (words + 1)
+        code, at = in_order(history * (words + 1) + place)
+        new = heads(code)
+        self.of = np.empty(len(code), np.int64)
+        self.of[at] = np.cumsum(new) - 1
+        code, self.at = code[new], at[new]  # an occurrence of each
+        self.train = np.bincount(self.of[trained], minlength=len(code)).astype(np.uint32)
+        self.history = code // (words + 1)
+        self.word = code - self.history * (words + 1)
 
     def deal(self, wanted: np.ndarray, named: np.ndarray, name: np.ndarray, total: np.ndarray, seed: np.ndarray, salted: np.ndarray, parts: int) -> None:
         """Puts the n-grams of the wanted histories in the order in which they are sent.
@@ -200,11 +225,12 @@ class Grams:
         entry_history = np.repeat(np.arange(len(histories)), shares)
         entry_salt = np.arange(len(entry_history)) - at[entry_history]
         part = part_of(mix(seed[histories][entry_history] ^ mix(entry_salt.astype(np.uint64))), parts)
-        by = np.argsort(name[histories][entry_history], kind="stable")  # then salts are in order, as they were made
+        by = in_order(name[histories][entry_history] - START)[1]  # then salts are in order, as they were made
         order = by[np.argsort(part[by].astype(np.uint16 if parts < 1 << 16 else np.int64), kind="stable")]
-        self.histories, self.often, self.entry_of_history, self.entry_order = histories, total[histories], at, order
+        self.histories, self.entry_order = histories, order
         self.entry_bounds = np.searchsorted(part[order], np.arange(parts + 1))
-        self.entry_name, self.entry_salt = name[histories][entry_history[order]], entry_salt[order]
+        self.entry_history, self.entry_salt = histories[entry_history[order]], entry_salt[order]
+        self.entry_name = name[self.entry_history]
         of, split = np.zeros(len(wanted), np.int64), np.ones(len(wanted), np.int64)
         of[histories], split[histories] = at, shares
         held = wanted[self.history]
@@ -232,66 +258,76 @@ class Grams:
             e, b, r = slice(*self.entry_bounds[p : p + 2]), self.sent[slice(*self.sent_bounds[p : p + 2])], self.rest[slice(*self.rest_bounds[p : p + 2])]
             entries = (steps(self.entry_name[e] - START), self.entry_salt[e], self.size[e], self.rest_size[e])
             if kind == PAIRS:  # whose lower counts go by the word
-                words, at, index = np.unique(self.word[b], return_index=True, return_inverse=True)
-                ends = (index, lower[b][at], steps(word_name[words]))
+                words, at = in_order(self.word[b])
+                new = heads(words)
+                index = np.empty(len(b), np.int64)
+                index[at] = np.cumsum(new) - 1
+                ends = (index, lower[b[at[new]]], steps(word_name[words[new]]))
             else:
                 ends = (word_name[self.word[b]], lower[b])
             out.append((p, chunk, kind, bundle(*map(tight, (*entries, self.train[b], self.train[r], lower[r], *ends)))))
-        own = np.ones(len(self.code), bool)
+        own = np.ones(len(self.word), bool)
         own[self.sent] = False
         return [(chunk % parts, chunk, STATS, bundle(np.array(_rare(self.train[own]), np.int64))), *out]
 
-    def settled(self, wanted: np.ndarray, lower: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """(training counts of n-grams, sums of histories) as far as the chunk knows them alone."""
-        total = self.train.astype(np.int64)
-        alone = ~wanted[self.history]
-        return total, sums_of(self.history[alone], total[alone], lower[alone], len(wanted), kind)
+    def totals(self, answers: pa.Table, kind: int) -> np.ndarray:
+        """Training counts of the n-grams, as the parts say for those sent."""
+        out = self.train.astype(np.int64)
+        out[self.sent] = _joined([unbundle(x)[SUMS[kind] - 1] for _, _, x in letters(answers, kind)])
+        return out
 
-    def heard(self, answers: pa.Table, kind: int, sums: np.ndarray, total: np.ndarray) -> None:
-        """Puts what the parts say of the sent histories and n-grams into sums and total."""
+    def masses(self, answers: pa.Table, kind: int, often: np.ndarray, total: np.ndarray, star: np.ndarray, lower: np.ndarray, d: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each history the sum of the discounted counts of its n-grams, and that of their
+        `lower`: of those of this chunk, and of the others as the parts say. often: the
+        counts of the histories; total, star, lower: the counts of the n-grams, plain and
+        discounted, and what each has in the order below; d, below: the discounts of both orders."""
+        n = len(often)
+        mass, low = np.bincount(self.history, star, n), np.bincount(self.history, np.where(total > 0, lower, 0), n)
         said = [unbundle(x) for _, _, x in letters(answers, kind)]
         if not said:
-            return
-        straight = np.empty(len(self.entry_order), np.int64)
-        for i in range(1, len(sums)):
-            straight[self.entry_order] = np.concatenate([h[i - 1] for h in said])
-            sums[i, self.histories] = np.add.reduceat(straight, self.entry_of_history)  # shares of a history together
+            return mass, low
+        row = lambda i: np.concatenate([h[i - 1] for h in said]).astype(np.float64)
+        at = lambda x: np.bincount(self.entry_history, x, n)  # noqa: E731 (shares of a history together)
+        rows = [(r, row(r - 1)) for r in range(2, DISCOUNTED + 1)]
+        high = row(DISCOUNTED)
         # something follows each time that a history occurs, so what follows once is what is left
-        sums[0, self.histories] = self.often - occurrences(sums[1 : DISCOUNTED + 1, self.histories], 2)
-        total[self.sent] = np.concatenate([h[len(sums) - 1] for h in said])
+        once = often - np.bincount(self.history, total, n) - at(sum(r * x for r, x in rows) + high)
+        mass += at(sum(d[r] * r * x for r, x in rows) + high)
+        mass[self.histories] += d[1] * once[self.histories]
+        if kind == PAIRS:
+            return mass, low + at(row(DISCOUNTED + 1))
+        return mass, low + at(sum(below[r] * r * row(DISCOUNTED + r) for r in range(1, DISCOUNTED + 1)) + row(2 * DISCOUNTED + 1))
 
 
-def spread(owner: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+def spread(owner: np.ndarray, counts: np.ndarray, out: np.ndarray) -> None:
     """By owner: how many counts are 1, 2, ... DISCOUNTED, and the sum of the greater ones."""
-    out = np.zeros((DISCOUNTED + 1, n), np.int64)
     for r in range(1, DISCOUNTED + 1):
-        out[r - 1] = np.bincount(owner[counts == r], minlength=n)
-    high = counts > DISCOUNTED
-    out[DISCOUNTED] = np.bincount(owner[high], counts[high], n)
-    return out
+        out[r - 1] = np.bincount(owner[counts == r], minlength=out.shape[1])
+    high = np.flatnonzero(counts > DISCOUNTED)
+    out[DISCOUNTED] = np.bincount(owner[high], counts[high], out.shape[1])
 
 
-def occurrences(spread_: np.ndarray, least: int = 1) -> np.ndarray:
-    """The sum of the counts of each column of `spread`, or of its rows from the count `least` on."""
-    return (np.arange(least, DISCOUNTED + 1)[:, None] * spread_[:-1]).sum(0) + spread_[-1]
+#: Rows of sums_of.
+SUMS = {PAIRS: DISCOUNTED + 2, TRIPLES: 2 * DISCOUNTED + 2}
 
 
 def sums_of(owner: np.ndarray, total: np.ndarray, lower: np.ndarray, n: int, kind: int) -> np.ndarray:
     """What alpha of a history is made from: the spread of its n-grams' counts, and
     for pairs the unigram shares, for triples the spread of the lower counts."""
-    seen = total > 0
-    below = spread(owner[seen], lower[seen], n) if kind == TRIPLES else np.bincount(owner[seen], lower[seen] + 1, n).astype(np.int64)[None]
-    return np.concatenate([spread(owner, total, n), below])
-
-
-#: Rows of sums_of.
-PAIR_SUMS, TRIPLE_SUMS = DISCOUNTED + 2, 2 * DISCOUNTED + 2
+    out = np.zeros((SUMS[kind], n), np.int64)
+    spread(owner, total, out[: DISCOUNTED + 1])
+    lower = np.where(total > 0, lower + (kind == PAIRS), 0)
+    if kind == TRIPLES:
+        spread(owner, lower, out[DISCOUNTED + 1 :])
+    else:
+        out[DISCOUNTED + 1] = np.bincount(owner, lower, n)
+    return out
 
 
 def answer_grams(kind: int):
-    """To each chunk: for its entries the sums of sums_of but for the first, the training
-    count of each n-gram that it has, and (of pairs) the n-gram's number in the part
-    and whether other chunks have it."""
+    """To each chunk: for its entries the sums of sums_of but for the first, of what it has
+    not itself; the training count of each n-gram that it has, and (of pairs) the
+    n-gram's number in the part and whether other chunks have it."""
 
     def run(table: pa.Table) -> pa.Table:
         said = [(p, c, unbundle(d)) for p, c, d in letters(table, kind)]
@@ -304,36 +340,38 @@ def answer_grams(kind: int):
         gather = lambda i: np.concatenate([m[i] for *_, m in said]).astype(np.int64)
         name = np.concatenate([np.cumsum(m[0], dtype=np.int64) for *_, m in said])
         salt = gather(1)
-        order = np.lexsort((salt, name)) if salt.any() else np.argsort(name)
-        new = np.ones(len(order), bool)
-        new[1:] = (name[order][1:] != name[order][:-1]) | (salt[order][1:] != salt[order][:-1])
+        order = np.lexsort((salt, name)) if salt.any() else in_order(name)[1]
+        new = heads(name[order], salt[order])
         entry = np.empty(len(order), np.int64)
         entry[order] = np.cumsum(new) - 1
         entries = int(new.sum())
-        owner, rest_owner = np.repeat(entry, gather(2)), np.repeat(entry, gather(3))
+        held, held_rest = (np.repeat(np.arange(len(entry)), gather(i)) for i in (2, 3))
+        owner = entry[held]
         if kind == PAIRS:
             code = np.concatenate([np.cumsum(m[9], dtype=np.int64)[m[7]] for *_, m in said])
             lower = np.concatenate([m[8][m[7]] for *_, m in said]).astype(np.int64)
         else:
             code, lower = gather(7), gather(8)
         span = int(code.max(initial=0)) + 1
-        order = np.argsort(owner * span + code) if entries * span < 2**62 else np.lexsort((code, owner))
-        new = np.ones(len(order), bool)
-        new[1:] = (owner[order][1:] != owner[order][:-1]) | (code[order][1:] != code[order][:-1])
+        order = in_order(owner * span + code)[1] if entries * span < 2**62 else np.lexsort((code, owner))
+        new = heads(owner[order], code[order])
         head = np.flatnonzero(new)
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
         total = np.add.reduceat(gather(4)[order], head) if len(head) else np.zeros(0, np.int64)
-        first = order[head]
-        sums = sums_of(owner[first], total, lower[first], entries, kind) + sums_of(rest_owner, gather(5), gather(6), entries, kind)
+        first, rest, rest_lower = order[head], gather(5), gather(6)
+        sums = sums_of(owner[first], total, lower[first], entries, kind) + sums_of(entry[held_rest], rest, rest_lower, entries, kind)
+        others = sums_of(np.concatenate([held, held_rest]), np.concatenate([total[group], rest]), np.concatenate([lower, rest_lower]), len(entry), kind)
+        for i, own in enumerate(others):
+            np.subtract(sums[i, entry], own, out=own)
         shared = np.bincount(group, minlength=len(head)) > 1  # by chunks, whether they train on it or not
         out = [_stat(part, **{"pairs" if kind == PAIRS else "triples": (rare + _rare(total)).tolist()})]
         at = pair = 0
         for p, chunk, m in said:
-            mine, grams = entry[at : at + len(m[0])], group[pair : pair + len(m[4])]
+            mine, grams = others[1:, at : at + len(m[0])], group[pair : pair + len(m[4])]
             at, pair = at + len(m[0]), pair + len(m[4])
             numbers = [steps(grams.astype(np.uint32)), np.packbits(shared[grams])] if kind == PAIRS else []
-            out.append((p, chunk, kind, bundle(*map(tight, sums[1:, mine]), tight(total[grams]), *numbers)))
+            out.append((p, chunk, kind, bundle(*map(tight, mine), tight(total[grams]), *numbers)))
         return messages(out)
 
     return run
@@ -347,9 +385,8 @@ class Pairs:
     name: np.ndarray  # of words
     count: np.ndarray
     grams: Grams
-    wanted: np.ndarray  # the words that other chunks have, as histories; the start mark last
+    often: np.ndarray  # how often words occur as histories; the start mark last
     total: np.ndarray | None = None  # of pairs, where the parts have answered
-    sums: np.ndarray | None = None  # of words as histories
 
     @classmethod
     def of(cls, table: pa.Table, answers: pa.Table, parts: int) -> Pairs:
@@ -364,25 +401,22 @@ class Pairs:
         total = np.append(count, ends)  # the start mark occurs once per text, like the end
         wanted = np.append(shared, True) & (np.bincount(g.history, minlength=words + 1) > 0)
         g.deal(wanted, shared[g.word], np.append(name, START), total, np.append(t.key, np.uint64(2)), mix(t.key), parts)
-        return cls(t, name, count, g, wanted)
+        return cls(t, name, count, g, total)
 
     def lower(self) -> np.ndarray:
         return self.count[self.grams.word]
 
     def listen(self, answers: pa.Table) -> None:
-        self.total, self.sums = self.grams.settled(self.wanted, self.lower(), PAIRS)
-        self.grams.heard(answers, PAIRS, self.sums, self.total)
+        self.total = self.grams.totals(answers, PAIRS)
 
 
 @dataclass
 class Triples:
-    """Triples of a chunk: those of shared histories dealt, the others summed here."""
+    """Triples of a chunk, those of shared histories dealt."""
 
     grams: Grams
     inner: np.ndarray  # the tokens that have two before them
     lower: np.ndarray  # of each triple the pair at its end
-    total: np.ndarray
-    sums: np.ndarray  # of pairs as histories
 
     @classmethod
     def of(cls, p: Pairs, answers: pa.Table, parts: int) -> Triples:
@@ -392,13 +426,13 @@ class Triples:
         inner = np.flatnonzero(inner)
         g = Grams(pairs.of[inner - 1], t.place[inner], t.trained[inner], len(t.key))
         lower = pairs.of[inner[g.at]]
-        said = [(part, unbundle(x)[PAIR_SUMS:]) for part, _, x in letters(answers, PAIRS)]
-        name, shared = np.full(len(pairs.code), -1, np.int64), np.zeros(len(pairs.code), bool)
+        said = [(part, unbundle(x)[SUMS[PAIRS] :]) for part, _, x in letters(answers, PAIRS)]
+        name, shared = np.full(len(pairs.word), -1, np.int64), np.zeros(len(pairs.word), bool)
         name[pairs.sent] = _joined([np.int64(part) << 32 | np.cumsum(numbers, dtype=np.int64) for part, (numbers, _) in said])
         shared[pairs.sent] = _joined([np.unpackbits(bits, count=len(numbers)) for _, (numbers, bits) in said], bool)
         wanted = shared & (np.bincount(g.history, minlength=len(shared)) > 0)
         g.deal(wanted, shared[lower], name, p.total, mix(name.view(np.uint64)), mix(t.key), parts)
-        return cls(g, inner, lower, *g.settled(wanted, p.total[lower], TRIPLES))
+        return cls(g, inner, lower)
 
 
 def ask_pairs(parts: int):
@@ -425,9 +459,10 @@ def ask_triples(parts: int):
 
 def discounts(counts: list[int]) -> np.ndarray:
     """Good-Turing discounts d[0..DISCOUNTED] of Katz from the numbers of n-grams
-    that occurred 1 .. DISCOUNTED + 1 times. Where the numbers are too few to
-    give one strictly between 0 and 1, half a count is taken off."""
-    d = np.ones(DISCOUNTED + 1)
+    that occurred 1 .. DISCOUNTED + 1 times, and the 1 of greater counts behind them.
+    Where the numbers are too few to give one strictly between 0 and 1, half a count
+    is taken off."""
+    d = np.ones(DISCOUNTED + 2)
     n = [0, *counts]
     high = (DISCOUNTED + 1) * n[DISCOUNTED + 1] / n[1] if n[1] else 1.0
     for r in range(1, DISCOUNTED + 1):
@@ -436,27 +471,20 @@ def discounts(counts: list[int]) -> np.ndarray:
     return d
 
 
-def weighed(spread_: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """The sum of discounted counts of each column of `spread`."""
-    return ((d[1:] * np.arange(1, DISCOUNTED + 1))[:, None] * spread_[:DISCOUNTED]).sum(0) + spread_[DISCOUNTED]
+def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    return d[np.minimum(c, DISCOUNTED + 1)] * c
 
 
-def history_weights(spread_: np.ndarray, below: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(c(h), scale of seen words, alpha) of each history from the spread of its
-    n-grams' counts and the lower order's mass of the same words. A history whose
-    seen words take all the mass gives one count of it to the others, so that
-    alpha is above zero everywhere."""
-    total = occurrences(spread_[: DISCOUNTED + 1])
+def history_weights(total: np.ndarray, mass: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scale of the discounted counts of seen words, alpha) of each history from its
+    count, the sum of those discounted counts and the lower order's mass of the same
+    words. A history whose seen words take all the mass gives one count of it to the
+    others, so that alpha is above zero everywhere."""
     safe = np.maximum(total, 1)
-    mass = weighed(spread_, d) / safe
+    mass = mass / safe
     scale = np.where(1 - mass > 1e-12, 1.0, safe / (safe + 1.0))
     alpha = np.where(total > 0, (1 - mass * scale) / np.maximum(1 - below, 1e-300), 1.0)
-    return total, scale, alpha
-
-
-def discounted(c: np.ndarray, history: np.ndarray, total: np.ndarray, scale: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """P of n-grams that occurred c > 0 times after their history; 0 of others."""
-    return scale[history] * np.where(c <= DISCOUNTED, d[np.minimum(c, DISCOUNTED)], 1.0) * c / np.maximum(total[history], 1)
+    return scale / safe, alpha
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -473,21 +501,24 @@ def evaluate(parts: int, order: int = ORDER):
         p.listen(answers)
         t, g, d = p.tokens, p.grams, discounts(stats["pairs"])
         one = (p.count + 1.0) / (n + v + 1.0)
-        total, scale, alpha = history_weights(p.sums, p.sums[DISCOUNTED + 1] / (n + v + 1.0), d)
+        star = discounted(p.total, d)
+        mass, low = g.masses(answers, PAIRS, p.often, p.total, star, p.lower() + 1.0, d, d)
+        scale, alpha = history_weights(p.often, mass, low / (n + v + 1.0))
         # of each distinct pair, then of each token: seen at this order, or down by one
-        two = np.where(p.total > 0, discounted(p.total, g.history, total, scale, d), alpha[g.history] * one[g.word])
-        chance = two[g.of]
+        two = np.where(p.total > 0, star * scale[g.history], alpha[g.history] * one[g.word])
+        chance = np.log10(two)[g.of]
         if order > 2:
             x, d3 = Triples.of(p, answers, parts), discounts(stats["triples"])
-            x.grams.heard(answers, TRIPLES, x.sums, x.total)
-            last = g.word  # the word that a history (u, v) shares with the pairs (v, w)
-            below = weighed(x.sums[DISCOUNTED + 1 :], d) * (scale / np.maximum(total, 1))[last]
-            total3, scale3, alpha3 = history_weights(x.sums, below, d3)
-            three = np.where(x.total > 0, discounted(x.total, x.grams.history, total3, scale3, d3), alpha3[x.grams.history] * two[x.lower])
-            chance[x.inner] = three[x.grams.of]
+            own, h = x.grams.totals(answers, TRIPLES), x.grams.history
+            star3 = discounted(own, d3)
+            mass, low = x.grams.masses(answers, TRIPLES, p.total, own, star3, star[x.lower], d3, d)
+            # the word that a history (u, v) shares with the pairs (v, w) is its last
+            scale3, alpha3 = history_weights(p.total, mass, low * scale[g.word])
+            three = np.where(own > 0, star3 * scale3[h], alpha3[h] * two[x.lower])
+            chance[x.inner] = np.log10(three)[x.grams.of]
         add = lambda a: np.add.reduceat(a, t.first)
         known = add((p.count[t.place] > 0).astype(np.int64))
-        columns = [pa.array(t.out), pa.array(t.sizes), pa.array(known), pa.array(np.full(len(t.docs), n)), pa.array(add(np.log10(one)[t.place])), pa.array(add(np.log10(chance)))]
+        columns = [pa.array(t.out), pa.array(t.sizes), pa.array(known), pa.array(np.full(len(t.docs), n)), pa.array(add(np.log10(one)[t.place])), pa.array(add(chance))]
         return pa.table([table["doc_id"].combine_chunks(), *columns], schema=ARROW)
 
     return run
