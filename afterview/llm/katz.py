@@ -70,6 +70,22 @@ def held_out(doc_ids: np.ndarray) -> np.ndarray:
     return np.array([i != NO_ID and zlib.crc32(str(i).encode()) % 7 == 2 for i in doc_ids.tolist()], bool)
 
 
+def zigzag(a: np.ndarray) -> np.ndarray:
+    """Steps up and down as numbers from 0 on."""
+    d = steps(a.astype(np.int64))
+    return d << 1 ^ d >> 63
+
+
+def unzigzag(z: np.ndarray) -> np.ndarray:
+    z = z.astype(np.int64)
+    return np.cumsum(z >> 1 ^ -(z & 1))
+
+
+def sparse(columns: np.ndarray) -> list[np.ndarray]:
+    """Which of at most 16 columns are above zero in each row, and each column's numbers that are."""
+    return [sum(((c > 0).astype(np.uint16) << i for i, c in enumerate(columns)), np.uint16(0)), *(c[c > 0] for c in columns)]
+
+
 def word_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of raw[start:end] for each word: eight bytes at a time, and that of all
     spans for words of more than BLOCKS times eight."""
@@ -215,16 +231,17 @@ class Grams:
         self.history = code // (words + 1)
         self.word = code - self.history * (words + 1)
 
-    def deal(self, wanted: np.ndarray, named: np.ndarray, name: np.ndarray, total: np.ndarray, seed: np.ndarray, salted: np.ndarray, parts: int) -> None:
+    def deal(self, wanted: np.ndarray, named: np.ndarray, name: np.ndarray, total: np.ndarray, home: np.ndarray, salted: np.ndarray, parts: int) -> None:
         """Puts the n-grams of the wanted histories in the order in which they are sent.
-        wanted, name, total, seed: of each history; named: the n-grams that other chunks
-        may have; salted: a hash of each word."""
+        wanted, name, total, home: of each history; named: the n-grams that other chunks
+        may have; salted: a hash of each word. The shares of a history go to the part
+        `home` and those behind it."""
         histories = np.flatnonzero(wanted)
         shares = 1 + total[histories] // HOT_CONTEXT
         at = np.cumsum(shares) - shares
         entry_history = np.repeat(np.arange(len(histories)), shares)
         entry_salt = np.arange(len(entry_history)) - at[entry_history]
-        part = part_of(mix(seed[histories][entry_history] ^ mix(entry_salt.astype(np.uint64))), parts)
+        part = (home[histories][entry_history] + entry_salt) % parts
         by = in_order(name[histories][entry_history] - START)[1]  # then salts are in order, as they were made
         order = by[np.argsort(part[by].astype(np.uint16 if parts < 1 << 16 else np.int64), kind="stable")]
         self.histories, self.entry_order = histories, order
@@ -262,7 +279,7 @@ class Grams:
                 new = heads(words)
                 index = np.empty(len(b), np.int64)
                 index[at] = np.cumsum(new) - 1
-                ends = (index, lower[b[at[new]]], steps(word_name[words[new]]))
+                ends = (index, zigzag(lower[b[at[new]]]), steps(word_name[words[new]]))  # the counts nearly fall
             else:
                 ends = (word_name[self.word[b]], lower[b])
             out.append((p, chunk, kind, bundle(*map(tight, (*entries, self.train[b], self.train[r], lower[r], *ends)))))
@@ -273,7 +290,7 @@ class Grams:
     def totals(self, answers: pa.Table, kind: int) -> np.ndarray:
         """Training counts of the n-grams, as the parts say for those sent."""
         out = self.train.astype(np.int64)
-        out[self.sent] = _joined([unbundle(x)[SUMS[kind] - 1] for _, _, x in letters(answers, kind)])
+        out[self.sent] = _joined([unbundle(x)[SUMS[kind]] for _, _, x in letters(answers, kind)])
         return out
 
     def masses(self, answers: pa.Table, kind: int, often: np.ndarray, total: np.ndarray, star: np.ndarray, lower: np.ndarray, d: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,9 +303,15 @@ class Grams:
         said = [unbundle(x) for _, _, x in letters(answers, kind)]
         if not said:
             return mass, low
-        row = lambda i: np.concatenate([h[i - 1] for h in said]).astype(np.float64)
+        filled = np.concatenate([h[0] for h in said])
+
+        def row(i: int) -> np.ndarray:
+            out = np.zeros(len(filled))
+            out[np.flatnonzero(filled >> (i - 1) & 1)] = np.concatenate([h[i] for h in said])
+            return out
+
         at = lambda x: np.bincount(self.entry_history, x, n)  # noqa: E731 (shares of a history together)
-        rows = [(r, row(r - 1)) for r in range(2, DISCOUNTED + 1)]
+        rows = [(r, row(r - 1)) for r in range(2, DISCOUNTED + 1)]  # row 0 of sums_of is not sent
         high = row(DISCOUNTED)
         # something follows each time that a history occurs, so what follows once is what is left
         once = often - np.bincount(self.history, total, n) - at(sum(r * x for r, x in rows) + high)
@@ -349,7 +372,7 @@ def answer_grams(kind: int):
         owner = entry[held]
         if kind == PAIRS:
             code = np.concatenate([np.cumsum(m[9], dtype=np.int64)[m[7]] for *_, m in said])
-            lower = np.concatenate([m[8][m[7]] for *_, m in said]).astype(np.int64)
+            lower = np.concatenate([unzigzag(m[8])[m[7]] for *_, m in said])
         else:
             code, lower = gather(7), gather(8)
         span = int(code.max(initial=0)) + 1
@@ -371,7 +394,7 @@ def answer_grams(kind: int):
             mine, grams = others[1:, at : at + len(m[0])], group[pair : pair + len(m[4])]
             at, pair = at + len(m[0]), pair + len(m[4])
             numbers = [steps(grams.astype(np.uint32)), np.packbits(shared[grams])] if kind == PAIRS else []
-            out.append((p, chunk, kind, bundle(*map(tight, mine), tight(total[grams]), *numbers)))
+            out.append((p, chunk, kind, bundle(*map(tight, (*sparse(mine), total[grams])), *numbers)))
         return messages(out)
 
     return run
@@ -400,7 +423,7 @@ class Pairs:
         g = Grams(t.before(), t.place, t.trained, words)
         total = np.append(count, ends)  # the start mark occurs once per text, like the end
         wanted = np.append(shared, True) & (np.bincount(g.history, minlength=words + 1) > 0)
-        g.deal(wanted, shared[g.word], np.append(name, START), total, np.append(t.key, np.uint64(2)), mix(t.key), parts)
+        g.deal(wanted, shared[g.word], np.append(name, START), total, part_of(mix(np.append(t.key, np.uint64(2))), parts), mix(t.key), parts)
         return cls(t, name, count, g, total)
 
     def lower(self) -> np.ndarray:
@@ -426,12 +449,13 @@ class Triples:
         inner = np.flatnonzero(inner)
         g = Grams(pairs.of[inner - 1], t.place[inner], t.trained[inner], len(t.key))
         lower = pairs.of[inner[g.at]]
-        said = [(part, unbundle(x)[SUMS[PAIRS] :]) for part, _, x in letters(answers, PAIRS)]
+        said = [(part, unbundle(x)[SUMS[PAIRS] + 1 :]) for part, _, x in letters(answers, PAIRS)]
         name, shared = np.full(len(pairs.word), -1, np.int64), np.zeros(len(pairs.word), bool)
         name[pairs.sent] = _joined([np.int64(part) << 32 | np.cumsum(numbers, dtype=np.int64) for part, (numbers, _) in said])
         shared[pairs.sent] = _joined([np.unpackbits(bits, count=len(numbers)) for _, (numbers, bits) in said], bool)
         wanted = shared & (np.bincount(g.history, minlength=len(shared)) > 0)
-        g.deal(wanted, shared[lower], name, p.total, mix(name.view(np.uint64)), mix(t.key), parts)
+        # where the pair is numbered: then the numbers that go to a part lie close together
+        g.deal(wanted, shared[lower], name, p.total, name >> 32, mix(t.key), parts)
         return cls(g, inner, lower)
 
 
