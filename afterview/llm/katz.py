@@ -81,6 +81,23 @@ def unzigzag(z: np.ndarray) -> np.ndarray:
     return np.cumsum(z >> 1 ^ -(z & 1))
 
 
+def inner_steps(a: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Differences within runs of the given sizes, whose first numbers stay; below zero they wrap round."""
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    a = tight(a)
+    out = steps(a)
+    out[first] = a[first]
+    return out
+
+
+def inner_sums(d: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Undoes inner_steps."""
+    sizes = sizes[sizes > 0]
+    first = np.cumsum(sizes) - sizes
+    out = np.cumsum(d, dtype=d.dtype)
+    return out - np.repeat(out[first] - d[first], sizes)
+
+
 def sparse(columns: np.ndarray) -> list[np.ndarray]:
     """Which of at most 16 columns are above zero in each row, and each column's numbers that are."""
     return [sum(((c > 0).astype(np.uint16) << i for i, c in enumerate(columns)), np.uint16(0)), *(c[c > 0] for c in columns)]
@@ -186,21 +203,23 @@ def ask_words(parts: int):
 
 
 def answer_words(table: pa.Table) -> pa.Table:
-    """To each chunk: the number of its words within the part, their training counts,
-    and whether other chunks have them (yes, if no other chunk asks the part)."""
+    """To each chunk: which of its words other chunks have (all, if no other chunk asks
+    the part); their numbers within the part, and their training counts in falling order."""
     said = [(p, c, *unbundle(d)) for p, c, d in letters(table)]
     own = [np.cumsum(k, dtype=np.uint64) for _, _, k, _ in said]
     keys, place = np.unique(np.concatenate(own), return_inverse=True)
     total = np.bincount(place, np.concatenate([c for *_, c in said]), len(keys)).astype(np.int64)
     shared = np.bincount(place, minlength=len(keys)) >= min(2, len(said))
     rank = np.empty(len(keys), np.int64)
-    rank[np.argsort(-total, kind="stable")] = np.arange(len(keys))
+    rank[np.lexsort((-total, ~shared))] = np.arange(len(keys))
     out = [_stat(said[0][0], n=int(total.sum()), v=int((total > 0).sum()))]
     at = 0
     for (part, chunk, *_), k in zip(said, own, strict=True):
         mine = place[at : at + len(k)]
         at += len(k)
-        out.append((part, chunk, WORDS, bundle(tight(rank[mine]), tight(total[mine]), np.packbits(shared[mine]))))
+        named = mine[shared[mine]]
+        by = rank[named]
+        out.append((part, chunk, WORDS, bundle(np.packbits(shared[mine]), tight(by), tight(steps(total[named[np.argsort(-by)]])))))
     return messages(out)
 
 
@@ -208,12 +227,22 @@ def _joined(arrays: list[np.ndarray], dtype: type = np.int64) -> np.ndarray:
     return np.concatenate([np.zeros(0, dtype), *arrays]).astype(dtype)
 
 
-def _words(answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The number (place * parts + part), the training count of each distinct word,
-    and whether other chunks have it."""
+def _bits(packed: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+    return _joined([np.unpackbits(x, count=n) for x, n in zip(packed, sizes.tolist(), strict=True)], bool)
+
+
+def _words(t: Tokens, answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number (place * parts + part) of each distinct word that other chunks have,
+    the training count of all, and whether other chunks have it."""
     said = [(part, *unbundle(data)) for part, _, data in letters(answers, WORDS)]
-    name = _joined([place.astype(np.int64) * parts + part for part, place, *_ in said])
-    return name, _joined([count for _, _, count, _ in said]), _joined([np.unpackbits(bits, count=len(place)) for _, place, _, bits in said], bool)
+    shared = _bits([bits for _, bits, *_ in said], np.array([b - a for _, a, b in by_part(t.key, parts)], np.int64))
+    name, count = np.full(len(t.key), NO_ID), t.train()
+    name[shared] = _joined([rank.astype(np.int64) * parts + part for part, _, rank, _ in said])
+    counts = [np.empty(len(rank), np.int64) for _, _, rank, _ in said]
+    for out, (_, _, rank, risen) in zip(counts, said, strict=True):
+        out[np.argsort(-rank.astype(np.int64))] = np.cumsum(risen, dtype=np.int64)
+    count[shared] = _joined(counts)
+    return name, count, shared
 
 
 class Grams:
@@ -234,7 +263,7 @@ class Grams:
     def deal(self, wanted: np.ndarray, named: np.ndarray, name: np.ndarray, total: np.ndarray, home: np.ndarray, salted: np.ndarray, parts: int) -> None:
         """Puts the n-grams of the wanted histories in the order in which they are sent.
         wanted, name, total, home: of each history; named: the n-grams that other chunks
-        may have; salted: a hash of each word. The shares of a history go to the part
+        may have trained on; salted: a hash of each word. The shares of a history go to the part
         `home` and those behind it."""
         histories = np.flatnonzero(wanted)
         shares = 1 + total[histories] // HOT_CONTEXT
@@ -251,6 +280,10 @@ class Grams:
         of, split = np.zeros(len(wanted), np.int64), np.ones(len(wanted), np.int64)
         of[histories], split[histories] = at, shares
         held = wanted[self.history]
+        self.entry_asks = (split > 1)[self.entry_history]  # a share doesn't hear whether another has something unseen
+        unseen = np.zeros(len(wanted), bool)
+        unseen[self.history[~named & (self.train == 0)]] = True
+        self.entry_asks |= unseen[self.entry_history]
         self.sent, self.size, self.sent_bounds = self._dealt(held & named, of, split, salted)
         self.rest, self.rest_size, self.rest_bounds = self._dealt(held & ~named & (self.train > 0), of, split, salted)
 
@@ -269,9 +302,10 @@ class Grams:
         return which[np.repeat(begin - ends + size, size) + np.arange(len(which))], size, np.append(0, ends)[self.entry_bounds]
 
     def letters(self, chunk: int, kind: int, word_name: np.ndarray, lower: np.ndarray, parts: int) -> list[tuple[int, int, int, bytes]]:
-        """lower: the count of each n-gram's end in the order below."""
+        """word_name: of each word, for triples of each n-gram's word after its history;
+        lower: the count of each n-gram's end in the order below."""
         out = []
-        for p in np.flatnonzero(np.diff(self.entry_bounds)).tolist():
+        for p in self.asked().tolist():
             e, b, r = slice(*self.entry_bounds[p : p + 2]), self.sent[slice(*self.sent_bounds[p : p + 2])], self.rest[slice(*self.rest_bounds[p : p + 2])]
             entries = (steps(self.entry_name[e] - START), self.entry_salt[e], self.size[e], self.rest_size[e])
             if kind == PAIRS:  # whose lower counts go by the word
@@ -279,30 +313,47 @@ class Grams:
                 new = heads(words)
                 index = np.empty(len(b), np.int64)
                 index[at] = np.cumsum(new) - 1
-                ends = (index, zigzag(lower[b[at[new]]]), steps(word_name[words[new]]))  # the counts nearly fall
+                place, ends = index, (zigzag(lower[b[at[new]]]), steps(word_name[words[new]]))  # the counts nearly fall
             else:
-                ends = (word_name[self.word[b]], lower[b])
-            out.append((p, chunk, kind, bundle(*map(tight, (*entries, self.train[b], self.train[r], lower[r], *ends)))))
+                place, ends = word_name[b], (np.where(self.train[b] > 0, lower[b], 0),)
+            out.append((p, chunk, kind, bundle(*map(tight, (*entries, self.train[b], self.train[r], lower[r], np.packbits(self.entry_asks[e]))), inner_steps(place, self.size[e]), *map(tight, ends))))
         own = np.ones(len(self.word), bool)
         own[self.sent] = False
         return [(chunk % parts, chunk, STATS, bundle(np.array(_rare(self.train[own]), np.int64))), *out]
 
+    def asked(self) -> np.ndarray:
+        """The parts that are asked, and so answer."""
+        return np.flatnonzero(np.diff(self.entry_bounds))
+
+    def shared(self, said: list[list[np.ndarray]]) -> np.ndarray:
+        """Of the pairs sent, which other chunks have."""
+        return _bits([x[SUMS[PAIRS] + 2] for x in said], np.diff(self.sent_bounds)[self.asked()])
+
     def totals(self, answers: pa.Table, kind: int) -> np.ndarray:
-        """Training counts of the n-grams, as the parts say for those sent."""
+        """Training counts of the n-grams: the chunk's own, and what the parts add to those sent."""
         out = self.train.astype(np.int64)
-        out[self.sent] = _joined([unbundle(x)[SUMS[kind]] for _, _, x in letters(answers, kind)])
+        said = [unbundle(x) for _, _, x in letters(answers, kind)]
+        to = self.sent[self.shared(said)] if kind == PAIRS else self.sent
+        out[to] += _joined([x[SUMS[kind] + 1] for x in said])
         return out
 
-    def masses(self, answers: pa.Table, kind: int, often: np.ndarray, total: np.ndarray, star: np.ndarray, lower: np.ndarray, d: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each history the sum of the discounted counts of its n-grams, and that of their
-        `lower`: of those of this chunk, and of the others as the parts say. often: the
+    def masses(self, answers: pa.Table, kind: int, often: np.ndarray, total: np.ndarray, star: np.ndarray, lower: np.ndarray, d: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each history that has something unseen here the sum of the discounted counts of
+        its n-grams, and that of their `lower`: of those of this chunk, and of the others as
+        the parts say; of each history whether any of its counts is discounted. often: the
         counts of the histories; total, star, lower: the counts of the n-grams, plain and
         discounted, and what each has in the order below; d, below: the discounts of both orders."""
         n = len(often)
         mass, low = np.bincount(self.history, star, n), np.bincount(self.history, np.where(total > 0, lower, 0), n)
+        some = np.zeros(n, bool)
+        some[self.history[(total > 0) & (total <= DISCOUNTED)]] = True
         said = [unbundle(x) for _, _, x in letters(answers, kind)]
         if not said:
-            return mass, low
+            return mass, low, some
+        some[self.entry_history[_bits([h[SUMS[kind]] for h in said], np.diff(self.entry_bounds)[self.asked()])]] = True
+        asks = self.entry_asks.copy()
+        asks[np.repeat(np.arange(len(self.size)), self.size)[total[self.sent] == 0]] = True
+        history = self.entry_history[asks]
         filled = np.concatenate([h[0] for h in said])
 
         def row(i: int) -> np.ndarray:
@@ -310,23 +361,27 @@ class Grams:
             out[np.flatnonzero(filled >> (i - 1) & 1)] = np.concatenate([h[i] for h in said])
             return out
 
-        at = lambda x: np.bincount(self.entry_history, x, n)  # noqa: E731 (shares of a history together)
+        at = lambda x: np.bincount(history, x, n)  # noqa: E731 (shares of a history together)
         rows = [(r, row(r - 1)) for r in range(2, DISCOUNTED + 1)]  # row 0 of sums_of is not sent
         high = row(DISCOUNTED)
         # something follows each time that a history occurs, so what follows once is what is left
         once = often - np.bincount(self.history, total, n) - at(sum(r * x for r, x in rows) + high)
         mass += at(sum(d[r] * r * x for r, x in rows) + high)
-        mass[self.histories] += d[1] * once[self.histories]
+        heard = np.zeros(n, bool)
+        heard[history] = True
+        mass[heard] += d[1] * once[heard]
         if kind == PAIRS:
-            return mass, low + at(row(DISCOUNTED + 1))
-        return mass, low + at(sum(below[r] * r * row(DISCOUNTED + r) for r in range(1, DISCOUNTED + 1)) + row(2 * DISCOUNTED + 1))
+            return mass, low + at(row(DISCOUNTED + 1)), some
+        return mass, low + at(sum(below[r] * r * row(DISCOUNTED + r) for r in range(1, DISCOUNTED + 1)) + row(2 * DISCOUNTED + 1)), some
 
 
 def spread(owner: np.ndarray, counts: np.ndarray, out: np.ndarray) -> None:
     """By owner: how many counts are 1, 2, ... DISCOUNTED, and the sum of the greater ones."""
-    for r in range(1, DISCOUNTED + 1):
-        out[r - 1] = np.bincount(owner[counts == r], minlength=out.shape[1])
-    high = np.flatnonzero(counts > DISCOUNTED)
+    n = out.shape[1]
+    low = counts <= DISCOUNTED
+    at = owner[low]
+    out[:DISCOUNTED] = np.bincount(at * (DISCOUNTED + 1) + counts[low], minlength=n * (DISCOUNTED + 1)).reshape(n, -1).T[1:]
+    high = np.flatnonzero(~low)
     out[DISCOUNTED] = np.bincount(owner[high], counts[high], out.shape[1])
 
 
@@ -348,9 +403,11 @@ def sums_of(owner: np.ndarray, total: np.ndarray, lower: np.ndarray, n: int, kin
 
 
 def answer_grams(kind: int):
-    """To each chunk: for its entries the sums of sums_of but for the first, of what it has
-    not itself; the training count of each n-gram that it has, and (of pairs) the
-    n-gram's number in the part and whether other chunks have it."""
+    """To each chunk: for those of its entries in which it has something unseen the sums of
+    sums_of but for the first, of what it has not itself; for all entries whether any count
+    is discounted; what the other chunks add to the training count of each n-gram that it
+    has; and (of pairs) which of them other chunks have, the number of the entry's first
+    such pair in the part and how far each comes behind it."""
 
     def run(table: pa.Table) -> pa.Table:
         said = [(p, c, unbundle(d)) for p, c, d in letters(table, kind)]
@@ -370,31 +427,56 @@ def answer_grams(kind: int):
         entries = int(new.sum())
         held, held_rest = (np.repeat(np.arange(len(entry)), gather(i)) for i in (2, 3))
         owner = entry[held]
+        places = [inner_sums(m[8], m[2]) for *_, m in said]
         if kind == PAIRS:
-            code = np.concatenate([np.cumsum(m[9], dtype=np.int64)[m[7]] for *_, m in said])
-            lower = np.concatenate([unzigzag(m[8])[m[7]] for *_, m in said])
+            code = np.concatenate([np.cumsum(m[10], dtype=np.int64)[x] for (*_, m), x in zip(said, places, strict=True)])
+            lower = np.concatenate([unzigzag(m[9])[x] for (*_, m), x in zip(said, places, strict=True)])
         else:
-            code, lower = gather(7), gather(8)
+            code, lower = _joined(places), gather(9)
         span = int(code.max(initial=0)) + 1
         order = in_order(owner * span + code)[1] if entries * span < 2**62 else np.lexsort((code, owner))
         new = heads(owner[order], code[order])
         head = np.flatnonzero(new)
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
-        total = np.add.reduceat(gather(4)[order], head) if len(head) else np.zeros(0, np.int64)
-        first, rest, rest_lower = order[head], gather(5), gather(6)
-        sums = sums_of(owner[first], total, lower[first], entries, kind) + sums_of(entry[held_rest], rest, rest_lower, entries, kind)
-        others = sums_of(np.concatenate([held, held_rest]), np.concatenate([total[group], rest]), np.concatenate([lower, rest_lower]), len(entry), kind)
+        of, train, rest, rest_lower = owner[order[head]], gather(4), gather(5), gather(6)
+        total = np.add.reduceat(train[order], head) if len(head) else np.zeros(0, np.int64)
+        if kind == PAIRS:
+            lower = lower[order[head]]
+        else:
+            lower = np.maximum.reduceat(lower[order], head) if len(head) else lower
+        del order, new
+        added = total[group]
+        some = np.zeros(entries, bool)
+        some[of[(total > 0) & (total <= DISCOUNTED)]] = True
+        some[entry[held_rest[rest <= DISCOUNTED]]] = True
+        asks = _bits([m[7] for *_, m in said], np.array([len(m[0]) for *_, m in said]))
+        asks[held[added == 0]] = True
+        sums = sums_of(of, total, lower, entries, kind) + sums_of(entry[held_rest], rest, rest_lower, entries, kind)
+        to, mine, mine_rest = np.cumsum(asks) - 1, asks[held], asks[held_rest]
+        others = sums_of(to[np.concatenate([held[mine], held_rest[mine_rest]])], np.concatenate([added[mine], rest[mine_rest]]), np.concatenate([lower[group[mine]], rest_lower[mine_rest]]), int(asks.sum()), kind)
+        added -= train
         for i, own in enumerate(others):
-            np.subtract(sums[i, entry], own, out=own)
+            np.subtract(sums[i, entry[asks]], own, out=own)
         shared = np.bincount(group, minlength=len(head)) > 1  # by chunks, whether they train on it or not
+        number = np.cumsum(shared) - 1
+        base = np.cumsum(np.bincount(of[shared], minlength=entries))
+        base = np.append(0, base[:-1])
+        behind = number - base[of]
         out = [_stat(part, **{"pairs" if kind == PAIRS else "triples": (rare + _rare(total)).tolist()})]
-        at = pair = 0
+        at = gram = ask = 0
         for p, chunk, m in said:
-            mine, grams = others[1:, at : at + len(m[0])], group[pair : pair + len(m[4])]
-            at, pair = at + len(m[0]), pair + len(m[4])
-            numbers = [steps(grams.astype(np.uint32)), np.packbits(shared[grams])] if kind == PAIRS else []
-            out.append((p, chunk, kind, bundle(*map(tight, (*sparse(mine), total[grams])), *numbers)))
+            its, grams, more = entry[at : at + len(m[0])], group[gram : gram + len(m[4])], int(asks[at : at + len(m[0])].sum())
+            extra = added[gram : gram + len(grams)]
+            answer = [*sparse(others[1:, ask : ask + more]), np.packbits(some[its])]
+            if kind == PAIRS:
+                both = shared[grams]
+                size = np.bincount(held[gram : gram + len(grams)][both] - at, minlength=len(its))
+                numbers = [np.packbits(both), tight(steps(base[its])), inner_steps(behind[grams[both]], size)]
+            else:
+                both, numbers = slice(None), []
+            out.append((p, chunk, kind, bundle(*map(tight, answer), tight(extra[both]), *numbers)))
+            at, gram, ask = at + len(its), gram + len(grams), ask + more
         return messages(out)
 
     return run
@@ -414,16 +496,16 @@ class Pairs:
     @classmethod
     def of(cls, table: pa.Table, answers: pa.Table, parts: int) -> Pairs:
         t = Tokens(table)
-        name, count, shared = _words(answers, parts)
+        name, count, shared = _words(t, answers, parts)
         words = len(t.key)
         ends = count[np.searchsorted(t.key, END)] if words else 0
-        order = np.argsort(name)
+        order = np.argsort(name, kind="stable")
         t.renumber(order)
         name, count, shared = name[order], count[order], shared[order]
         g = Grams(t.before(), t.place, t.trained, words)
         total = np.append(count, ends)  # the start mark occurs once per text, like the end
-        wanted = np.append(shared, True) & (np.bincount(g.history, minlength=words + 1) > 0)
-        g.deal(wanted, shared[g.word], np.append(name, START), total, part_of(mix(np.append(t.key, np.uint64(2))), parts), mix(t.key), parts)
+        wanted = np.append(shared, True) & (np.bincount(g.history, minlength=words + 1) > 0) & (total > 0)
+        g.deal(wanted, (shared & (count > 0))[g.word], np.append(name, START), total, part_of(mix(np.append(t.key, np.uint64(2))), parts), mix(t.key), parts)
         return cls(t, name, count, g, total)
 
     def lower(self) -> np.ndarray:
@@ -440,6 +522,7 @@ class Triples:
     grams: Grams
     inner: np.ndarray  # the tokens that have two before them
     lower: np.ndarray  # of each triple the pair at its end
+    place: np.ndarray  # of that pair's word among all that follow the middle word, where other chunks have the pair
 
     @classmethod
     def of(cls, p: Pairs, answers: pa.Table, parts: int) -> Triples:
@@ -449,14 +532,20 @@ class Triples:
         inner = np.flatnonzero(inner)
         g = Grams(pairs.of[inner - 1], t.place[inner], t.trained[inner], len(t.key))
         lower = pairs.of[inner[g.at]]
-        said = [(part, unbundle(x)[SUMS[PAIRS] + 1 :]) for part, _, x in letters(answers, PAIRS)]
-        name, shared = np.full(len(pairs.word), -1, np.int64), np.zeros(len(pairs.word), bool)
-        name[pairs.sent] = _joined([np.int64(part) << 32 | np.cumsum(numbers, dtype=np.int64) for part, (numbers, _) in said])
-        shared[pairs.sent] = _joined([np.unpackbits(bits, count=len(numbers)) for _, (numbers, bits) in said], bool)
-        wanted = shared & (np.bincount(g.history, minlength=len(shared)) > 0)
+        said = [unbundle(x) for *_, x in letters(answers, PAIRS)]
+        name, place, shared = np.full(len(pairs.word), -1, np.int64), np.zeros(len(pairs.word), np.int64), np.zeros(len(pairs.word), bool)
+        both = pairs.shared(said)
+        to, entry = pairs.sent[both], np.repeat(np.arange(len(pairs.size)), pairs.size)[both]
+        shared[to] = True
+        size = np.bincount(entry, minlength=len(pairs.size))
+        behind = _joined([inner_sums(x[-1], size[slice(*pairs.entry_bounds[k : k + 2])]) for k, x in zip(pairs.asked(), said, strict=True)])
+        base = _joined([np.cumsum(x[-2], dtype=np.int64) | k << 32 for k, x in zip(pairs.asked(), said, strict=True)])
+        name[to] = base[entry] + behind
+        place[to] = behind * (1 + p.often[pairs.entry_history[entry]] // HOT_CONTEXT) + pairs.entry_salt[entry]
+        wanted = shared & (np.bincount(g.history, minlength=len(shared)) > 0) & (p.total > 0)
         # where the pair is numbered: then the numbers that go to a part lie close together
-        g.deal(wanted, shared[lower], name, p.total, name >> 32, mix(t.key), parts)
-        return cls(g, inner, lower)
+        g.deal(wanted, (shared & (p.total > 0))[lower], name, p.total, name >> 32, mix(t.key), parts)
+        return cls(g, inner, lower, place)
 
 
 def ask_pairs(parts: int):
@@ -476,7 +565,7 @@ def ask_triples(parts: int):
         p = Pairs.of(table, answers, parts)
         p.listen(answers)
         t = Triples.of(p, answers, parts)
-        return messages(t.grams.letters(table["chunk"][0].as_py(), TRIPLES, p.name, p.total[t.lower], parts))
+        return messages(t.grams.letters(table["chunk"][0].as_py(), TRIPLES, t.place[t.lower], p.total[t.lower], parts))
 
     return run
 
@@ -499,15 +588,14 @@ def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return d[np.minimum(c, DISCOUNTED + 1)] * c
 
 
-def history_weights(total: np.ndarray, mass: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def history_weights(total: np.ndarray, mass: np.ndarray, below: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(scale of the discounted counts of seen words, alpha) of each history from its
-    count, the sum of those discounted counts and the lower order's mass of the same
-    words. A history whose seen words take all the mass gives one count of it to the
-    others, so that alpha is above zero everywhere."""
+    count, the sum of those discounted counts, the lower order's mass of the same
+    words, and whether any is discounted. A history whose seen words take all the mass
+    gives one count of it to the others, so that alpha is above zero everywhere."""
     safe = np.maximum(total, 1)
-    mass = mass / safe
-    scale = np.where(1 - mass > 1e-12, 1.0, safe / (safe + 1.0))
-    alpha = np.where(total > 0, (1 - mass * scale) / np.maximum(1 - below, 1e-300), 1.0)
+    scale = np.where(some, 1.0, safe / (safe + 1.0))
+    alpha = np.where(total > 0, (1 - mass / safe * scale) / np.maximum(1 - below, 1e-300), 1.0)
     return scale / safe, alpha
 
 
@@ -526,8 +614,8 @@ def evaluate(parts: int, order: int = ORDER):
         t, g, d = p.tokens, p.grams, discounts(stats["pairs"])
         one = (p.count + 1.0) / (n + v + 1.0)
         star = discounted(p.total, d)
-        mass, low = g.masses(answers, PAIRS, p.often, p.total, star, p.lower() + 1.0, d, d)
-        scale, alpha = history_weights(p.often, mass, low / (n + v + 1.0))
+        mass, low, some = g.masses(answers, PAIRS, p.often, p.total, star, p.lower() + 1.0, d, d)
+        scale, alpha = history_weights(p.often, mass, low / (n + v + 1.0), some)
         # of each distinct pair, then of each token: seen at this order, or down by one
         two = np.where(p.total > 0, star * scale[g.history], alpha[g.history] * one[g.word])
         chance = np.log10(two)[g.of]
@@ -535,9 +623,9 @@ def evaluate(parts: int, order: int = ORDER):
             x, d3 = Triples.of(p, answers, parts), discounts(stats["triples"])
             own, h = x.grams.totals(answers, TRIPLES), x.grams.history
             star3 = discounted(own, d3)
-            mass, low = x.grams.masses(answers, TRIPLES, p.total, own, star3, star[x.lower], d3, d)
+            mass, low, some = x.grams.masses(answers, TRIPLES, p.total, own, star3, star[x.lower], d3, d)
             # the word that a history (u, v) shares with the pairs (v, w) is its last
-            scale3, alpha3 = history_weights(p.total, mass, low * scale[g.word])
+            scale3, alpha3 = history_weights(p.total, mass, low * scale[g.word], some)
             three = np.where(own > 0, star3 * scale3[h], alpha3[h] * two[x.lower])
             chance[x.inner] = np.log10(three)[x.grams.of]
         add = lambda a: np.add.reduceat(a, t.first)
