@@ -380,7 +380,7 @@ def spread(owner: np.ndarray, counts: np.ndarray, out: np.ndarray) -> None:
     n = out.shape[1]
     low = counts <= DISCOUNTED
     at = owner[low]
-    out[:DISCOUNTED] = np.bincount(at * (DISCOUNTED + 1) + counts[low], minlength=n * (DISCOUNTED + 1)).reshape(n, -1).T[1:]
+    out[:DISCOUNTED] = np.bincount(at * (DISCOUNTED + 1) + counts[low], minlength=n * (DISCOUNTED + 1)).reshape(n, DISCOUNTED + 1).T[1:]
     high = np.flatnonzero(~low)
     out[DISCOUNTED] = np.bincount(owner[high], counts[high], out.shape[1])
 
@@ -654,8 +654,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         tables.append(chunks.answer(chunks.hear(_all(tables), ask(parts), MESSAGE), answer_grams(kind)))
     stat = F.from_json(F.col("data").cast("string"), "n long, v long, pairs array<long>, triples array<long>")
     each = lambda c: F.array(*(F.sum(F.col(f"s.{c}")[i]) for i in range(DISCOUNTED + 1))).alias(c)
-    # all columns are used and the filter is not pushed down, so that the exchange is the one that the chunks hear from
-    found = _all(tables).where((F.col("kind") == STATS) & (F.rand() >= 0)).select("part", "chunk", stat.alias("s"))
+    # all columns are used and the filter, being random in form, is not pushed down, taken apart or given a null check: the exchange is the one that the chunks hear from
+    found = _all(tables).where(F.coalesce(F.col("kind"), F.lit(0)) + F.floor(F.rand()) == STATS).select("part", "chunk", stat.alias("s"))
     added = found.agg(F.sum("s.n").alias("n"), F.sum("s.v").alias("v"), each("pairs"), each("triples"), F.max("part").alias("_1"), F.max("chunk").alias("_2"))
     told = added.select(F.lit(-1).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(chunks.count - 1))).alias("chunk"), F.lit(STATS).alias("kind"), F.to_json(F.struct("n", "v", "pairs", "triples", "_1", "_2")).cast("binary").alias("data"))
     return chunks.hear(_all([*tables, told.repartition(chunks.count, "chunk")]), evaluate(parts, order), SCHEMA)

@@ -662,6 +662,59 @@ def test_hot_histories_are_split_over_parts(monkeypatch):
     assert any(len(x) > 1 for x in parts.values())
 
 
+def katz_chunks(texts):
+    """Chunks as the operator's functions take them, of (doc_id, text) each."""
+    import pyarrow as pa
+
+    return [pa.table({"chunk": pa.array([c] * len(rows), pa.int32()), "doc_id": pa.array([i for i, _ in rows], pa.int64()), "text": pa.array([t.encode() for _, t in rows], pa.large_binary())}) for c, rows in enumerate(texts)]
+
+
+def test_katz_messages_hold_only_what_is_not_known():
+    """No number of a word or pair that one chunk alone has, and sums only after histories with something unseen."""
+    import pyarrow as pa
+
+    from afterview.llm import katz
+    from afterview.llm.packs import letters, unbundle
+
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    trained, held = [i for i in range(99) if not out(i)], [i for i in range(99) if out(i)]
+    chunks = katz_chunks([[(trained[0], "a b c a b d one"), (trained[1], "a b c")], [(trained[2], "a b c a b e two")], [(trained[3], "a b c"), (held[0], "a b c c")]])
+    ask = lambda f, told: pa.concat_tables([f(t, *[x.filter(pa.compute.equal(x["chunk"], c)) for x in told]) for c, t in enumerate(chunks)])
+    words = katz.answer_words(ask(katz.ask_words(1), []))
+    for (_, c, data), n, alone in zip(letters(words, katz.WORDS), (6, 6, 4), (2, 2, 0), strict=True):
+        bits, rank, totals = unbundle(data)
+        assert len(rank) == len(totals) == n - alone == np.unpackbits(bits).sum() and rank.max() < 4, c
+    pairs = katz.answer_grams(katz.PAIRS)(ask(katz.ask_pairs(1), [words]))
+    at = katz.SUMS[katz.PAIRS]
+    sums = []
+    for _, _, data in letters(pairs, katz.PAIRS):
+        m = unbundle(data)
+        assert len(m[at + 1]) == len(m[at + 4]) == np.unpackbits(m[at + 2]).sum()
+        sums.append(len(m[0]))
+    assert sums == [0, 0, 1]  # only c c was not seen
+
+
+def test_inner_steps_are_undone():
+    from afterview.llm.katz import inner_steps, inner_sums
+
+    rng = random.Random(3)
+    for top in (2, 200, 300, 70_000, 1 << 40):
+        sizes = np.array([rng.choice((0, 0, 1, 2, 9)) for _ in range(50)])
+        a = np.array([rng.randrange(top) for _ in range(sizes.sum())], np.int64)  # falling within runs as well
+        assert (inner_sums(inner_steps(a, sizes), sizes) == a).all()
+    none = np.zeros(0, np.int64)
+    assert len(inner_sums(inner_steps(none, none), none)) == 0
+
+
+def test_katz_parts_answer_once(docs):
+    """The sums over the corpus are read from the exchange that the chunks hear from: no filter stands below it."""
+    from afterview.llm.katz import score_documents
+
+    plan = score_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Union") :]
+    assert "RepartitionByExpression" in below and "Aggregate" in plan and not re.search(r"Filter .*kind", plan.rpartition("Aggregate")[2].partition("Union")[2])
+
+
 def test_shards(spark, docs, corpus, empty):
     from afterview.llm.shards import Permutation, shard_rows
 
