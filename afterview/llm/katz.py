@@ -70,17 +70,6 @@ def held_out(doc_ids: np.ndarray) -> np.ndarray:
     return np.array([i != NO_ID and zlib.crc32(str(i).encode()) % 7 == 2 for i in doc_ids.tolist()], bool)
 
 
-def zigzag(a: np.ndarray) -> np.ndarray:
-    """Steps up and down as numbers from 0 on."""
-    d = steps(a.astype(np.int64))
-    return d << 1 ^ d >> 63
-
-
-def unzigzag(z: np.ndarray) -> np.ndarray:
-    z = z.astype(np.int64)
-    return np.cumsum(z >> 1 ^ -(z & 1))
-
-
 def inner_steps(a: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Differences within runs of the given sizes, whose first numbers stay; below zero they wrap round."""
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
@@ -138,6 +127,11 @@ def heads(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def runs(a: np.ndarray) -> np.ndarray:
+    """How often each number stands in a row."""
+    return np.diff(np.append(np.flatnonzero(heads(a)), len(a))) if len(a) else np.zeros(0, np.int64)
+
+
 class Tokens:
     """The tokens of a chunk: their distinct keys and the place of each among them."""
 
@@ -204,14 +198,17 @@ def ask_words(parts: int):
 
 def answer_words(table: pa.Table) -> pa.Table:
     """To each chunk: which of its words other chunks have (all, if no other chunk asks
-    the part); their numbers within the part, and their training counts in falling order."""
+    the part); their numbers within the part, by falling count; of the last number to the
+    first the training counts, and of each count that occurs, the number at which it begins."""
     said = [(p, c, *unbundle(d)) for p, c, d in letters(table)]
     own = [np.cumsum(k, dtype=np.uint64) for _, _, k, _ in said]
     keys, place = np.unique(np.concatenate(own), return_inverse=True)
     total = np.bincount(place, np.concatenate([c for *_, c in said]), len(keys)).astype(np.int64)
     shared = np.bincount(place, minlength=len(keys)) >= min(2, len(said))
     rank = np.empty(len(keys), np.int64)
-    rank[np.lexsort((-total, ~shared))] = np.arange(len(keys))
+    order = np.lexsort((-total, ~shared))
+    rank[order] = np.arange(len(keys))
+    falling = -total[order[: shared.sum()]]
     out = [_stat(said[0][0], n=int(total.sum()), v=int((total > 0).sum()))]
     at = 0
     for (part, chunk, *_), k in zip(said, own, strict=True):
@@ -219,7 +216,9 @@ def answer_words(table: pa.Table) -> pa.Table:
         at += len(k)
         named = mine[shared[mine]]
         by = rank[named]
-        out.append((part, chunk, WORDS, bundle(np.packbits(shared[mine]), tight(by), tight(steps(total[named[np.argsort(-by)]])))))
+        count = total[named[np.argsort(-by)]]
+        begins = np.searchsorted(falling, -count[heads(count)][::-1]) if len(count) else count
+        out.append((part, chunk, WORDS, bundle(np.packbits(shared[mine]), *map(tight, (by, steps(count), steps(begins))))))
     return messages(out)
 
 
@@ -231,18 +230,25 @@ def _bits(packed: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     return _joined([np.unpackbits(x, count=n) for x, n in zip(packed, sizes.tolist(), strict=True)], bool)
 
 
-def _words(t: Tokens, answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The number (place * parts + part) of each distinct word that other chunks have,
-    the training count of all, and whether other chunks have it."""
+def _words(t: Tokens, answers: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The number (place * parts + part) of each distinct word that other chunks have, and
+    that among the words of the same count; the training count of all, and whether other
+    chunks have it."""
     said = [(part, *unbundle(data)) for part, _, data in letters(answers, WORDS)]
     shared = _bits([bits for _, bits, *_ in said], np.array([b - a for _, a, b in by_part(t.key, parts)], np.int64))
-    name, count = np.full(len(t.key), NO_ID), t.train()
-    name[shared] = _joined([rank.astype(np.int64) * parts + part for part, _, rank, _ in said])
-    counts = [np.empty(len(rank), np.int64) for _, _, rank, _ in said]
-    for out, (_, _, rank, risen) in zip(counts, said, strict=True):
-        out[np.argsort(-rank.astype(np.int64))] = np.cumsum(risen, dtype=np.int64)
-    count[shared] = _joined(counts)
-    return name, count, shared
+    name, near, count = np.full(len(t.key), NO_ID), np.full(len(t.key), NO_ID), t.train()
+    names, nears, counts = [], [], []
+    for part, _, rank, risen, begins in said:
+        rank, total, at = rank.astype(np.int64), np.cumsum(risen, dtype=np.int64), np.argsort(-rank.astype(np.int64))
+        begin, each = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
+        if len(rank):
+            begin[at] = np.cumsum(begins, dtype=np.int64)[::-1][np.cumsum(heads(total)) - 1]
+        each[at] = total
+        names.append(rank * parts + part)
+        nears.append((rank - begin) * parts + part)
+        counts.append(each)
+    name[shared], near[shared], count[shared] = _joined(names), _joined(nears), _joined(counts)
+    return name, near, count, shared
 
 
 class Grams:
@@ -302,18 +308,19 @@ class Grams:
         return which[np.repeat(begin - ends + size, size) + np.arange(len(which))], size, np.append(0, ends)[self.entry_bounds]
 
     def letters(self, chunk: int, kind: int, word_name: np.ndarray, lower: np.ndarray, parts: int) -> list[tuple[int, int, int, bytes]]:
-        """word_name: of each word, for triples of each n-gram's word after its history;
+        """word_name: of each word among those of its count, for triples of each n-gram's word after its history;
         lower: the count of each n-gram's end in the order below."""
         out = []
         for p in self.asked().tolist():
             e, b, r = slice(*self.entry_bounds[p : p + 2]), self.sent[slice(*self.sent_bounds[p : p + 2])], self.rest[slice(*self.rest_bounds[p : p + 2])]
             entries = (steps(self.entry_name[e] - START), self.entry_salt[e], self.size[e], self.rest_size[e])
-            if kind == PAIRS:  # whose lower counts go by the word
+            if kind == PAIRS:  # whose words are in the order of falling counts
                 words, at = in_order(self.word[b])
                 new = heads(words)
                 index = np.empty(len(b), np.int64)
                 index[at] = np.cumsum(new) - 1
-                place, ends = index, (zigzag(lower[b[at[new]]]), steps(word_name[words[new]]))  # the counts nearly fall
+                count = lower[b[at[new]]]
+                place, ends = index, (steps(count[::-1]), inner_steps(word_name[words[new]], runs(count)))
             else:
                 place, ends = word_name[b], (np.where(self.train[b] > 0, lower[b], 0),)
             out.append((p, chunk, kind, bundle(*map(tight, (*entries, self.train[b], self.train[r], lower[r], np.packbits(self.entry_asks[e]))), inner_steps(place, self.size[e]), *map(tight, ends))))
@@ -429,8 +436,14 @@ def answer_grams(kind: int):
         owner = entry[held]
         places = [inner_sums(m[8], m[2]) for *_, m in said]
         if kind == PAIRS:
-            code = np.concatenate([np.cumsum(m[10], dtype=np.int64)[x] for (*_, m), x in zip(said, places, strict=True)])
-            lower = np.concatenate([unzigzag(m[9])[x] for (*_, m), x in zip(said, places, strict=True)])
+            counts = [np.cumsum(m[9], dtype=np.int64)[::-1] for *_, m in said]
+            count, near = np.concatenate(counts), np.concatenate([inner_sums(m[10].astype(np.int64), runs(c)) for (*_, m), c in zip(said, counts, strict=True)])
+            place = np.repeat(np.cumsum([0, *map(len, counts[:-1])]), [len(m[4]) for *_, m in said]) + np.concatenate(places)
+            order = np.lexsort((near, -count))
+            new = heads(count[order], near[order])
+            word = np.empty(len(order), np.int64)
+            word[order] = np.cumsum(new) - 1
+            code, lower = word[place], count[place]
         else:
             code, lower = _joined(places), gather(9)
         span = int(code.max(initial=0)) + 1
@@ -488,6 +501,7 @@ class Pairs:
 
     tokens: Tokens
     name: np.ndarray  # of words
+    near: np.ndarray  # the same among the words of one count
     count: np.ndarray
     grams: Grams
     often: np.ndarray  # how often words occur as histories; the start mark last
@@ -496,17 +510,17 @@ class Pairs:
     @classmethod
     def of(cls, table: pa.Table, answers: pa.Table, parts: int) -> Pairs:
         t = Tokens(table)
-        name, count, shared = _words(t, answers, parts)
+        name, near, count, shared = _words(t, answers, parts)
         words = len(t.key)
         ends = count[np.searchsorted(t.key, END)] if words else 0
-        order = np.argsort(name, kind="stable")
+        order = np.lexsort((near, -count))
         t.renumber(order)
-        name, count, shared = name[order], count[order], shared[order]
+        name, near, count, shared = name[order], near[order], count[order], shared[order]
         g = Grams(t.before(), t.place, t.trained, words)
         total = np.append(count, ends)  # the start mark occurs once per text, like the end
         wanted = np.append(shared, True) & (np.bincount(g.history, minlength=words + 1) > 0) & (total > 0)
         g.deal(wanted, (shared & (count > 0))[g.word], np.append(name, START), total, part_of(mix(np.append(t.key, np.uint64(2))), parts), mix(t.key), parts)
-        return cls(t, name, count, g, total)
+        return cls(t, name, near, count, g, total)
 
     def lower(self) -> np.ndarray:
         return self.count[self.grams.word]
@@ -553,7 +567,7 @@ def ask_pairs(parts: int):
         if not table.num_rows:
             return messages([])
         p = Pairs.of(table, answers, parts)
-        return messages(p.grams.letters(table["chunk"][0].as_py(), PAIRS, p.name, p.lower(), parts))
+        return messages(p.grams.letters(table["chunk"][0].as_py(), PAIRS, p.near, p.lower(), parts))
 
     return run
 
@@ -647,7 +661,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     if order not in (2, 3):
         raise ValueError("order is 2 or 3")
-    chunks = Chunks(docs, id_col, text, chunk_bytes, 2 * chunk_bytes)
+    chunks = Chunks(docs, id_col, text, chunk_bytes, 2 * chunk_bytes, level=6)
     parts = chunks.parts
     tables = [chunks.answer(chunks.ask(ask_words(parts)), answer_words)]
     for kind, ask in ((PAIRS, ask_pairs), (TRIPLES, ask_triples))[: order - 1]:

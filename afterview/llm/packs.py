@@ -38,10 +38,10 @@ _HEAD = struct.Struct("<BII")
 SMALL = 64
 
 
-def bundle(*arrays: np.ndarray) -> bytes:
+def bundle(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as one compressed message; the bytes of equal weight lie together."""
     out = [struct.pack("<B", len(arrays))]
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=level)
     for a in arrays:
         a = np.ascontiguousarray(a)
         raw = a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if a.itemsize > 1 else a.tobytes()
@@ -89,7 +89,7 @@ def messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
 BLOBS = "chunk int, data binary"
 
 
-def packed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+def packed(batches: Iterable[pa.RecordBatch], level: int = 1) -> Iterable[pa.RecordBatch]:
     """(chunk, data) of (chunk, doc_id, text): the documents of a batch that go to one
     chunk, as one compressed message."""
     for b in batches:
@@ -103,7 +103,7 @@ def packed(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         head = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])) if len(chunk) else np.zeros(0, np.int64)
         rows = []
         for x, y in zip(head.tolist(), np.append(head[1:], len(chunk)).tolist(), strict=True):
-            rows.append(bundle(number[x:y], null[x:y], np.diff(bounds[x : y + 1]), buf[bounds[x] : bounds[y]]))
+            rows.append(bundle(number[x:y], null[x:y], np.diff(bounds[x : y + 1]), buf[bounds[x] : bounds[y]], level=level))
         yield pa.RecordBatch.from_arrays([pa.array(chunk[head], pa.int32()), pa.array(rows, pa.binary())], ["chunk", "data"])
 
 
@@ -143,16 +143,16 @@ class Chunks:
     """docs as (chunk, doc_id, text), dealt by a hash of id and text; they are shuffled once, compressed.
 
     Both sizes are bounds of memory: a chunk is about `chunk_bytes` of text, and a
-    part holds the keys of about `part_bytes`.
+    part holds the keys of about `part_bytes`. `level`: how hard the documents are compressed.
     """
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 16 << 20, part_bytes: int = 32 << 20, least: int = 6):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", chunk_bytes: int = 16 << 20, part_bytes: int = 32 << 20, least: int = 6, level: int = 1):
         self.n, size = text_size(docs, text)
         self.count = max(least, math.ceil(size / chunk_bytes))
         self.parts = max(least, math.ceil(size / part_bytes))
         key = F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(self.count)).cast("int")
         dealt = docs.select(key.alias("chunk"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        self.frame = dealt.mapInArrow(packed, BLOBS).repartition(self.count, "chunk")
+        self.frame = dealt.mapInArrow(lambda batches: packed(batches, level), BLOBS).repartition(self.count, "chunk")
 
     def ask(self, f: Callable[[pa.Table], pa.Table]) -> DataFrame:
         """One call per chunk -> messages to parts."""

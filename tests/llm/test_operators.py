@@ -682,7 +682,7 @@ def test_katz_messages_hold_only_what_is_not_known():
     ask = lambda f, told: pa.concat_tables([f(t, *[x.filter(pa.compute.equal(x["chunk"], c)) for x in told]) for c, t in enumerate(chunks)])
     words = katz.answer_words(ask(katz.ask_words(1), []))
     for (_, c, data), n, alone in zip(letters(words, katz.WORDS), (6, 6, 4), (2, 2, 0), strict=True):
-        bits, rank, totals = unbundle(data)
+        bits, rank, totals, _ = unbundle(data)
         assert len(rank) == len(totals) == n - alone == np.unpackbits(bits).sum() and rank.max() < 4, c
     pairs = katz.answer_grams(katz.PAIRS)(ask(katz.ask_pairs(1), [words]))
     at = katz.SUMS[katz.PAIRS]
