@@ -12,10 +12,14 @@ is 2 or 3; a history that was never seen has alpha 1.
 The n-gram tables are cut into parts: words by their hash, pairs and triples by
 their history. Chunks of documents send a part their distinct n-grams with
 training counts; the part adds up the counts of all chunks and sends back what
-each asked for, with the sums over a history from which alpha follows (without
-what the chunk has itself), and the n-gram's number, which names it as a history of the next order, and whether
-other chunks have it. Words are numbered by falling count, so that most numbers
-are small. Frequent histories are split over several parts by their last word,
+the asking chunk cannot know: what others add to each count, whether others have
+the n-gram, and then its number, which names it as a history of the next order.
+The sums over a history from which alpha follows (without what the chunk has
+itself) go only to chunks with something unseen after it; of other histories one
+bit says whether any count is discounted. Words are numbered by falling count; in
+the messages of pairs a word is its count and its number among those of the same
+count, and in those of triples, whose history ends in v, its place among the words
+that follow v. Frequent histories are split over several parts by their last word,
 and their sums are added in the chunk.
 
 What occurs in one chunk alone is counted there: a word or pair of one chunk
